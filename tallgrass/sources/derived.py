@@ -90,7 +90,8 @@ def ride_events(events: DataFrame) -> DataFrame:
     eid = F.col("event_id")
 
     def coord(base, prime, span):
-        return (F.lit(base) + (eid * prime) % span).cast("bigint")
+        # (id mod span) * prime stays far from 64-bit overflow at any id.
+        return (F.lit(base) + F.pmod(F.pmod(eid, F.lit(span)) * prime, F.lit(span))).cast("bigint")
 
     s_lon = coord(RIDE_WEST_U, 7919, RIDE_LON_SPAN_U)
     s_lat = coord(RIDE_SOUTH_U, 104729, RIDE_LAT_SPAN_U)
