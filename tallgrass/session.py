@@ -75,7 +75,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared folder; survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialize ``df`` as a parquet table in the shared checkpoint folder and
+    read it back.
+
+    Used between the rounds of iterative algorithms. Like a reliable
+    checkpoint it survives executor loss and keeps the plan one round long;
+    unlike ``Dataset.checkpoint`` the re-read table carries its real on-disk
+    size as statistics, so size estimates (and broadcast decisions) do not
+    compound from round to round.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
