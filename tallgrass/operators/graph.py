@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.session import cut_lineage
+from tallgrass.session import cut_lineage, release
 
 
 @dataclass(frozen=True)
@@ -161,7 +161,9 @@ def connected_components(g: PropertyGraph, max_iter: int = 1000) -> DataFrame:
         new = cut_lineage(jump)
         changed = new.join(labels.withColumnRenamed("label", "old"), "id").where(F.col("label") != F.col("old"))
         if changed.limit(1).count() == 0:
+            release(labels)
             return new.withColumnRenamed("label", "component")
+        release(labels)
         labels = new
     raise RuntimeError(f"components did not converge in {max_iter} rounds")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.operators.graph import PropertyGraph, edge_weights
 from tallgrass.operators.pregel import pregel
-from tallgrass.session import cut_lineage
+from tallgrass.session import cut_lineage, release
 
 
 def pagerank_pregel(g: PropertyGraph, num_iter: int = 20, reset: float = 0.15) -> DataFrame:
@@ -60,8 +60,10 @@ def pagerank_rounds(edges: DataFrame, num_iter: int = 20, reset: float = 0.15) -
     for _ in range(num_iter):
         contribs = (links.join(ranks.withColumnRenamed("id", "src"), "src")
                     .select("dst", (F.col("rank") / F.col("n")).alias("share")))
-        ranks = cut_lineage(contribs.groupBy(F.col("dst").alias("id"))
-                            .agg((F.lit(reset) + F.lit(1.0 - reset) * F.sum("share")).alias("rank")))
+        new = cut_lineage(contribs.groupBy(F.col("dst").alias("id"))
+                          .agg((F.lit(reset) + F.lit(1.0 - reset) * F.sum("share")).alias("rank")))
+        release(ranks)
+        ranks = new
     return ranks
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.operators.graph import PropertyGraph
-from tallgrass.session import cut_lineage
+from tallgrass.session import cut_lineage, release
 
 
 def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int,
@@ -56,7 +56,9 @@ def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int,
             .select("id", F.when(got, vprog(F.col(attr), F.col("msg"))).otherwise(F.col(attr)).alias(attr),
                     got.alias("active")), "pregel")
         if new.where("active").limit(1).count() == 0:
+            release(new)
             break  # no vertex received a message: the state did not change
+        release(state)
         state = new
         steps += 1
     return state.select("id", attr), steps

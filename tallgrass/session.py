@@ -88,4 +88,21 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    _MATERIALIZED[id(out)] = path
+    return out
+
+
+_MATERIALIZED: dict[int, str] = {}
+
+
+def release(df: DataFrame) -> None:
+    """Delete the table behind a ``cut_lineage`` result once no later round
+    reads it (each round's table was read back from its own files, so nothing
+    downstream depends on the lineage of an earlier one)."""
+    path = _MATERIALIZED.pop(id(df), None)
+    if path is None:
+        return
+    sc = df.sparkSession.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)
