@@ -54,6 +54,19 @@ def tokens_strip(text: Column | str) -> Column:
     return F.transform(toks, lambda t: F.btrim(t, F.lit(STRIP_CHARS)))
 
 
+def _col(text: Column | str) -> Column:
+    return F.col(text) if isinstance(text, str) else text
+
+
+# Row-stream form used by the word counts: (raw split array, per-token map
+# applied after the empty pieces are filtered). Filtering and mapping after
+# the explode keeps the work in whole-stage codegen instead of array lambdas.
+SPLITTERS = {
+    "ws": (lambda t: F.split(_col(t), WS_DELIMS_REGEX), lambda w: w),
+    "nonword": (lambda t: F.split(F.lower(_col(t)), NONWORD_REGEX), lambda w: w),
+    "strip": (lambda t: F.split(_col(t), PY_WHITESPACE_REGEX), lambda w: F.btrim(w, F.lit(STRIP_CHARS))),
+}
+
 TOKENIZERS = {
     "ws": tokens_ws,
     "nonword": tokens_nonword,

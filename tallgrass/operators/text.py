@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.functions.tokenize import TOKENIZERS
+from tallgrass.functions.tokenize import SPLITTERS
 
 
 def tokens(df: DataFrame, text_col: str = "value", tokenizer: str = "ws", out_col: str = "word") -> DataFrame:
-    """One row per token (flat map). Stays in whole-stage codegen (Generate)."""
-    tok = TOKENIZERS[tokenizer]
-    return df.select(F.explode(tok(F.col(text_col))).alias(out_col))
+    """One row per token (flat map): split, explode, drop empty pieces, then
+    the tokenizer's per-token map -- all inside whole-stage codegen."""
+    split, post = SPLITTERS[tokenizer]
+    raw = df.select(F.explode(split(F.col(text_col))).alias("_tok")).where(F.col("_tok") != "")
+    return raw.select(post(F.col("_tok")).alias(out_col))
 
 
 def word_count(df: DataFrame, text_col: str = "value", tokenizer: str = "ws") -> DataFrame:
