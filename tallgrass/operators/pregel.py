@@ -1,12 +1,22 @@
 """Pregel message passing on DataFrames.
 
 PySpark has no GraphX API, so the superstep loop is written with joins and
-aggregates: messages = active sources joined to their out-edges and merged
-per destination by a built-in aggregate (partial + final, so a hub receiving
-a third of all messages costs one row per task before the shuffle); the
-vertex program is a column expression applied through a left join. Vertex
-state and messages are written as reliable checkpoints every superstep: the
-plan stays one step long and a lost executor costs one step.
+aggregates. Layout for scale:
+
+* Edges are written once as a table bucketed by ``src`` and the vertex state
+  every superstep as a table bucketed by ``id`` with the same bucket count, so
+  joining active sources to their out-edges moves no data; the only exchange
+  of a superstep is the message aggregation by destination (with a map-side
+  partial aggregate, so a destination receiving a third of all messages
+  costs one row per task before the shuffle), and its output lines up with
+  the state's buckets for the vertex-program join.
+* A source with a huge out-degree would make its bucket a straggler, so
+  "hub" sources (out-degree above ``max(hub_min_degree, E / max_hubs)``, hence
+  at most ``max_hubs`` of them -- a proven bound) keep their edges apart and
+  get their state through a broadcast of at most ``max_hubs`` rows; their
+  edges are read where they lie, spread over all tasks.
+* Each superstep's state is a reliable table in the shared checkpoint folder:
+  the plan stays one step long and a lost executor costs one step.
 """
 
 from __future__ import annotations
@@ -17,14 +27,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallgrass.operators.graph import PropertyGraph
-from tallgrass.session import cut_lineage, release
+from tallgrass.session import cut_lineage, cut_lineage_bucketed, release
+
+
+def split_hubs(edges: DataFrame, max_hubs: int = 10_000, hub_min_degree: int = 1_000_000):
+    """Split an edge table by source out-degree.
+
+    Returns ``(regular_edges, hub_edges, hub_ids)``; ``hub_ids`` holds at most
+    ``max_hubs`` rows because a hub needs more than ``E / max_hubs`` edges."""
+    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
+    n_edges = edges.select(F.count(F.lit(1))).first()[0]
+    threshold = max(hub_min_degree, -(-n_edges // max_hubs))
+    hub_ids = cut_lineage(deg.where(F.col("_deg") > threshold).select("src"), "pregel-hubs")
+    regular = edges.join(F.broadcast(hub_ids), "src", "left_anti")
+    hubs = edges.join(F.broadcast(hub_ids), "src", "left_semi")
+    return regular, hubs, hub_ids
 
 
 def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int,
            vprog: Callable[[Column, Column], Column],
            send: Callable[[Column, Column], Column],
            merge: Callable[[Column], Column] = F.sum,
-           attr: str = "attr") -> tuple[DataFrame, int]:
+           attr: str = "attr", max_hubs: int = 10_000,
+           hub_min_degree: int = 1_000_000) -> tuple[DataFrame, int]:
     """GraphX ``pregel(initialMsg, maxIter, EdgeDirection.Out)(vprog, send, merge)``.
 
     * ``vprog(attr, msg)`` -> new attribute; run on every vertex with
@@ -37,13 +62,18 @@ def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int,
     Returns the final vertices ``(id, attr)`` and the number of supersteps run.
     """
     edge_cols = [c for c in g.edges.columns if c not in ("src", "dst")]
-    edges = cut_lineage(g.edges.select("src", "dst", F.struct(*edge_cols).alias("edge")), "pregel-edges")
-    state = cut_lineage(g.vertices.select("id", vprog(F.col(attr), initial_msg).alias(attr),
-                                          F.lit(True).alias("active")), "pregel")
+    all_edges = g.edges.select("src", "dst", F.struct(*edge_cols).alias("edge"))
+    regular, hubs, hub_ids = split_hubs(all_edges, max_hubs, hub_min_degree)
+    regular = cut_lineage_bucketed(regular, "src", "pregel-edges")
+    hubs = cut_lineage(hubs, "pregel-hub-edges")
+    state = cut_lineage_bucketed(g.vertices.select("id", vprog(F.col(attr), initial_msg).alias(attr),
+                                                   F.lit(True).alias("active")), "id", "pregel")
 
     def messages(st: DataFrame) -> DataFrame:
         senders = st.where("active").select(F.col("id").alias("src"), F.col(attr).alias("src_attr"))
-        out = edges.join(senders, "src").select("dst", send(F.col("src_attr"), F.col("edge")).alias("msg"))
+        hub_senders = F.broadcast(senders.join(F.broadcast(hub_ids), "src", "left_semi"))
+        out = (regular.join(senders, "src").unionByName(hubs.join(hub_senders, "src"))
+               .select("dst", send(F.col("src_attr"), F.col("edge")).alias("msg")))
         return out.where(F.col("msg").isNotNull()).groupBy(F.col("dst").alias("id")).agg(merge("msg").alias("msg"))
 
     # One materialization per superstep: the messages of a step are computed
@@ -51,10 +81,10 @@ def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int,
     steps = 0
     while steps < max_iter:
         got = F.col("msg").isNotNull()
-        new = cut_lineage(
+        new = cut_lineage_bucketed(
             state.join(messages(state), "id", "left")
             .select("id", F.when(got, vprog(F.col(attr), F.col("msg"))).otherwise(F.col(attr)).alias(attr),
-                    got.alias("active")), "pregel")
+                    got.alias("active")), "id", "pregel", prepartitioned=True)
         if new.where("active").limit(1).count() == 0:
             release(new)
             break  # no vertex received a message: the state did not change

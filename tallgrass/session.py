@@ -94,6 +94,34 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 _MATERIALIZED: dict[int, str] = {}
+_TABLES: dict[int, str] = {}
+
+
+def num_buckets(spark: SparkSession) -> int:
+    """Bucket count for co-partitioned iteration tables: the session's shuffle
+    partition count, so a shuffle on the same key lines up with the buckets."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def cut_lineage_bucketed(df: DataFrame, col: str, name: str = "stage", buckets: int | None = None,
+                         prepartitioned: bool = False) -> DataFrame:
+    """Like ``cut_lineage`` but written as a table bucketed (and sorted) by
+    ``col``. Joins of two such tables on their bucket columns, or with a
+    shuffle on the same key and partition count, need no exchange: in an
+    iteration the large static side (edges) is written once and never moves
+    again. Rows are hash-partitioned by ``col`` first, so every task writes
+    exactly one bucket file; ``prepartitioned`` skips that shuffle when the
+    input already is (e.g. the output of a join on ``col``)."""
+    spark = df.sparkSession
+    n = buckets or num_buckets(spark)
+    path = scratch_path(spark, name)
+    tname = f"tallgrass_{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
+    (df if prepartitioned else df.repartition(n, col)).write.bucketBy(n, col).sortBy(col) \
+        .option("path", path).mode("overwrite").saveAsTable(tname)
+    out = spark.table(tname)
+    _MATERIALIZED[id(out)] = path
+    _TABLES[id(out)] = tname
+    return out
 
 
 def release(df: DataFrame) -> None:
@@ -103,6 +131,9 @@ def release(df: DataFrame) -> None:
     path = _MATERIALIZED.pop(id(df), None)
     if path is None:
         return
+    tname = _TABLES.pop(id(df), None)
+    if tname is not None:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {tname}")
     sc = df.sparkSession.sparkContext
     jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)

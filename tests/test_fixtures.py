@@ -205,3 +205,22 @@ def test_pregel_vertex_without_in_links(spark):
     assert ranks[0] == pytest.approx(0.15)
     rounds = as_dict(P.pagerank_rounds(e, 3), "id", "rank")
     assert 0 not in rounds  # the plain loop drops vertices without in-links
+
+
+def test_pregel_hub_split_gives_same_ranks(spark, web):
+    from tallgrass.operators.pregel import pregel, split_hubs
+    w = G.PropertyGraph(web.vertices.select("id", F.lit(1.0).alias("attr")),
+                        G.edge_weights(web).select("src", "dst", "weight"))
+    _, hubs, hub_ids = split_hubs(w.edges, max_hubs=10, hub_min_degree=1)
+    assert sorted(r.src for r in hub_ids.collect()) == [1, 4]  # out-degree 2 > 1
+    assert hubs.count() == 4
+
+    def run(**kw):
+        r, steps = pregel(w, F.lit(0.0), 20, lambda a, m: F.lit(0.15) + F.lit(0.85) * m,
+                          lambda s, e: s * e["weight"], **kw)
+        return as_dict(r, "id", "attr"), steps
+
+    plain, n1 = run()
+    split, n2 = run(max_hubs=10, hub_min_degree=1)
+    assert n1 == n2 == 20
+    assert plain == pytest.approx(split, abs=1e-12)
