@@ -26,24 +26,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.operators.graph import PropertyGraph
+from tallgrass.operators.graph import PropertyGraph, split_hubs
 from tallgrass.session import cut_lineage, cut_lineage_bucketed, release
 
 
-def split_hubs(edges: DataFrame, max_hubs: int = 10_000, hub_min_degree: int = 1_000_000):
-    """Split an edge table by source out-degree.
-
-    Returns ``(regular_edges, hub_edges, hub_ids)``; ``hub_ids`` holds at most
-    ``max_hubs`` rows because a hub needs more than ``E / max_hubs`` edges."""
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    n_edges = edges.select(F.count(F.lit(1))).first()[0]
-    threshold = max(hub_min_degree, -(-n_edges // max_hubs))
-    hub_ids = cut_lineage(deg.where(F.col("_deg") > threshold).select("src"), "pregel-hubs")
-    regular = edges.join(F.broadcast(hub_ids), "src", "left_anti")
-    hubs = edges.join(F.broadcast(hub_ids), "src", "left_semi")
-    return regular, hubs, hub_ids
-
-
 def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int,
            vprog: Callable[[Column, Column], Column],
            send: Callable[[Column, Column], Column],

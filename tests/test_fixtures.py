@@ -224,3 +224,17 @@ def test_pregel_hub_split_gives_same_ranks(spark, web):
     split, n2 = run(max_hubs=10, hub_min_degree=1)
     assert n1 == n2 == 20
     assert plain == pytest.approx(split, abs=1e-12)
+
+
+def test_components_with_hub_split(spark):
+    # A star around 100 plus a separate chain; with a tiny threshold the star
+    # centre is a hub whose label travels by broadcast.
+    e = spark.createDataFrame([(100, i) for i in range(101, 120)] + [(5, 6), (6, 7)], "src bigint, dst bigint")
+    v = spark.createDataFrame([(i,) for i in list(range(100, 120)) + [5, 6, 7, 8]], "id bigint")
+    g = G.PropertyGraph(v, e)
+    _, hubs, hub_ids = G.split_hubs(e, max_hubs=4, hub_min_degree=1)
+    assert [r.src for r in hub_ids.collect()] == [100]
+    plain = as_dict(G.connected_components(g), "id", "component")
+    split = as_dict(G.connected_components(g, max_hubs=4, hub_min_degree=1), "id", "component")
+    assert plain == split
+    assert {plain[i] for i in range(100, 120)} == {100} and plain[7] == 5 and plain[8] == 8
