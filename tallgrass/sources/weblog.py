@@ -19,13 +19,26 @@ DATETIME_PATTERN = "dd/MMM/yyyy:HH:mm:ss Z"
 WALLCLOCK_PATTERN = "dd/MMM/yyyy:HH:mm:ss"
 
 _FIELDS = ("ipAddress", "clientIdentd", "userId", "dateTime", "method", "endpoint", "protocol")
-_GROUPS = (1, 2, 3, 4, 5, 6, 7)
 
 
 def _group(line: Column, i: int) -> Column:
     return F.regexp_extract(line, ACCESS_LOG_PATTERN, i)
 
 
+# One regex pass per line: the match is rewritten to its nine groups joined
+# by NUL and split once, instead of nine separate matches. A line that itself
+# contains NUL (never in a real log) takes the group-by-group path.
+_SEP = "\u0000"
+_ALL_GROUPS = "(?s)" + ACCESS_LOG_PATTERN + ".*$"
+_JOINED = _SEP.join(f"${i}" for i in range(1, 10))
+
+
+def _groups(line: Column) -> Column:
+    fast = F.split(F.regexp_replace(line, _ALL_GROUPS, _JOINED), _SEP, 9)
+    slow = F.array(*[_group(line, i) for i in range(1, 10)])
+    return F.when(line.contains(_SEP), slow).otherwise(fast)
+
+
 def local_date(date_time: Column) -> Column:
     """The date in the log's own offset (its wall-clock part)."""
     wall = F.try_to_timestamp(F.substring(date_time, 1, 20), F.lit(WALLCLOCK_PATTERN))
@@ -39,12 +52,12 @@ def parse_access_log(lines: DataFrame, col: str = "value") -> DataFrame:
     log-local date text, ``contentSize`` 0 for ``-``. A bad month or a
     non-numeric size gives NULL in that field (the reference raises)."""
     line = F.col(col)
-    matched = lines.where(line.rlike(ACCESS_LOG_PATTERN))
-    cols = [_group(line, i).alias(name) for name, i in zip(_FIELDS, _GROUPS)]
-    size_txt = _group(line, 9)
+    matched = lines.where(line.rlike(ACCESS_LOG_PATTERN)).select(_groups(line).alias("_g"))
+    g = [F.get(F.col("_g"), i) for i in range(9)]
+    size_txt = g[8]
     parsed = matched.select(
-        *cols,
-        _group(line, 8).cast("int").alias("responseCode"),
+        *[g[i].alias(name) for i, name in enumerate(_FIELDS)],
+        g[7].cast("int").alias("responseCode"),
         F.when(size_txt == "-", F.lit(0).cast("bigint"))
          .otherwise(size_txt.try_cast("bigint")).alias("contentSize"),
     )

@@ -115,6 +115,12 @@ def test_access_log_line(spark):
     assert (h.protocol, h.contentSize, h.dayOfWeek) == ("", 0, 2)
 
 
+def test_access_log_line_with_nul_takes_slow_path(spark):
+    rows = parse_access_log(lines(spark, [LOG.replace("piweba4y", "a\u0000b") + " trailing"])).collect()
+    assert [(r.ipAddress, r.endpoint, r.contentSize) for r in rows] == [
+        ("a\u0000b.prodigy.com", "/images/launchmedium.gif", 11853)]
+
+
 REPS = [(2452, 4503), (381, 3638), (11097, 2824), (21, 2586), (548, 2289), (84, 2179), (434, 2131), (108, 2127),
         (9420, 1878), (836, 1846)]
 
