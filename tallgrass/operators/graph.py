@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.session import cut_lineage, cut_lineage_bucketed, release
+from tallgrass.session import cut_lineage, cut_lineage_bucketed, num_buckets, release
 
 
 @dataclass(frozen=True)
@@ -135,18 +135,48 @@ def aggregate_messages(g: PropertyGraph, to_dst: Column | None, to_src: Column |
 
 
 # ----------------------------------------------------------- hub splitting
-def split_hubs(edges: DataFrame, max_hubs: int = 10_000, hub_min_degree: int = 1_000_000):
-    """Split an edge table by source out-degree.
-
-    Returns ``(regular_edges, hub_edges, hub_ids)``; ``hub_ids`` holds at most
-    ``max_hubs`` rows because a hub needs more than ``E / max_hubs`` edges."""
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    n_edges = edges.select(F.count(F.lit(1))).first()[0]
+# Edges per bucket aimed at when bucketing an edge table for an iteration.
+EDGES_PER_BUCKET = 4_000_000
+
+
+def hub_sources(edges: DataFrame, max_hubs: int = 10_000, hub_min_degree: int = 1_000_000,
+                name: str = "hubs") -> tuple[DataFrame, int]:
+    """Sources whose out-degree exceeds ``max(hub_min_degree, E / max_hubs)``:
+    at most ``max_hubs`` rows (a proven bound, so the set may be broadcast).
+    One pass over the edges (the per-source degree aggregate, partial then
+    final); returns the materialized hub ids and the edge count."""
+    deg = cut_lineage(edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg")), f"{name}-deg")
+    n_edges = deg.select(F.sum("_deg")).first()[0] or 0
     threshold = max(hub_min_degree, -(-n_edges // max_hubs))
-    hub_ids = cut_lineage(deg.where(F.col("_deg") > threshold).select("src"), "pregel-hubs")
-    regular = edges.join(F.broadcast(hub_ids), "src", "left_anti")
-    hubs = edges.join(F.broadcast(hub_ids), "src", "left_semi")
-    return regular, hubs, hub_ids
+    hub_ids = cut_lineage(deg.where(F.col("_deg") > threshold).select("src"), name)
+    release(deg)
+    return hub_ids, n_edges
+
+
+def split_hubs(edges: DataFrame, max_hubs: int = 10_000, hub_min_degree: int = 1_000_000):
+    """Split an edge table by source out-degree (lazily): ``(regular_edges,
+    hub_edges, hub_ids)``; see ``hub_sources`` for the bound on ``hub_ids``."""
+    hub_ids, _ = hub_sources(edges, max_hubs, hub_min_degree)
+    return (edges.join(F.broadcast(hub_ids), "src", "left_anti"),
+            edges.join(F.broadcast(hub_ids), "src", "left_semi"), hub_ids)
+
+
+def bucketed_edges(edges: DataFrame, name: str, max_hubs: int = 10_000, hub_min_degree: int = 1_000_000):
+    """Write an iteration's edge table once, bucketed by ``src``, with hub
+    sources flagged; returns ``(regular_edges, hub_edges, hub_ids, buckets)``.
+
+    The bucket count is the session's shuffle partition count, lowered for
+    small graphs to about one bucket per ``EDGES_PER_BUCKET`` edges (never
+    below the default parallelism). Both edge sets are filters of the one
+    table, so the edges are read twice in all (degrees, then the write)."""
+    spark = edges.sparkSession
+    hub_ids, n_edges = hub_sources(edges, max_hubs, hub_min_degree, f"{name}-hubs")
+    buckets = min(num_buckets(spark),
+                  max(spark.sparkContext.defaultParallelism, -(-n_edges // EDGES_PER_BUCKET)))
+    flagged = (edges.join(F.broadcast(hub_ids.withColumn("_hub", F.lit(True))), "src", "left")
+               .withColumn("_hub", F.coalesce(F.col("_hub"), F.lit(False))))
+    table = cut_lineage_bucketed(flagged, "src", name, buckets)
+    return (table.where(~F.col("_hub")).drop("_hub"), table.where(F.col("_hub")).drop("_hub"), hub_ids, buckets)
 
 
 # ----------------------------------------------------- connected components
@@ -169,10 +199,8 @@ def connected_components(g: PropertyGraph, max_iter: int = 1000, max_hubs: int =
     """
     und = (g.edges.select("src", "dst").union(g.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
            .where(F.col("src") != F.col("dst")).distinct())
-    regular, hubs, hub_ids = split_hubs(und, max_hubs, hub_min_degree)
-    regular = cut_lineage_bucketed(regular, "src", "cc-edges")
-    hubs = cut_lineage(hubs, "cc-hub-edges")
-    labels = cut_lineage_bucketed(g.vertices.select("id", F.col("id").alias("label")), "id", "cc")
+    regular, hubs, hub_ids, buckets = bucketed_edges(und, "cc-edges", max_hubs, hub_min_degree)
+    labels = cut_lineage_bucketed(g.vertices.select("id", F.col("id").alias("label")), "id", "cc", buckets)
     for _ in range(max_iter):
         src_labels = labels.select(F.col("id").alias("src"), "label")
         hub_labels = F.broadcast(src_labels.join(F.broadcast(hub_ids), "src", "left_semi"))
@@ -182,7 +210,7 @@ def connected_components(g: PropertyGraph, max_iter: int = 1000, max_hubs: int =
                 .select("id", F.least(F.col("label"), F.coalesce(F.col("nbr"), F.col("label"))).alias("label")))
         jump = (step.join(step.select(F.col("id").alias("label"), F.col("label").alias("l2")), "label", "left")
                 .select("id", F.least(F.col("label"), F.coalesce(F.col("l2"), F.col("label"))).alias("label")))
-        new = cut_lineage_bucketed(jump, "id", "cc")
+        new = cut_lineage_bucketed(jump, "id", "cc", buckets)
         changed = new.join(labels.withColumnRenamed("label", "old"), "id").where(F.col("label") != F.col("old"))
         if changed.limit(1).count() == 0:
             release(labels)

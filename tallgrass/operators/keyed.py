@@ -89,8 +89,9 @@ def group_values(df: DataFrame) -> DataFrame:
     """A5 ``groupByKey().mapValues(list)``: (key, sorted array of values).
 
     Built in two steps so no task gathers a hot key's rows: bounded chunks of
-    neighbouring rows are collected and sorted first, then the sorted chunks
-    of a key are concatenated. The result row of a key is its whole group --
+    neighbouring rows (at most 4,096 per key and chunk) are collected first,
+    then the chunks of a key are concatenated and sorted. The result row of a
+    key is its whole group --
     that is the operator's contract -- so use it on keys whose groups fit in a
     row; ``reduce_by_key``/``fold_by_key`` are the bounded alternatives.
     """

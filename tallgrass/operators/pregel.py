@@ -26,8 +26,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.operators.graph import PropertyGraph, split_hubs
-from tallgrass.session import cut_lineage, cut_lineage_bucketed, release
+from tallgrass.operators.graph import PropertyGraph, bucketed_edges, split_hubs  # noqa: F401
+from tallgrass.session import cut_lineage_bucketed, release
 
 
 def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int,
@@ -49,11 +49,9 @@ def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int,
     """
     edge_cols = [c for c in g.edges.columns if c not in ("src", "dst")]
     all_edges = g.edges.select("src", "dst", F.struct(*edge_cols).alias("edge"))
-    regular, hubs, hub_ids = split_hubs(all_edges, max_hubs, hub_min_degree)
-    regular = cut_lineage_bucketed(regular, "src", "pregel-edges")
-    hubs = cut_lineage(hubs, "pregel-hub-edges")
+    regular, hubs, hub_ids, buckets = bucketed_edges(all_edges, "pregel-edges", max_hubs, hub_min_degree)
     state = cut_lineage_bucketed(g.vertices.select("id", vprog(F.col(attr), initial_msg).alias(attr),
-                                                   F.lit(True).alias("active")), "id", "pregel")
+                                                   F.lit(True).alias("active")), "id", "pregel", buckets)
 
     def messages(st: DataFrame) -> DataFrame:
         senders = st.where("active").select(F.col("id").alias("src"), F.col(attr).alias("src_attr"))
@@ -70,7 +68,7 @@ def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int,
         new = cut_lineage_bucketed(
             state.join(messages(state), "id", "left")
             .select("id", F.when(got, vprog(F.col(attr), F.col("msg"))).otherwise(F.col(attr)).alias(attr),
-                    got.alias("active")), "id", "pregel", prepartitioned=True)
+                    got.alias("active")), "id", "pregel", buckets, prepartitioned=True)
         if new.where("active").limit(1).count() == 0:
             release(new)
             break  # no vertex received a message: the state did not change

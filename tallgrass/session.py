@@ -115,12 +115,14 @@ def cut_lineage_bucketed(df: DataFrame, col: str, name: str = "stage", buckets:
     iteration the large static side (edges) is written once and never moves
     again. Rows are hash-partitioned by ``col`` first, so every task writes
     exactly one bucket file; ``prepartitioned`` skips that shuffle when the
-    input already is (e.g. the output of a join on ``col``)."""
+    input already is (the output of a join or aggregate on ``col`` with the
+    session's shuffle partition count equal to ``buckets``)."""
     spark = df.sparkSession
     n = buckets or num_buckets(spark)
     path = scratch_path(spark, name)
     tname = f"tallgrass_{name.replace('-', '_')}_{uuid.uuid4().hex[:12]}"
-    (df if prepartitioned else df.repartition(n, col)).write.bucketBy(n, col).sortBy(col) \
+    aligned = prepartitioned and n == num_buckets(spark)
+    (df if aligned else df.repartition(n, col)).write.bucketBy(n, col).sortBy(col) \
         .option("path", path).mode("overwrite").saveAsTable(tname)
     out = spark.table(tname)
     _MATERIALIZED[id(out)] = path

@@ -36,7 +36,7 @@ def file_stream(spark: SparkSession, directory: str, file_glob: str, schema: T.S
             .load(directory))
 
 
-def _await_idle(q, settle: float = 0.5, timeout: float = 600.0) -> None:
+def _await_idle(q, settle: float = 0.25, timeout: float = 600.0) -> None:
     """Wait until everything available is processed and the no-data batch
     that follows a watermark move has run."""
     q.processAllAvailable()
