@@ -1,23 +1,27 @@
 """Key/value pair operators.
 
 A pair collection is a DataFrame with a ``key`` and a ``value`` column. All
-operators are column expressions or hash aggregates; the only ones that hold
-more than a row per task are the grouped-list outputs, whose result row *is*
-the group (see ``group_values``).
+operators are column expressions, joins or hash aggregates; grouped lists are
+paged (at most ``PAGE_SIZE`` values per row, see ``group_values``), so no row
+or task ever holds a whole hot key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallgrass.session import cut_lineage, num_buckets
+
 # Rows per partial group in the tree reductions below (2**12); each level
 # merges at most this many partial results per key.
 CHUNK_BITS = 12
 # monotonically_increasing_id() puts the partition id above bit 33.
 _ROW_BITS = 33
+# Values per row of a grouped list.
+PAGE_SIZE = 4096
 
 
 def keys(df: DataFrame) -> DataFrame:
@@ -85,30 +89,44 @@ def fold_by_key(df: DataFrame, fn: Callable[[Column, Column], Column]) -> DataFr
     return (cur.groupBy("key").agg(_reduce_array(F.collect_list("value"), fn).alias("value")))
 
 
-def group_values(df: DataFrame) -> DataFrame:
-    """A5 ``groupByKey().mapValues(list)``: (key, sorted array of values).
+def group_values(df: DataFrame, page_size: int = PAGE_SIZE, name: str = "group") -> DataFrame:
+    """A5 ``groupByKey().mapValues(list)`` as paged lists: rows ``(key, page,
+    values)`` where ``values`` is the page-th run of at most ``page_size`` of the
+    key's values in sorted order. A key with up to ``page_size`` values is one
+    row, exactly the reference's (key, list); a key holding a third of all rows
+    becomes many bounded rows instead of one row the size of its group.
 
-    Built in two steps so no task gathers a hot key's rows: bounded chunks of
-    neighbouring rows (at most 4,096 per key and chunk) are collected first,
-    then the chunks of a key are concatenated and sorted. The result row of a
-    key is its whole group --
-    that is the operator's contract -- so use it on keys whose groups fit in a
-    row; ``reduce_by_key``/``fold_by_key`` are the bounded alternatives.
+    The rank of a value within its key is computed without gathering the key:
+    a range-partitioned sort on (key, value) spreads a hot key over many
+    partitions; per (key, partition) run lengths -- at most one run per
+    partition a key touches -- give each run's offset through a prefix sum;
+    offset + position in the run is the rank, and rank // page_size the page.
     """
-    pos = F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS)
-    partial = (df.groupBy("key", pos.alias("_chunk"))
-               .agg(F.collect_list("value").alias("_part")))
-    return (partial.groupBy("key")
-            .agg(F.array_sort(F.flatten(F.collect_list("_part"))).alias("values")))
-
-
-def cogroup(left: DataFrame, right: DataFrame) -> DataFrame:
-    """J9 ``coGroup``: per key the values of both sides, an empty array for a
-    side without the key. Two grouped lists and one full outer join."""
-    lg = group_values(left).withColumnRenamed("values", "left_values")
-    rg = group_values(right).withColumnRenamed("values", "right_values")
-    return (lg.join(rg, "key", "full_outer")
-            .select("key",
+    spark = df.sparkSession
+    n = num_buckets(spark)
+    ordered = (df.select("key", "value").repartitionByRange(n, "key", "value")
+               .sortWithinPartitions("key", "value")
+               .select("key", "value", F.spark_partition_id().alias("_pid"),
+                       F.monotonically_increasing_id().alias("_pos")))
+    ordered = cut_lineage(ordered, f"{name}-sorted")
+    runs = ordered.groupBy("key", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    before = Window.partitionBy("key").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(F.col("key").alias("_key"), F.col("_pid").alias("_rpid"), "_first",
+                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    ranked = ordered.join(runs, F.col("key").eqNullSafe(F.col("_key")) & (F.col("_pid") == F.col("_rpid")))
+    page = F.floor((F.col("_offset") + F.col("_pos") - F.col("_first")) / F.lit(page_size))
+    return (ranked.groupBy("key", page.alias("page"))
+            .agg(F.array_sort(F.collect_list("value")).alias("values")))
+
+
+def cogroup(left: DataFrame, right: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """J9 ``coGroup``: per key and page the values of both sides (sorted, at
+    most ``page_size`` per side and row), an empty array for a side without
+    the key or that page. Two paged lists and one full outer join."""
+    lg = group_values(left, page_size, "cogroup-left").withColumnRenamed("values", "left_values")
+    rg = group_values(right, page_size, "cogroup-right").withColumnRenamed("values", "right_values")
+    return (lg.join(rg, ["key", "page"], "full_outer")
+            .select("key", "page",
                     F.coalesce("left_values", F.array().cast(lg.schema["left_values"].dataType)).alias("left_values"),
                     F.coalesce("right_values", F.array().cast(rg.schema["right_values"].dataType)).alias("right_values")))
 

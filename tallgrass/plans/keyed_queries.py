@@ -73,11 +73,16 @@ def kv_reduce_fold(spark, sf_dir):
 
 
 @query("kv_group_list", oracle="""
-    SELECT o_custkey AS key, array_to_string(list_sort(list(o_orderkey)), ',') AS "values"
-    FROM orders GROUP BY o_custkey""")
+    SELECT key, page, array_to_string(list_sort(list(v)), ',') AS "values"
+    FROM (SELECT o_custkey AS key, o_orderkey AS v,
+                 (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 4096 AS page
+          FROM orders)
+    GROUP BY key, page""")
 def kv_group_list(spark, sf_dir):
+    """A5 orders per customer as paged sorted lists (one page unless a
+    customer has more than 4,096 orders)."""
     pairs = _orders(spark, sf_dir).withColumnRenamed("orderkey", "value")
-    return K.group_values(pairs).select("key", F.array_join("values", ",").alias("values"))
+    return K.group_values(pairs).select("key", "page", F.array_join("values", ",").alias("values"))
 
 
 @query("kv_join", oracle="""
@@ -132,21 +137,27 @@ def join_anti(spark, sf_dir):
     return K.join_pairs(_customers(spark, sf_dir), urgent, "left_anti")
 
 
-@query("cogroup", oracle="""
-    SELECT coalesce(a.key, b.key) AS key, coalesce(a.l, '') AS left_values, coalesce(b.r, '') AS right_values
-    FROM (SELECT o_custkey AS key, array_to_string(list_sort(list(o_orderkey)), ',') AS l
-          FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) a
-    FULL OUTER JOIN
-         (SELECT o_custkey AS key, array_to_string(list_sort(list(o_orderkey)), ',') AS r
-          FROM orders WHERE o_orderstatus = 'O' GROUP BY 1) b
-    ON a.key = b.key""")
+_PAGED = """
+    SELECT key, page, array_to_string(list_sort(list(v)), ',') AS vals
+    FROM (SELECT o_custkey AS key, o_orderkey AS v,
+                 (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 4096 AS page
+          FROM orders WHERE o_orderstatus = '{status}')
+    GROUP BY key, page"""
+
+
+@query("cogroup", oracle=f"""
+    SELECT coalesce(a.key, b.key) AS key, coalesce(a.page, b.page) AS page,
+           coalesce(a.vals, '') AS left_values, coalesce(b.vals, '') AS right_values
+    FROM ({_PAGED.format(status="F")}) a
+    FULL OUTER JOIN ({_PAGED.format(status="O")}) b ON a.key = b.key AND a.page = b.page""")
 def cogroup(spark, sf_dir):
+    """J9 finished and open orders of each customer side by side."""
     orders = table(spark, sf_dir, "orders")
     f = orders.where(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("key"),
                                                            F.col("o_orderkey").alias("value"))
     o = orders.where(F.col("o_orderstatus") == "O").select(F.col("o_custkey").alias("key"),
                                                            F.col("o_orderkey").alias("value"))
-    return K.cogroup(f, o).select("key", F.array_join("left_values", ",").alias("left_values"),
+    return K.cogroup(f, o).select("key", "page", F.array_join("left_values", ",").alias("left_values"),
                                   F.array_join("right_values", ",").alias("right_values"))
 
 

@@ -77,6 +77,15 @@ def test_fold_by_key_matches_sum_on_many_rows(spark):
     assert as_dict(K.fold_by_key(df, lambda a, b: a + b), "key", "value") == want
 
 
+def test_group_values_pages_a_hot_key(spark):
+    df = spark.range(0, 10_000, numPartitions=5).select(F.lit("hot").alias("key"), (9_999 - F.col("id")).alias("value"))
+    df = df.unionByName(spark.createDataFrame([("cold", 7), ("cold", 3)], "key string, value bigint"))
+    pages = {(r.key, r.page): r["values"] for r in K.group_values(df, page_size=4096).collect()}
+    assert sorted(pages) == [("cold", 0), ("hot", 0), ("hot", 1), ("hot", 2)]
+    assert pages[("cold", 0)] == [3, 7]
+    assert pages[("hot", 0)] == list(range(0, 4096)) and pages[("hot", 2)] == list(range(8192, 10_000))
+
+
 def test_join_and_cogroup(spark):
     visits = spark.createDataFrame([("index.html", "1.2.3.4"), ("about.html", "3.2.3.4"),
                                     ("index.html", "5.4.3.2"), ("help.html", "7.6.1.2")], "key string, ip string")
