@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallgrass.operators import text as T
 from tallgrass.operators import topk
 from tallgrass.plans.registry import query
+from tallgrass.plans.text_queries import _STRIP_COUNTS
 from tallgrass.sources.derived import people_json_lines, people_text_lines
 from tallgrass.sources.records import parse_delimited, parse_json_lines
 from tallgrass.sources.tables import table
@@ -70,13 +71,6 @@ def sql_range_filter(spark, sf_dir):
     return teenagers.select(F.concat(F.lit("Name: "), F.col("name")).alias("line"))
 
 
-_STRIP_COUNTS = r"""
-    SELECT trim(tok, '.,;:?!-') AS word, count(*) AS count
-    FROM (SELECT unnest(regexp_split_to_array(text, '[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+')) AS tok
-          FROM documents)
-    WHERE tok <> '' GROUP BY 1"""
-
-
 @query("sample_n", oracle=f"""
     SELECT word, count FROM ({_STRIP_COUNTS}) ORDER BY md5(word || ':42'), word LIMIT 10""")
 def sample_n(spark, sf_dir):

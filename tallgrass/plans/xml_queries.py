@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tallgrass.operators import topk
 from tallgrass.plans.registry import query
