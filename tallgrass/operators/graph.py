@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.session import cut_lineage, cut_lineage_bucketed, num_buckets, release
+from tallgrass.session import bucket_count, cut_lineage, cut_lineage_bucketed, release
 
 
 @dataclass(frozen=True)
@@ -135,10 +135,6 @@ def aggregate_messages(g: PropertyGraph, to_dst: Column | None, to_src: Column |
 
 
 # ----------------------------------------------------------- hub splitting
-# Edges per bucket aimed at when bucketing an edge table for an iteration.
-EDGES_PER_BUCKET = 4_000_000
-
-
 def hub_sources(edges: DataFrame, max_hubs: int = 10_000, hub_min_degree: int = 1_000_000,
                 name: str = "hubs") -> tuple[DataFrame, int]:
     """Sources whose out-degree exceeds ``max(hub_min_degree, E / max_hubs)``:
@@ -165,14 +161,12 @@ def bucketed_edges(edges: DataFrame, name: str, max_hubs: int = 10_000, hub_min_
     """Write an iteration's edge table once, bucketed by ``src``, with hub
     sources flagged; returns ``(regular_edges, hub_edges, hub_ids, buckets)``.
 
-    The bucket count is the session's shuffle partition count, lowered for
-    small graphs to about one bucket per ``EDGES_PER_BUCKET`` edges (never
-    below the default parallelism). Both edge sets are filters of the one
+    The bucket count comes from ``bucket_count`` (the shuffle partition
+    count, lowered for small graphs). Both edge sets are filters of the one
     table, so the edges are read twice in all (degrees, then the write)."""
     spark = edges.sparkSession
     hub_ids, n_edges = hub_sources(edges, max_hubs, hub_min_degree, f"{name}-hubs")
-    buckets = min(num_buckets(spark),
-                  max(spark.sparkContext.defaultParallelism, -(-n_edges // EDGES_PER_BUCKET)))
+    buckets = bucket_count(spark, n_edges)
     flagged = (edges.join(F.broadcast(hub_ids.withColumn("_hub", F.lit(True))), "src", "left")
                .withColumn("_hub", F.coalesce(F.col("_hub"), F.lit(False))))
     table = cut_lineage_bucketed(flagged, "src", name, buckets)

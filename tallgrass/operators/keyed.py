@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallgrass.session import cut_lineage, num_buckets
+from tallgrass.session import cut_lineage
 
 # Rows per partial group in the tree reductions below (2**12); each level
 # merges at most this many partial results per key.
@@ -102,9 +102,8 @@ def group_values(df: DataFrame, page_size: int = PAGE_SIZE, name: str = "group")
     partition a key touches -- give each run's offset through a prefix sum;
     offset + position in the run is the rank, and rank // page_size the page.
     """
-    spark = df.sparkSession
-    n = num_buckets(spark)
-    ordered = (df.select("key", "value").repartitionByRange(n, "key", "value")
+    # No explicit partition count: AQE may merge small ranges.
+    ordered = (df.select("key", "value").repartitionByRange("key", "value")
                .sortWithinPartitions("key", "value")
                .select("key", "value", F.spark_partition_id().alias("_pid"),
                        F.monotonically_increasing_id().alias("_pos")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.operators.graph import PropertyGraph, edge_weights
 from tallgrass.operators.pregel import pregel
-from tallgrass.session import cut_lineage, cut_lineage_bucketed, release
+from tallgrass.session import bucket_count, cut_lineage, cut_lineage_bucketed, release
 
 
 def pagerank_pregel(g: PropertyGraph, num_iter: int = 20, reset: float = 0.15) -> DataFrame:
@@ -60,11 +60,14 @@ def pagerank_rounds(edges: DataFrame, num_iter: int = 20, reset: float = 0.15,
     ``materialize_every`` rounds (and after the last). The links are written
     once bucketed by source, and the ranks come out of the per-destination
     sum hash-partitioned the same way, so no round moves the links."""
+    spark = edges.sparkSession
     links = edges.select("src", "dst").dropDuplicates()
-    outdeg = links.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
-    links = cut_lineage_bucketed(links.join(outdeg, "src"), "src", "rounds-links")
+    outdeg = cut_lineage(links.groupBy("src").agg(F.count(F.lit(1)).alias("n")), "rounds-outdeg")
+    buckets = bucket_count(spark, outdeg.select(F.sum("n")).first()[0] or 0)
+    links = cut_lineage_bucketed(links.join(outdeg, "src"), "src", "rounds-links", buckets)
     ranks = cut_lineage_bucketed(outdeg.select(F.col("src").alias("id"), F.lit(1.0).alias("rank")), "id",
-                                 "rounds")
+                                 "rounds", buckets)
+    release(outdeg)
     stored = ranks
     for i in range(1, num_iter + 1):
         contribs = (links.join(ranks.withColumnRenamed("id", "src"), "src")
@@ -72,7 +75,7 @@ def pagerank_rounds(edges: DataFrame, num_iter: int = 20, reset: float = 0.15,
         ranks = (contribs.groupBy(F.col("dst").alias("id"))
                  .agg((F.lit(reset) + F.lit(1.0 - reset) * F.sum("share")).alias("rank")))
         if i % materialize_every == 0 or i == num_iter:
-            ranks = cut_lineage_bucketed(ranks, "id", "rounds", prepartitioned=True)
+            ranks = cut_lineage_bucketed(ranks, "id", "rounds", buckets, prepartitioned=True)
             release(stored)
             stored = ranks
     return ranks
