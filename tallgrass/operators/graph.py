@@ -10,10 +10,11 @@ handling.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallgrass.session import bucket_count, cut_lineage, cut_lineage_bucketed, release
@@ -183,7 +184,8 @@ def connected_components(g: PropertyGraph, max_iter: int = 1000, max_hubs: int =
     smallest label among itself and its neighbours, then the label of its
     label (which lies in the same component and is never larger), so chains
     collapse in far fewer rounds than the diameter. The loop ends when no
-    label changes (one small count per round).
+    label changes (counted while the round's labels are written, through an
+    ``Observation``, so a round is one job).
 
     The symmetric edge table is written once bucketed by source and the label
     table every round bucketed by id, so the neighbour lookup moves no edges;
@@ -195,18 +197,22 @@ def connected_components(g: PropertyGraph, max_iter: int = 1000, max_hubs: int =
            .where(F.col("src") != F.col("dst")).distinct())
     regular, hubs, hub_ids, buckets = bucketed_edges(und, "cc-edges", max_hubs, hub_min_degree)
     labels = cut_lineage_bucketed(g.vertices.select("id", F.col("id").alias("label")), "id", "cc", buckets)
+    rounds = 0
     for _ in range(max_iter):
         src_labels = labels.select(F.col("id").alias("src"), "label")
         hub_labels = F.broadcast(src_labels.join(F.broadcast(hub_ids), "src", "left_semi"))
         nbr = (regular.join(src_labels, "src").unionByName(hubs.join(hub_labels, "src"))
                .groupBy(F.col("dst").alias("id")).agg(F.min("label").alias("nbr")))
         step = (labels.join(nbr, "id", "left")
-                .select("id", F.least(F.col("label"), F.coalesce(F.col("nbr"), F.col("label"))).alias("label")))
+                .select("id", F.col("label").alias("old"),
+                        F.least(F.col("label"), F.coalesce(F.col("nbr"), F.col("label"))).alias("label")))
         jump = (step.join(step.select(F.col("id").alias("label"), F.col("label").alias("l2")), "label", "left")
-                .select("id", F.least(F.col("label"), F.coalesce(F.col("l2"), F.col("label"))).alias("label")))
-        new = cut_lineage_bucketed(jump, "id", "cc", buckets)
-        changed = new.join(labels.withColumnRenamed("label", "old"), "id").where(F.col("label") != F.col("old"))
-        if changed.limit(1).count() == 0:
+                .select("id", "old", F.least(F.col("label"), F.coalesce(F.col("l2"), F.col("label"))).alias("label")))
+        moved = Observation(f"cc-{uuid.uuid4().hex[:8]}-{rounds}")
+        jump = jump.observe(moved, F.sum((F.col("label") != F.col("old")).cast("long")).alias("changed"))
+        new = cut_lineage_bucketed(jump.select("id", "label"), "id", "cc", buckets)
+        rounds += 1
+        if not moved.get.get("changed"):
             release(labels)
             return new.withColumnRenamed("label", "component")
         release(labels)

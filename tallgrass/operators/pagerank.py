@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.operators.graph import PropertyGraph, edge_weights
 from tallgrass.operators.pregel import pregel
-from tallgrass.session import bucket_count, cut_lineage, cut_lineage_bucketed, release
+from tallgrass.session import cut_lineage, cut_lineage_bucketed, num_buckets, release
 
 
 def pagerank_pregel(g: PropertyGraph, num_iter: int = 20, reset: float = 0.15) -> DataFrame:
@@ -63,7 +63,7 @@ def pagerank_rounds(edges: DataFrame, num_iter: int = 20, reset: float = 0.15,
     spark = edges.sparkSession
     links = edges.select("src", "dst").dropDuplicates()
     outdeg = cut_lineage(links.groupBy("src").agg(F.count(F.lit(1)).alias("n")), "rounds-outdeg")
-    buckets = bucket_count(spark, outdeg.select(F.sum("n")).first()[0] or 0)
+    buckets = num_buckets(spark)
     links = cut_lineage_bucketed(links.join(outdeg, "src"), "src", "rounds-links", buckets)
     ranks = cut_lineage_bucketed(outdeg.select(F.col("src").alias("id"), F.lit(1.0).alias("rank")), "id",
                                  "rounds", buckets)

@@ -21,9 +21,10 @@ aggregates. Layout for scale:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallgrass.operators.graph import PropertyGraph, bucketed_edges, split_hubs  # noqa: F401
@@ -60,16 +61,19 @@ def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int,
                .select("dst", send(F.col("src_attr"), F.col("edge")).alias("msg")))
         return out.where(F.col("msg").isNotNull()).groupBy(F.col("dst").alias("id")).agg(merge("msg").alias("msg"))
 
-    # One materialization per superstep: the messages of a step are computed
-    # inside the plan that writes the next state.
+    # One job per superstep: the messages of a step are computed inside the
+    # plan that writes the next state, and the number of vertices that got a
+    # message is observed while it is written (no separate count).
     steps = 0
     while steps < max_iter:
         got = F.col("msg").isNotNull()
-        new = cut_lineage_bucketed(
-            state.join(messages(state), "id", "left")
-            .select("id", F.when(got, vprog(F.col(attr), F.col("msg"))).otherwise(F.col(attr)).alias(attr),
-                    got.alias("active")), "id", "pregel", buckets, prepartitioned=True)
-        if new.where("active").limit(1).count() == 0:
+        seen = Observation(f"pregel-{uuid.uuid4().hex[:8]}-{steps}")
+        step = (state.join(messages(state), "id", "left")
+                .select("id", F.when(got, vprog(F.col(attr), F.col("msg"))).otherwise(F.col(attr)).alias(attr),
+                        got.alias("active"))
+                .observe(seen, F.sum(F.col("active").cast("long")).alias("active")))
+        new = cut_lineage_bucketed(step, "id", "pregel", buckets, prepartitioned=True)
+        if not seen.get.get("active"):
             release(new)
             break  # no vertex received a message: the state did not change
         release(state)

@@ -107,16 +107,14 @@ def num_buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-# Rows per bucket aimed at for iteration tables on small inputs.
-ROWS_PER_BUCKET = 4_000_000
-
-
 def bucket_count(spark: SparkSession, n_rows: int) -> int:
-    """Buckets for an iteration table of ``n_rows`` rows: the shuffle partition
-    count (so shuffles line up with the buckets), lowered for small inputs to
-    about one bucket per ``ROWS_PER_BUCKET`` rows, never below the default
-    parallelism."""
-    return min(num_buckets(spark), max(spark.sparkContext.defaultParallelism, -(-n_rows // ROWS_PER_BUCKET)))
+    """Buckets for an iteration table of ``n_rows`` rows: the session's shuffle
+    partition count, so the per-round shuffle lines up with the buckets and
+    the state join needs no exchange. (Fewer buckets for small inputs were
+    measured slower: every round then pays a re-shuffle to realign.) Size the
+    shuffle partition count to the data (README, "Running at scale")."""
+    del n_rows
+    return num_buckets(spark)
 
 
 def cut_lineage_bucketed(df: DataFrame, col: str, name: str = "stage", buckets: int | None = None,
