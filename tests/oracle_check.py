@@ -16,7 +16,7 @@ import sys
 import time
 from decimal import Decimal
 
-import duckdb  # noqa: I001
+import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 

@@ -253,3 +253,21 @@ def test_components_with_hub_split(spark):
     split = as_dict(G.connected_components(g, max_hubs=4, hub_min_degree=1), "id", "component")
     assert plain == split
     assert {plain[i] for i in range(100, 120)} == {100} and plain[7] == 5 and plain[8] == 8
+
+
+def test_graph_invariants_on_driver_graph(spark):
+    """Component label <= own id and is a member of the component; converged
+    PageRank sums to the vertex count (SURVEY section 5, item 4)."""
+    import os
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables not present")
+    from tallgrass.plans.graph_queries import graph
+    g = graph(spark, sf)
+    sub = G.subgraph(g, F.col("age") > 45)
+    cc = G.connected_components(sub)
+    assert cc.where(F.col("component") > F.col("id")).count() == 0
+    assert cc.join(sub.vertices.select(F.col("id").alias("component")), "component", "left_anti").count() == 0
+    ranks = P.pagerank_tolerance(g, 1e-4)
+    total, n = ranks.agg(F.sum("rank"), F.count(F.lit(1))).first()
+    assert total == pytest.approx(n, rel=1e-9)
