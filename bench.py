@@ -36,7 +36,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     only = sys.argv[1:]
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus)),
                         extra={"spark.driver.memory": "16g"})
     reg = load_all()
     names = only or [n for n in HEADLINE if n in reg]
