@@ -271,3 +271,39 @@ def test_graph_invariants_on_driver_graph(spark):
     ranks = P.pagerank_tolerance(g, 1e-4)
     total, n = ranks.agg(F.sum("rank"), F.count(F.lit(1))).first()
     assert total == pytest.approx(n, rel=1e-9)
+
+
+def _rides(spark, rows):
+    """rows: (rideId, isStart, lon_u, lat_u, time) with both ends at the same point."""
+    df = spark.createDataFrame(rows, "rideId bigint, isStart boolean, lon bigint, lat bigint, t string")
+    return df.select("rideId", "isStart", F.col("lon").alias("startLon_u"), F.col("lat").alias("startLat_u"),
+                     F.col("lon").alias("endLon_u"), F.col("lat").alias("endLat_u"),
+                     F.col("t").cast("timestamp_ntz").alias("eventTime"))
+
+
+def test_popular_places_threshold_is_strict(spark):
+    from tallgrass.functions.geo import Box, Grid
+    from tallgrass.operators import rides as R
+    box = Box.degrees(-74.0, -73.7, 40.5, 41.0)
+    grid = Grid.degrees(-74.0, 41.0, 0.1, 0.1, 3)
+    rows = [(i, True, -73_950_000, 40_950_000, "2024-01-01 10:01:00") for i in range(3)]
+    rows += [(10 + i, False, -73_850_000, 40_950_000, "2024-01-01 10:01:00") for i in range(2)]
+    rows += [(20, True, -75_000_000, 40_950_000, "2024-01-01 10:01:00")]  # outside the box
+    got = R.popular_places(_rides(spark, rows), box, grid, threshold=2).collect()
+    # Departures: 3 > 2 in each of the three sliding windows; arrivals: 2 is not > 2.
+    assert {(r.isStart, r["count"]) for r in got} == {(True, 3)} and len(got) == 3
+    assert {(r.centerLon, r.centerLat) for r in got} == {(-73.95, 40.95)}
+
+
+def test_hourly_winner_tie_goes_to_lowest_terminal(spark):
+    from tallgrass.functions.geo import Grid
+    from tallgrass.operators import rides as R
+    grid = Grid.degrees(-74.0, 41.0, 0.05, 0.05, 6)
+    dim = R.terminal_dimension(spark, {0: "TERMINAL_2", 1: "TERMINAL_1"})
+    rows = [(1, True, -73_990_000, 40_990_000, "2024-01-01 10:05:00"),   # cell 0
+            (2, True, -73_940_000, 40_990_000, "2024-01-01 10:10:00"),   # cell 1
+            (3, True, -73_700_000, 40_600_000, "2024-01-01 10:20:00"),   # no terminal
+            (4, False, -73_940_000, 40_990_000, "2024-01-01 11:20:00")]  # arrival at cell 1
+    got = sorted((r.terminal, r["count"], r.hour) for r in R.terminal_trends(_rides(spark, rows), grid, dim).collect())
+    # 10:00 UTC is 05:00 in New York (EST); 11:00 UTC is 06:00.
+    assert got == [("TERMINAL_1", 1, 5), ("TERMINAL_1", 1, 6)]
