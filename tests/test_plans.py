@@ -48,6 +48,24 @@ def test_gold_access_broadcasts_only_the_top_ten(spark):
     assert p.split("\n\n")[0].count("BroadcastExchange") == 1
 
 
+def final_plan(df) -> str:
+    df.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue().split("== Initial Plan ==")[0]
+
+
+def test_gold_access_scans_the_log_once(spark):
+    p = final_plan(load_all()["gold_access"].fn(spark, SF))
+    assert p.count("FileScan parquet") == 1 and "ReusedExchange" in p
+
+
+def test_code_share_total_reuses_the_count_shuffle(spark):
+    p = final_plan(load_all()["code_percentage"].fn(spark, SF))
+    assert "ReusedExchange" in p
+
+
 def test_code_share_uses_a_scalar_subquery_not_a_cross_join(spark):
     p = plan(load_all()["code_percentage"].fn(spark, SF))
     assert "Subquery" in p and "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
