@@ -104,11 +104,20 @@ def join_vertices(g: PropertyGraph, other: DataFrame, attr: str, fn: Callable[[C
                            .alias(attr) if c == attr else F.col(c) for c in g.vertices.columns])
 
 
+def degrees(g: PropertyGraph) -> DataFrame:
+    """(id, inDeg, outDeg) for every vertex with an edge, in one pass over the
+    edges: each edge counts once for its source and once for its destination."""
+    ends = F.array(F.struct(F.col("src").alias("id"), F.lit(0).alias("i"), F.lit(1).alias("o")),
+                   F.struct(F.col("dst").alias("id"), F.lit(1).alias("i"), F.lit(0).alias("o")))
+    return (g.edges.select(F.explode(ends).alias("e"))
+            .groupBy(F.col("e.id").alias("id"))
+            .agg(F.sum("e.i").cast("int").alias("inDeg"), F.sum("e.o").cast("int").alias("outDeg")))
+
+
 def with_degrees(g: PropertyGraph) -> DataFrame:
-    """Vertices with in- and out-degree, 0 where absent."""
-    return (outer_join_vertices(g, in_degrees(g), 0)
-            .join(out_degrees(g), "id", "left")
-            .withColumn("outDeg", F.coalesce(F.col("outDeg"), F.lit(0))))
+    """Vertices with in- and out-degree, 0 where absent (the reference's
+    two ``outerJoinVertices``, as one degree pass and one left join)."""
+    return outer_join_vertices(g, degrees(g), 0)
 
 
 def edge_weights(g: PropertyGraph) -> DataFrame:

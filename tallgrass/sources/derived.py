@@ -113,13 +113,13 @@ def part_supplier_edges(lineitem: DataFrame, back_edges: str = "l_linenumber = 1
     """Directed multigraph: part ``2*l_partkey`` -> supplier ``2*l_suppkey+1``
     for every line item, plus supplier -> part for the line items matching
     ``back_edges``; weight = quantity. Parts never named on such a line get
-    no in-links."""
-    fwd = lineitem.select((F.col("l_partkey") * 2).alias("src"), (F.col("l_suppkey") * 2 + 1).alias("dst"),
-                          F.col("l_quantity").cast("int").alias("weight"))
-    back = lineitem.where(back_edges).select((F.col("l_suppkey") * 2 + 1).alias("src"),
-                                             (F.col("l_partkey") * 2).alias("dst"),
-                                             F.col("l_quantity").cast("int").alias("weight"))
-    return fwd.unionByName(back)
+    no in-links. One scan: each line item emits one or two edges."""
+    qty = F.col("l_quantity").cast("int")
+    part, supp = F.col("l_partkey") * 2, F.col("l_suppkey") * 2 + 1
+    fwd = F.struct(part.alias("src"), supp.alias("dst"), qty.alias("weight"))
+    back = F.struct(supp.alias("src"), part.alias("dst"), qty.alias("weight"))
+    both = F.when(F.expr(back_edges), F.array(fwd, back)).otherwise(F.array(fwd))
+    return lineitem.select(F.explode(both).alias("e")).select("e.src", "e.dst", "e.weight")
 
 
 def part_supplier_vertices(part: DataFrame, supplier: DataFrame) -> DataFrame:
