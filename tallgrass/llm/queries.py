@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, sentencepiece_bpe, wavelet
 from .common import table, written
 
 QUERIES = {}
@@ -20,6 +20,28 @@ def registered(fn):
     return fn
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@registered
+def op3_sentencepiece(spark: SparkSession, sf_dir: str, model: str = "piece_bpe_32k.model") -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = sentencepiece_bpe.encode_decode(docs, tokenizer_file(model), decoded="decoded")
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@registered
+def op6_token_shards(spark: SparkSession, sf_dir: str, model: str = "word_bpe_49k.json", end_id: int = 1) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return wavelet.read_shards(*wavelet.write_shards(docs, tokenizer_file(model), end_id))
+
+
 @registered
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
