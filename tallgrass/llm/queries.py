@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sentencepiece_bpe, wavelet
+from . import exact_dedup, mixing, sentencepiece_bpe, simhash, wavelet
 from .common import table, written
 
 QUERIES = {}
@@ -26,6 +26,11 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@registered
+def op1_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @registered
 def op3_sentencepiece(spark: SparkSession, sf_dir: str, model: str = "piece_bpe_32k.model") -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
