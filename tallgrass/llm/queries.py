@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sentencepiece_bpe, simhash, wavelet
-from .common import table, written
+from . import exact_dedup, langid, mixing, quality, sentencepiece_bpe, simhash, toxicity, wavelet
+from .common import id_crc, table, written
 
 QUERIES = {}
 ORACLES = {}
@@ -41,12 +41,29 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str, model: str = "piece_bpe_
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@registered
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs)
+    return langid.with_language(docs, model, keep=["doc_id"]).select(
+        "doc_id", (id_crc() % 4 == 2).alias("held_out"), "lang_pred", "score")
+
+
 @registered
 def op6_token_shards(spark: SparkSession, sf_dir: str, model: str = "word_bpe_49k.json", end_id: int = 1) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return wavelet.read_shards(*wavelet.write_shards(docs, tokenizer_file(model), end_id))
 
 
+@registered
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.with_score(docs, model, keep=["doc_id"]).select(
+        "doc_id", (id_crc() % 5 == 0).alias("held_out"), "score",
+        (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
+
+
 @registered
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,6 +78,15 @@ WINDOW g AS (PARTITION BY body)
 """
 
 
+@registered
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.with_severity(docs, model, toxic="score", keep=["doc_id"]).select(
+        "doc_id", (id_crc() % 5 == 0).alias("held_out"), "severity", "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @registered
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count().alias("size"))
