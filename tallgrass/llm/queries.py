@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, mixing, quality, sentencepiece_bpe, simhash, topk, toxicity, wavelet
+from . import exact_dedup, langid, mixing, quality, sentencepiece_bpe, simhash, topk, toxicity, warc, wavelet
 from .common import id_crc, table, written
 
 QUERIES = {}
@@ -61,6 +61,21 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str, model: str = "piece_bpe_
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@registered
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+ORACLES["op4_warc"] = """
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
+FROM (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+             sha1(encode(coalesce(html, ''))) AS payload_digest,
+             max(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+"""
+
+
 @registered
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
