@@ -152,7 +152,7 @@ class WordTokenizer:
 
     def __init__(self, spec: str):
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_str(spec)
         conf = json.loads(spec)
@@ -161,34 +161,53 @@ class WordTokenizer:
                 [s["type"] for s in steps] != ["Split", "ByteLevel"] or not steps[0]["invert"] or steps[1]["add_prefix_space"]:
             raise ValueError("not a tokenizer that works word by word")
         self.split = regex.compile(steps[0]["pattern"]["Regex"]).findall
-        # Latin-1 letters, digits and signs: composed already, and lower-cased alike everywhere
-        self.plain = regex.compile(r"[!-;=-~À-ÖØ-öø-ÿ]+").fullmatch
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.shown = dict(zip(shown, shown, strict=True)) | {b: 256 + k for k, b in enumerate(hidden)}
+        end = self.tok.model.end_of_word_suffix
+        vocab = self.tok.get_vocab(with_added_tokens=False)
+        if not end or any(chr(c) + end not in vocab or chr(c) not in vocab for c in self.shown.values()):
+            raise ValueError("not a tokenizer of bytes with word ends")
+        self.shown[ord(" ")] = ord(" ")
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith(end)]] = True
+        # the same model on words that are normalised and split already
+        self.bare = Tokenizer(self.tok.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.parts, self.words = WordIds(self.encode_parts), WordIds(self.encode_words)
 
     def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        model, out, size = self.tok.model, [], []
-        for p in parts:
-            got = model.tokenize(p.encode().decode("latin-1").translate(self.shown))
-            out += [t.id for t in got]
-            size.append(len(got))
-        return np.array(out, np.int32), np.array(size, np.int64)
+        """Ids of words as the tokenizer splits them; those that begin with a blank are to be split yet."""
+        simple = [p for p in parts if p[0] != " "]
+        lines = [" ".join(simple[k:k + 1000]) for k in range(0, len(simple), 1000)]
+        lines = [x.encode().decode("latin-1").translate(self.shown) for x in lines]
+        got = [e.ids for e in self.bare.encode_batch_fast(lines, add_special_tokens=False)]
+        flat = np.array([i for ids in got for i in ids], np.int32)
+        size = np.diff(np.flatnonzero(self.last[flat]), prepend=-1) if len(flat) else np.zeros(0, np.int64)
+        if len(simple) == len(parts):
+            return flat, size
+        each = iter(np.split(flat, np.cumsum(size)[:-1]))
+        out = [next(each) if p[0] != " " else np.array(self.tok.encode(p[1:], add_special_tokens=False).ids, np.int32)
+               for p in parts]
+        return np.concatenate(out), np.array([len(x) for x in out])
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        cut = [self.split(w.lower()) if self.plain(w) else None for w in words]
-        flat, size = self.parts.ids([p for c in cut if c for p in c])
-        ends, at, seq, out, sizes = np.cumsum(np.append(0, size)), 0, flat.tolist(), [], []
-        for w, c in zip(words, cut, strict=True):
-            if c is None:
-                got = self.tok.encode(w, add_special_tokens=False).ids
+        parts, count = [], []
+        for w in words:
+            core, mark = (w[:-1], w[-1]) if w[-1:] in (".", ",") else (w, "")
+            if core.isalpha() and (core.isascii() or max(core) <= "ÿ"):  # Latin-1 letters are composed already
+                parts.append(core.lower())
+                count.append(1)
+                if mark:
+                    parts.append(mark)
+                    count[-1] = 2
             else:
-                got = seq[ends[at]:ends[at + len(c)]]
-                at += len(c)
-            out += got
-            sizes.append(len(got))
-        return np.array(out, np.int32), np.array(sizes, np.int64)
+                some = self.split(w.lower()) if (w.isascii() or max(w) <= "ÿ") and "<|" not in w else [" " + w]
+                parts += some
+                count.append(len(some))
+        flat, size = self.parts.ids(parts)
+        upto = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])]
+        return flat, np.diff(upto)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the number of ids of each (null: none)."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 
@@ -38,14 +39,15 @@ class WordIds:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         if len(self.known) > self.most:
             self.forget()
-        found = list(map(self.known.get, words))
-        if new := list(dict.fromkeys(w for w, k in zip(words, found, strict=True) if k is None)):
+        code = np.array(list(map(self.known.get, words, repeat(-1))), np.int64)
+        if len(gaps := np.flatnonzero(code < 0)):
+            missing = [words[k] for k in gaps.tolist()]
+            new = list(dict.fromkeys(missing))
             flat, size = self.encode_new(new)
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(size)])
             self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
-            found = [self.known[w] if k is None else k for w, k in zip(words, found, strict=True)]
-        code = np.array(found, np.int64)
+            code[gaps] = list(map(self.known.__getitem__, missing))
         size = self.starts[code + 1] - self.starts[code]
         total = np.cumsum(size)
         return self.flat[np.repeat(self.starts[code] - (total - size), size) + np.arange(total[-1])], size
