@@ -142,7 +142,8 @@ def train(docs: DataFrame, text: str = "text", id_col: str = "doc_id", lang: str
     """Samples and automata from the rows whose id is not held out and whose
     language is known: of each of the most frequent MOST_LANGUAGES languages
     the first SAMPLE_DOCS documents by a hash of the id, of each DOC_CHARS
-    characters, and of these SAMPLE_CHARS in all."""
+    characters, and of these SAMPLE_CHARS in all. Without such rows the model
+    knows no language and every text is ``und``."""
     known = docs.filter(F.col(lang).isNotNull() & (id_crc(id_col) % 4 != 2)).select(
         F.col(id_col).alias("id"), F.col(lang).alias("lang"))
     frequent = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
@@ -151,8 +152,6 @@ def train(docs: DataFrame, text: str = "text", id_col: str = "doc_id", lang: str
     body = F.substring(F.coalesce(F.col(text), F.lit("")), 1, DOC_CHARS)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang).alias("lang"), body.alias("body")).join(
         F.broadcast(chosen), ["id", "lang"]).collect()
-    if not rows:
-        raise ValueError("no rows with a language to learn from")
     samples: dict[str, str] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["k"], r["body"])):
         if len(samples.setdefault(r["lang"], "")) < SAMPLE_CHARS:
@@ -193,8 +192,8 @@ def with_language(df: DataFrame, model: Model, text: str = "text", out: str = "l
             h = entropies([t or "" for t in batch.column(len(keep)).to_pylist()], shared.value, codes)
             none = np.isnan(h).all(1)
             h[none] = 0.0
-            best = h.argmin(1)
-            sure = 1 / np.exp(-10 * (h - h.min(1, keepdims=True))).sum(1)
+            best = h.argmin(1) if h.shape[1] else np.zeros(len(h), int)
+            sure = 1 / np.maximum(1, np.exp(-10 * (h - h.min(1, initial=np.inf, keepdims=True))).sum(1))
             cols = [pa.array(names[np.where(none, len(names) - 1, best)], pa.string()), pa.array(np.where(none, 0.0, sure))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *cols], names=[*keep, out, score])
 

@@ -81,32 +81,29 @@ def fit(x: np.ndarray, grade: np.ndarray, share: float, rounds: int = 800, ridge
     if top == 0:
         return w, np.full(GRADES, 40.0)
     balance = np.where(grade == 0, (1 - share) / max(1, (grade == 0).sum()), share / (grade > 0).sum())
-    par = np.concatenate([w, [first], gaps])
-    m, v = np.zeros_like(par), np.zeros_like(par)
+    par = np.concatenate([w, [first], gaps])  # weights, first threshold, logarithms of the steps to the next ones
+    m, v, at, rows = np.zeros_like(par), np.zeros_like(par), x.shape[1], np.arange(len(x))
     for t in range(1, rounds + 1):
-        w, th = par[:-top], np.cumsum(np.concatenate([par[-top:-top + 1 or None][:1], np.exp(par[len(par) - top + 1:])]))
-        z = x @ w
-        upper = np.hstack([np.ones((len(z), 1)), sigmoid(z[:, None] - th)])  # at least 0, 1, ..., top
-        lower = np.hstack([upper[:, 1:], np.zeros((len(z), 1))])
-        rows = np.arange(len(z))
+        w, steps = par[:at], np.exp(par[at + 1:])
+        thresholds = np.cumsum(np.concatenate([par[at:at + 1], steps]))
+        upper = np.hstack([np.ones((len(x), 1)), sigmoid((x @ w)[:, None] - thresholds)])  # at least 0, 1, ..., top
+        lower = np.hstack([upper[:, 1:], np.zeros((len(x), 1))])
         a, b = upper[rows, grade], lower[rows, grade]
         p = np.maximum(a - b, 1e-9)
         da, db = balance * a * (1 - a) / p, balance * b * (1 - b) / p
-        grad_z = db - da
-        grad_th = np.array([da[grade == k].sum() - db[grade == k - 1].sum() for k in range(1, top + 1)])
-        below = np.cumsum(grad_th[::-1])[::-1]
-        grad = np.concatenate([x.T @ grad_z + ridge * w, below[:1], below[1:] * np.exp(par[len(par) - top + 1:])])
+        by_threshold = np.array([da[grade == k].sum() - db[grade == k - 1].sum() for k in range(1, top + 1)])
+        above = np.cumsum(by_threshold[::-1])[::-1]
+        grad = np.concatenate([x.T @ (db - da) + ridge * w, above[:1], above[1:] * steps])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         par = par - 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
-    th = np.cumsum(np.concatenate([par[len(par) - top:len(par) - top + 1], np.exp(par[len(par) - top + 1:])]))
-    return par[:-top], th
+    return par[:at], np.cumsum(np.concatenate([par[at:at + 1], np.exp(par[at + 1:])]))
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label: str = "toxic",
           sample: int = SAMPLE) -> Model:
     """A model from the rows of ``labels`` whose id is not held out and whose
     label is 0 or 1: at most ``sample`` of each, the first by a hash of the id;
-    of near copies among them one."""
+    of near copies among them one. Without toxic rows no text is toxic."""
     spark = docs.sparkSession
     small_batches(spark)
     known = labels.filter(F.col(label).isin(0, 1) & (id_crc(id_col) % 5 != 0)).select(

@@ -146,7 +146,7 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     return written(marked.mapInArrow(run, "key string, file string, offset long, length long"), "captures")
 
 
-def write_index(captures: DataFrame, folder: str) -> list[tuple[str, str]]:
+def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> list[tuple[str, str]]:
     """Sorts the captures' keys over all index files and writes these; returns
     the first key and the name of each, in order (one entry per file)."""
 
@@ -166,7 +166,7 @@ def write_index(captures: DataFrame, folder: str) -> list[tuple[str, str]]:
                 if out is None:
                     name, out = store.new_file(".cdx")
                 lines.append(f"{key}\t{json.dumps(where)}")
-                if len(lines) == BLOCK_LINES:
+                if len(lines) == block_lines:
                     close_block()
         if out:
             if lines:
