@@ -114,11 +114,13 @@ def phrases(seq: np.ndarray, starts: np.ndarray, sizes: np.ndarray, table: np.nd
         while active and sizes[active - 1] <= t:
             active = int(np.searchsorted(-sizes, -t, "left"))
         c = seq[starts[:active] + t]
-        to = flat[state[:active] * width + c]
+        here, again = state[:active], root[c]
+        to = flat[here * width + c]
         end = to == 0
-        count[:active] += end
-        state[:active] = np.where(end, root[c], to)
-    return count
+        # the phrase so far ends; a character that the sample lacks is a phrase of its own
+        count[:active] += (end & (here > 0)).astype(np.int64) + (end & (again == 0))
+        state[:active] = np.where(end, again, to)
+    return count + (state > 0)
 
 
 def entropies(texts: list[str], model: Model, codes: np.ndarray) -> np.ndarray:
