@@ -27,8 +27,8 @@ from .worker import Folder, WordIds, once
 
 MAGIC = b"WVMX0001"
 STEP = 512  # bits between running counts
-#: Ids gathered before a shard is closed (one longer document is a shard of its own).
-SHARD_TOKENS = 2_000_000
+#: Documents encoded at once, and ids after which a shard is closed.
+CHUNK_DOCS, SHARD_TOKENS = 100, 2_000_000
 
 
 class WaveletMatrix:
@@ -255,12 +255,13 @@ def write_shards(df: DataFrame, tokenizer_path: str, end_id: int, text: str = "t
             return pa.RecordBatch.from_arrays([pa.array(x) for x in row], names=["part", "no", "file", "n_docs", "n_tokens"])
 
         for batch in batches:
-            flat, counts = tok.encode(batch.column(1).to_pylist())
-            ends = np.cumsum(counts)
-            docs += batch.column(0).to_pylist()
-            held.append((counts + 1, np.insert(flat, ends, end_id).astype(np.uint32)))
-            if sum(len(ids) for _, ids in held) >= shard_tokens:
-                yield close()
+            names = batch.column(0).to_pylist()
+            for a in range(0, len(names), CHUNK_DOCS):
+                flat, counts = tok.encode(batch.column(1).slice(a, CHUNK_DOCS).to_pylist())
+                docs += names[a:a + CHUNK_DOCS]
+                held.append((counts + 1, np.insert(flat, np.cumsum(counts), end_id).astype(np.uint32)))
+                if sum(len(ids) for _, ids in held) >= shard_tokens:
+                    yield close()
         if docs:
             yield close()
 

@@ -25,7 +25,7 @@ class WordIds:
     returns their ids end to end and the number of ids of each. The memory
     starts anew beyond ``most`` words, so it stays bounded."""
 
-    def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 400_000):
+    def __init__(self, encode_new: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 200_000):
         self.encode_new, self.most = encode_new, most
         self.forget()
 
