@@ -10,14 +10,13 @@ handling.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.session import bucket_count, cut_lineage, cut_lineage_bucketed, release
+from tallgrass.session import cut_lineage, cut_lineage_bucketed, num_buckets, release, settled
 
 
 @dataclass(frozen=True)
@@ -35,9 +34,10 @@ class PropertyGraph:
 
 # --------------------------------------------------------------- sources
 def parse_edge_list(lines: DataFrame, col: str = "value", skip_comments: bool = True) -> DataFrame:
-    """S8 ``GraphLoader.edgeListFile``: ``src dst`` per line, ``#`` lines skipped,
-    ids as bigint. Vertices are the distinct endpoints (``edge_vertices``)."""
-    src = lines.where(~F.col(col).startswith("#")) if skip_comments else lines
+    """S8 ``GraphLoader.edgeListFile``: ``src dst`` per line, ``#`` and blank
+    lines skipped, ids as bigint. Vertices are the distinct endpoints (``edge_vertices``)."""
+    src = lines.where(F.col(col).rlike(r"\S"))
+    src = src.where(~F.col(col).startswith("#")) if skip_comments else src
     parts = F.split(F.trim(F.col(col)), r"\s+")
     return src.select(F.get(parts, 0).cast("bigint").alias("src"), F.get(parts, 1).cast("bigint").alias("dst"))
 
@@ -144,89 +144,117 @@ def aggregate_messages(g: PropertyGraph, to_dst: Column | None, to_src: Column |
     return msgs.groupBy("id").agg(merge(F.col(name)).alias(name))
 
 
+def map_vertices(g: PropertyGraph, **attrs: Column) -> PropertyGraph:
+    """G9 ``mapVertices``: every vertex keeps its id and gets the given
+    attributes (expressions over ``id`` and the old ones) in place of its own."""
+    return PropertyGraph(g.vertices.select("id", *[e.alias(n) for n, e in attrs.items()]), g.edges)
+
+
+def map_edges(g: PropertyGraph, **attrs: Column) -> PropertyGraph:
+    """G9 ``mapEdges``: the same for edges, over ``src``, ``dst`` and edge attributes."""
+    return PropertyGraph(g.vertices, g.edges.select("src", "dst", *[e.alias(n) for n, e in attrs.items()]))
+
+
+def map_triplets(g: PropertyGraph, **attrs: Column) -> PropertyGraph:
+    """G9/G11 ``mapTriplets``: edge attributes from expressions that may also
+    use the two ends' attributes (``src_*``, ``dst_*``)."""
+    return PropertyGraph(g.vertices, triplets(g).select("src", "dst", *[e.alias(n) for n, e in attrs.items()]))
+
+
 # ----------------------------------------------------------- hub splitting
-def hub_sources(edges: DataFrame, max_hubs: int = 10_000, hub_min_degree: int = 1_000_000,
-                name: str = "hubs") -> tuple[DataFrame, int]:
-    """Sources whose out-degree exceeds ``max(hub_min_degree, E / max_hubs)``:
-    at most ``max_hubs`` rows (a proven bound, so the set may be broadcast).
-    One pass over the edges (the per-source degree aggregate, partial then
-    final); returns the materialized hub ids and the edge count."""
-    deg = cut_lineage(edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg")), f"{name}-deg")
-    n_edges = deg.select(F.sum("_deg")).first()[0] or 0
-    threshold = max(hub_min_degree, -(-n_edges // max_hubs))
-    hub_ids = cut_lineage(deg.where(F.col("_deg") > threshold).select("src"), name)
-    release(deg)
-    return hub_ids, n_edges
-
-
-def split_hubs(edges: DataFrame, max_hubs: int = 10_000, hub_min_degree: int = 1_000_000):
-    """Split an edge table by source out-degree (lazily): ``(regular_edges,
-    hub_edges, hub_ids)``; see ``hub_sources`` for the bound on ``hub_ids``."""
-    hub_ids, _ = hub_sources(edges, max_hubs, hub_min_degree)
-    return (edges.join(F.broadcast(hub_ids), "src", "left_anti"),
-            edges.join(F.broadcast(hub_ids), "src", "left_semi"), hub_ids)
-
-
-def bucketed_edges(edges: DataFrame, name: str, max_hubs: int = 10_000, hub_min_degree: int = 1_000_000):
-    """Write an iteration's edge table once, bucketed by ``src``, with hub
-    sources flagged; returns ``(regular_edges, hub_edges, hub_ids, buckets)``.
-
-    The bucket count comes from ``bucket_count`` (the shuffle partition
-    count, lowered for small graphs). Both edge sets are filters of the one
-    table, so the edges are read twice in all (degrees, then the write)."""
+@dataclass(frozen=True)
+class IterationEdges:
+    """An iteration's static edge tables, out-degree column ``n_out`` included:
+    ``regular`` bucketed by source, ``hubs`` as the edges lie (not bucketed, so
+    no task has all edges of a hub), ``hub_ids`` a bounded list of sources."""
+    regular: DataFrame
+    hubs: DataFrame
+    hub_ids: DataFrame
+    n_hubs: int
+    buckets: int
+
+    def out_of(self, sources: DataFrame) -> DataFrame:
+        """Edges joined to rows of ``sources`` (one per ``src``, bucketed the
+        same way): regular edges do not move, hub edges meet a broadcast of at
+        most as many rows as there are hubs."""
+        regular = self.regular.join(sources, "src")
+        if not self.n_hubs:
+            return regular
+        few = F.broadcast(sources.join(F.broadcast(self.hub_ids), "src", "left_semi"))
+        return regular.unionByName(self.hubs.join(few, "src"))
+
+    def release(self) -> None:
+        release(self.regular, self.hubs, self.hub_ids)
+
+
+def iteration_edges(edges: DataFrame, name: str, max_hubs: int | None = None, hub_min_degree: int = 1) -> IterationEdges:
+    """Prepare an iteration's edges from one evaluation of ``edges``.
+
+    The edges are written once as they come; out-degrees, the hub list and both
+    edge tables are made from that copy. A hub has more than ``E / max_hubs``
+    edges (and ``hub_min_degree``), so there are at most ``max_hubs`` of them:
+    a proven bound for the broadcasts. The default of four times the bucket
+    count makes every source a hub that would fill a quarter of a mean bucket.
+    """
     spark = edges.sparkSession
-    hub_ids, n_edges = hub_sources(edges, max_hubs, hub_min_degree, f"{name}-hubs")
-    buckets = bucket_count(spark, n_edges)
-    flagged = (edges.join(F.broadcast(hub_ids.withColumn("_hub", F.lit(True))), "src", "left")
-               .withColumn("_hub", F.coalesce(F.col("_hub"), F.lit(False))))
-    table = cut_lineage_bucketed(flagged, "src", name, buckets)
-    return (table.where(~F.col("_hub")).drop("_hub"), table.where(F.col("_hub")).drop("_hub"), hub_ids, buckets)
+    buckets = num_buckets(spark)
+    flat = cut_lineage(edges, f"{name}-flat")
+    degree = cut_lineage(flat.groupBy("src").agg(F.count(F.lit(1)).alias("n_out")), f"{name}-degree")
+    total = degree.select(F.sum("n_out")).first()[0] or 0
+    threshold = max(hub_min_degree, -(-total // (max_hubs or 4 * buckets)))
+    hub_degree = F.broadcast(degree.where(F.col("n_out") > threshold))
+    hubs = cut_lineage(flat.join(hub_degree, "src"), f"{name}-hub-edges")
+    hub_ids = cut_lineage(degree.where(F.col("n_out") > threshold).select("src"), f"{name}-hubs")
+    rest = flat.join(F.broadcast(hub_ids), "src", "left_anti").join(degree, "src")
+    regular = cut_lineage_bucketed(rest, "src", name, buckets)
+    release(flat, degree)
+    return IterationEdges(regular, hubs, hub_ids, hub_ids.count(), buckets)
 
 
 # ----------------------------------------------------- connected components
-def connected_components(g: PropertyGraph, max_iter: int = 1000, max_hubs: int = 10_000,
-                         hub_min_degree: int = 1_000_000) -> DataFrame:
-    """G7 ``connectedComponents``: (id, component) with the lowest vertex id of
-    the component, edge direction ignored.
-
-    Min-label propagation with pointer jumping: each round a vertex takes the
-    smallest label among itself and its neighbours, then the label of its
-    label (which lies in the same component and is never larger), so chains
-    collapse in far fewer rounds than the diameter. The loop ends when no
-    label changes (counted while the round's labels are written, through an
-    ``Observation``, so a round is one job).
-
-    The symmetric edge table is written once bucketed by source and the label
-    table every round bucketed by id, so the neighbour lookup moves no edges;
-    hub sources (see ``split_hubs``) get their labels by a broadcast of at most
-    ``max_hubs`` rows. Each round's labels are a reliable table in the shared
-    checkpoint folder: a lost executor costs one round, the plan never grows.
+def star_components(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
+    """``node`` and ``component`` (the smallest node that it reaches) for every
+    node of an undirected edge set; loops, repeats and null ends do no harm.
+
+    Alternating large-star and small-star rounds: every node's larger
+    neighbours move to its smallest one, then its smaller neighbours join the
+    smallest. The edges shrink to one star per component in O(log^2 n) rounds,
+    which is the method's proven bound, so there is no cap. Minima are partial
+    aggregates and the joins back are plain equi-joins that AQE can split, so a
+    hub or a giant component costs no single task. A round is one written
+    table; it ends when a round changes no edge.
     """
-    und = (g.edges.select("src", "dst").union(g.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-           .where(F.col("src") != F.col("dst")).distinct())
-    regular, hubs, hub_ids, buckets = bucketed_edges(und, "cc-edges", max_hubs, hub_min_degree)
-    labels = cut_lineage_bucketed(g.vertices.select("id", F.col("id").alias("label")), "id", "cc", buckets)
-    rounds = 0
-    for _ in range(max_iter):
-        src_labels = labels.select(F.col("id").alias("src"), "label")
-        hub_labels = F.broadcast(src_labels.join(F.broadcast(hub_ids), "src", "left_semi"))
-        nbr = (regular.join(src_labels, "src").unionByName(hubs.join(hub_labels, "src"))
-               .groupBy(F.col("dst").alias("id")).agg(F.min("label").alias("nbr")))
-        step = (labels.join(nbr, "id", "left")
-                .select("id", F.col("label").alias("old"),
-                        F.least(F.col("label"), F.coalesce(F.col("nbr"), F.col("label"))).alias("label")))
-        jump = (step.join(step.select(F.col("id").alias("label"), F.col("label").alias("l2")), "label", "left")
-                .select("id", "old", F.least(F.col("label"), F.coalesce(F.col("l2"), F.col("label"))).alias("label")))
-        moved = Observation(f"cc-{uuid.uuid4().hex[:8]}-{rounds}")
-        jump = jump.observe(moved, F.sum((F.col("label") != F.col("old")).cast("long")).alias("changed"))
-        new = cut_lineage_bucketed(jump.select("id", "label"), "id", "cc", buckets)
-        rounds += 1
-        if not moved.get.get("changed"):
-            release(labels)
-            return new.withColumnRenamed("label", "component")
-        release(labels)
-        labels = new
-    raise RuntimeError(f"components did not converge in {max_iter} rounds")
+    def large(e: DataFrame) -> DataFrame:
+        both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        return both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+
+    def small(e: DataFrame) -> DataFrame:
+        low = e.groupBy("u").agg(F.min("v").alias("m"))
+        return e.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
+            low.select("u", F.col("m").alias("v")))
+
+    ends = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
+    current, before = cut_lineage(ends, "cc"), None
+    while True:
+        now = current.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if now[0] == 0 or now == before:
+            break
+        before = now
+        new = cut_lineage(small(large(current)).distinct(), "cc")
+        release(current)
+        current = new
+    stars = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return settled(stars.union(current.select("v", "v").distinct()), current, name="cc")
+
+
+def connected_components(g: PropertyGraph) -> DataFrame:
+    """G7 ``connectedComponents``: (id, component) with the lowest vertex id of
+    the component, edge direction ignored; a vertex without edges is its own."""
+    found = star_components(g.edges)
+    out = (g.vertices.select("id").join(found.withColumnRenamed("node", "id"), "id", "left")
+           .select("id", F.coalesce("component", "id").alias("component")))
+    return settled(out, found, name="components")
 
 
 # --------------------------------------------------------------- triangles
@@ -235,29 +263,27 @@ def triangle_count(edges: DataFrame) -> DataFrame:
 
     Edges are made canonical (no loops, no duplicates) and oriented from the
     lower-degree end to the higher-degree end (ties by id). Every triangle is
-    then found exactly once as a path a->b->c closed by a->c, and a vertex's
-    out-degree in the oriented graph is at most sqrt(2m), so the paths grouped
-    at any vertex -- a hub included -- stay bounded (O(m^1.5) work in total,
-    the optimum for triangle listing). Output: (id, triangles) for every
-    vertex of the graph, 0 included.
+    then found exactly once as two edges out of its lowest vertex, closed by the
+    edge between their ends. A vertex has at most sqrt(2m) oriented out-edges,
+    so both sides of the wedge join are bounded per key, hubs included
+    (O(m^1.5) work in total, the optimum for triangle listing). Output:
+    (id, triangles) for every vertex of the graph, 0 included.
     """
-    und = (edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
-           .where(F.col("a") != F.col("b")).distinct())
-    und = cut_lineage(und)
-    deg = (und.select(F.col("a").alias("id")).union(und.select(F.col("b").alias("id")))
-           .groupBy("id").agg(F.count(F.lit(1)).alias("deg")))
+    und = cut_lineage(edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
+                      .where(F.col("a") != F.col("b")).distinct(), "tri")
+    deg = cut_lineage(und.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("deg")),
+                      "tri-deg")
     da = deg.select(F.col("id").alias("a"), F.col("deg").alias("da"))
     db = deg.select(F.col("id").alias("b"), F.col("deg").alias("db"))
-    lo_first = F.struct("da", "a") < F.struct("db", "b")
-    oriented = cut_lineage(
-        und.join(da, "a").join(db, "b")
-        .select(F.when(lo_first, F.col("a")).otherwise(F.col("b")).alias("u"),
-                F.when(lo_first, F.col("b")).otherwise(F.col("a")).alias("v")))
-    e1 = oriented.select(F.col("u").alias("x"), F.col("v").alias("y"))
-    e2 = oriented.select(F.col("u").alias("y"), F.col("v").alias("z"))
-    e3 = oriented.select(F.col("u").alias("x"), F.col("v").alias("z"))
-    tri = e1.join(e2, "y").join(e3, ["x", "z"], "left_semi")
-    per_vertex = (tri.select(F.explode(F.array("x", "y", "z")).alias("id"))
+    lo, hi = F.struct(F.col("da").alias("d"), F.col("a").alias("id")), F.struct(F.col("db").alias("d"), F.col("b").alias("id"))
+    oriented = cut_lineage(und.join(da, "a").join(db, "b").select(F.least(lo, hi).alias("u"), F.greatest(lo, hi).alias("v"))
+                           .select(F.col("u.id").alias("u"), F.col("v.id").alias("v"), F.col("v.d").alias("dv")), "tri-oriented")
+    first = oriented.select("u", F.col("v").alias("x"), F.col("dv").alias("dx"))
+    second = oriented.select("u", F.col("v").alias("y"), F.col("dv").alias("dy"))
+    wedges = first.join(second, "u").where(F.struct("dx", "x") < F.struct("dy", "y"))
+    closed = wedges.join(oriented.select(F.col("u").alias("x"), F.col("v").alias("y")), ["x", "y"], "left_semi")
+    per_vertex = (closed.select(F.explode(F.array("u", "x", "y")).alias("id"))
                   .groupBy("id").agg(F.count(F.lit(1)).alias("triangles")))
-    return (deg.select("id").join(per_vertex, "id", "left")
-            .select("id", F.coalesce(F.col("triangles"), F.lit(0)).alias("triangles")))
+    out = (deg.select("id").join(per_vertex, "id", "left")
+           .select("id", F.coalesce(F.col("triangles"), F.lit(0)).alias("triangles")))
+    return settled(out, und, deg, oriented, name="triangles")

@@ -13,13 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallgrass.session import cut_lineage
+from tallgrass.session import cut_lineage, settled
 
-# Rows per partial group in the tree reductions below (2**12); each level
-# merges at most this many partial results per key.
-CHUNK_BITS = 12
-# monotonically_increasing_id() puts the partition id above bit 33.
-_ROW_BITS = 33
 # Values per row of a grouped list.
 PAGE_SIZE = 4096
 
@@ -57,77 +52,88 @@ def reduce_by_key(df: DataFrame, agg: Callable[[Column], Column] = F.sum) -> Dat
     return df.groupBy("key").agg(agg(F.col("value")).alias("value"))
 
 
-def _reduce_array(arr: Column, fn: Callable[[Column, Column], Column]) -> Column:
-    return F.aggregate(F.slice(arr, 2, F.size(arr)), F.element_at(arr, 1), fn)
-
-
-def _tree_levels(df: DataFrame) -> int:
-    """Levels below the final per-key merge in a tree reduction over
-    (partition, row) positions, each level dropping CHUNK_BITS low bits."""
-    n_parts = max(1, df.rdd.getNumPartitions())
-    top = _ROW_BITS + max(1, (n_parts - 1).bit_length())
-    return -(-top // CHUNK_BITS) - 1
+def _folded(values: str, fn: Callable[[Column, Column], Column]) -> Column:
+    """One value from a list of (value) structs; the structs keep NULL values."""
+    arr = F.collect_list(F.struct(F.col(values).alias("x")))
+    return F.aggregate(F.slice(arr, 2, F.size(arr)), F.element_at(arr, 1)["x"], lambda acc, s: fn(acc, s["x"]))
 
 
 def fold_by_key(df: DataFrame, fn: Callable[[Column, Column], Column]) -> DataFrame:
     """U7 ``reduceByKey(f)`` for an arbitrary associative, commutative binary
-    column function.
-
-    Spark has no Python binary-reduce aggregate, and folding
-    ``collect_list`` per key would put a hot key's whole group in one task.
-    Instead rows are reduced in a tree: level 0 folds at most 2**12 rows that
-    sit next to each other in one partition, each next level folds at most
-    2**12 partial results of neighbouring chunks, and the last level groups by
-    key alone when only one partial per (key, partition range) is left. After
-    level 0 the data is at most one row per key per 4096 input rows.
+    column function; NULL values are passed to it like any other.
+
+    Spark has no Python binary-reduce aggregate, and folding ``collect_list``
+    per key would put a hot key's whole group in one task. Keys with more than
+    a quarter of a mean partition's rows -- at most four times the partition
+    count of them, so their list may be broadcast -- are cut into pieces by row
+    number first; every other group is folded at once. A second grouping folds
+    the pieces, of which a key has at most four times the partition count.
     """
-    pos = F.monotonically_increasing_id()
-    cur = df.select("key", "value", pos.alias("_pos"))
-    for _ in range(_tree_levels(df)):
-        cur = (cur.groupBy("key", F.shiftright("_pos", CHUNK_BITS).alias("_pos"))
-               .agg(_reduce_array(F.collect_list("value"), fn).alias("value")))
-    return (cur.groupBy("key").agg(_reduce_array(F.collect_list("value"), fn).alias("value")))
+    spark = df.sparkSession
+    shares = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy("key").agg(F.count(F.lit(1)).alias("_n"))
+    limit = max(PAGE_SIZE, -(-(counts.agg(F.sum("_n")).first()[0] or 0) // shares))
+    hot = counts.where(F.col("_n") > limit).select(F.col("key").alias("_hot"), F.ceil(F.col("_n") / limit).cast("bigint").alias("_cut"))
+    rows = (df.select("key", "value", F.monotonically_increasing_id().alias("_row"))
+            .join(F.broadcast(hot), F.col("key").eqNullSafe(F.col("_hot")), "left")
+            .select("key", "value", F.coalesce(F.pmod("_row", "_cut"), F.lit(0)).alias("_piece")))
+    pieces = rows.groupBy("key", "_piece").agg(_folded("value", fn).alias("value"))
+    return pieces.groupBy("key").agg(_folded("value", fn).alias("value"))
 
 
 def group_values(df: DataFrame, page_size: int = PAGE_SIZE, name: str = "group") -> DataFrame:
     """A5 ``groupByKey().mapValues(list)`` as paged lists: rows ``(key, page,
     values)`` where ``values`` is the page-th run of at most ``page_size`` of the
-    key's values in sorted order. A key with up to ``page_size`` values is one
-    row, exactly the reference's (key, list); a key holding a third of all rows
-    becomes many bounded rows instead of one row the size of its group.
-
-    The rank of a value within its key is computed without gathering the key:
-    a range-partitioned sort on (key, value) spreads a hot key over many
-    partitions; per (key, partition) run lengths -- at most one run per
-    partition a key touches -- give each run's offset through a prefix sum;
-    offset + position in the run is the rank, and rank // page_size the page.
+    key's values in sorted order, NULL values last. A key with up to
+    ``page_size`` values is one row, exactly the reference's (key, list); a key
+    holding a third of all rows becomes many bounded rows instead of one row
+    the size of its group.
+
+    Equal (key, value) pairs are counted first (partial aggregates), so a
+    repeated pair is one row however often it occurs. A range-partitioned sort
+    of the distinct pairs spreads a hot key over many partitions; sums per
+    (key, partition) -- one row per partition that a key touches -- and a
+    running sum inside the partition give each pair's first rank, and the ranks
+    its pages. The sorted pairs are a temporary table, deleted at the end.
     """
+    order = ["key", F.col("value").asc_nulls_last()]
+    pairs = df.groupBy("key", "value").agg(F.count(F.lit(1)).alias("_n"))
     # No explicit partition count: AQE may merge small ranges.
-    ordered = (df.select("key", "value").repartitionByRange("key", "value")
-               .sortWithinPartitions("key", "value")
-               .select("key", "value", F.spark_partition_id().alias("_pid"),
-                       F.monotonically_increasing_id().alias("_pos")))
-    ordered = cut_lineage(ordered, f"{name}-sorted")
-    runs = ordered.groupBy("key", "_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
-    before = Window.partitionBy("key").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select(F.col("key").alias("_key"), F.col("_pid").alias("_rpid"), "_first",
-                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    ranked = ordered.join(runs, F.col("key").eqNullSafe(F.col("_key")) & (F.col("_pid") == F.col("_rpid")))
-    page = F.floor((F.col("_offset") + F.col("_pos") - F.col("_first")) / F.lit(page_size))
-    return (ranked.groupBy("key", page.alias("page"))
-            .agg(F.array_sort(F.collect_list("value")).alias("values")))
+    pairs = cut_lineage(pairs.repartitionByRange(*order).sortWithinPartitions(*order)
+                        .withColumns({"_pid": F.spark_partition_id(), "_pos": F.monotonically_increasing_id()}), f"{name}-pairs")
+    blocks = pairs.groupBy("key", "_pid", F.floor(F.col("_pos") / page_size).alias("_block")).agg(F.sum("_n").alias("_sum"))
+    before = Window.partitionBy("key").orderBy("_pid", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select(F.col("key").alias("_key"), F.col("_pid").alias("_bpid"), "_block",
+                           F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    # A block is at most page_size neighbouring pairs of one key, so the running sum inside it is bounded.
+    inside = (Window.partitionBy("key", "_pid", "_block").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1))
+    ranked = (pairs.withColumn("_block", F.floor(F.col("_pos") / page_size))
+              .withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+              .join(starts.withColumnRenamed("_block", "_sblock"),
+                    F.col("key").eqNullSafe(F.col("_key")) & (F.col("_pid") == F.col("_bpid")) & (F.col("_block") == F.col("_sblock")))
+              .select("key", "value", "_n", (F.col("_start") + F.col("_in")).alias("_first")))
+    last = F.col("_first") + F.col("_n") - 1
+    paged = ranked.select("key", "value", "_first", "_n", F.explode(F.sequence(
+        F.floor(F.col("_first") / page_size), F.floor(last / page_size))).alias("page"))
+    lo = F.greatest(F.col("_first"), F.col("page") * page_size)
+    hi = F.least(last + 1, (F.col("page") + 1) * page_size)
+    runs = paged.select("key", "page", F.array_repeat("value", (hi - lo).cast("int")).alias("_run"))
+    out = runs.groupBy("key", "page").agg(F.array_sort(F.flatten(F.collect_list("_run"))).alias("values"))
+    return settled(out, pairs, name=name)
 
 
 def cogroup(left: DataFrame, right: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """J9 ``coGroup``: per key and page the values of both sides (sorted, at
-    most ``page_size`` per side and row), an empty array for a side without
-    the key or that page. Two paged lists and one full outer join."""
-    lg = group_values(left, page_size, "cogroup-left").withColumnRenamed("values", "left_values")
-    rg = group_values(right, page_size, "cogroup-right").withColumnRenamed("values", "right_values")
-    return (lg.join(rg, ["key", "page"], "full_outer")
-            .select("key", "page",
-                    F.coalesce("left_values", F.array().cast(lg.schema["left_values"].dataType)).alias("left_values"),
-                    F.coalesce("right_values", F.array().cast(rg.schema["right_values"].dataType)).alias("right_values")))
+    """J9 ``coGroup``: per key and page the values of both sides (sorted, NULL
+    last, at most ``page_size`` per side and row), an empty array for a side
+    without the key or that page. Two paged lists and one full outer join."""
+    lg = group_values(left, page_size, "cogroup-left")
+    rg = group_values(right, page_size, "cogroup-right")
+    a, b = lg.toDF("_lk", "_lp", "_lv"), rg.toDF("_rk", "_rp", "_rv")
+    out = a.join(b, F.col("_lk").eqNullSafe(F.col("_rk")) & (F.col("_lp") == F.col("_rp")), "full_outer").select(
+        F.coalesce("_lk", "_rk").alias("key"), F.coalesce("_lp", "_rp").alias("page"),
+        F.coalesce("_lv", F.array().cast(lg.schema["values"].dataType)).alias("left_values"),
+        F.coalesce("_rv", F.array().cast(rg.schema["values"].dataType)).alias("right_values"))
+    return settled(out, lg, rg, name="cogroup")
 
 
 def join_pairs(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:

@@ -10,11 +10,11 @@ aggregates. Layout for scale:
   partial aggregate, so a destination receiving a third of all messages
   costs one row per task before the shuffle), and its output lines up with
   the state's buckets for the vertex-program join.
-* A source with a huge out-degree would make its bucket a straggler, so
-  "hub" sources (out-degree above ``max(hub_min_degree, E / max_hubs)``, hence
-  at most ``max_hubs`` of them -- a proven bound) keep their edges apart and
-  get their state through a broadcast of at most ``max_hubs`` rows; their
-  edges are read where they lie, spread over all tasks.
+* A source with a huge out-degree would make its bucket a straggler, so the
+  edges of such "hubs" (see ``iteration_edges``; their number is bounded) lie
+  in a table of their own that is not bucketed. They get their state through a
+  broadcast of at most one row per hub and are read where they lie, spread over
+  all tasks.
 * Each superstep's state is a reliable table in the shared checkpoint folder:
   the plan stays one step long and a lost executor costs one step.
 """
@@ -27,56 +27,58 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tallgrass.operators.graph import PropertyGraph, bucketed_edges, split_hubs  # noqa: F401
+from tallgrass.operators.graph import PropertyGraph, iteration_edges
 from tallgrass.session import cut_lineage_bucketed, release
 
 
-def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int,
+def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int | None,
            vprog: Callable[[Column, Column], Column],
            send: Callable[[Column, Column], Column],
            merge: Callable[[Column], Column] = F.sum,
-           attr: str = "attr", max_hubs: int = 10_000,
-           hub_min_degree: int = 1_000_000) -> tuple[DataFrame, int]:
+           attr: str = "attr", max_hubs: int | None = None,
+           hub_min_degree: int = 1) -> tuple[DataFrame, int]:
     """GraphX ``pregel(initialMsg, maxIter, EdgeDirection.Out)(vprog, send, merge)``.
 
     * ``vprog(attr, msg)`` -> new attribute; run on every vertex with
       ``initial_msg`` first, then only on vertices that received a message.
     * ``send(src_attr, edge)`` -> message to the edge's destination, or NULL for
-      none; ``edge`` is a struct of the edge's non-key columns. Only vertices
-      that received a message in the previous step send (direction Out).
+      none; ``edge`` is a struct of the edge's non-key columns and ``n_out``,
+      the source's out-degree. Only vertices that received a message in the
+      previous step send (direction Out).
     * ``merge`` is a built-in aggregate combining messages per destination.
+    * ``max_iter`` steps at most; None runs until no vertex gets a message.
 
     Returns the final vertices ``(id, attr)`` and the number of supersteps run.
     """
-    edge_cols = [c for c in g.edges.columns if c not in ("src", "dst")]
-    all_edges = g.edges.select("src", "dst", F.struct(*edge_cols).alias("edge"))
-    regular, hubs, hub_ids, buckets = bucketed_edges(all_edges, "pregel-edges", max_hubs, hub_min_degree)
+    carried = [c for c in g.edges.columns if c not in ("src", "dst")]
+    edges = iteration_edges(g.edges, "pregel-edges", max_hubs, hub_min_degree)
     state = cut_lineage_bucketed(g.vertices.select("id", vprog(F.col(attr), initial_msg).alias(attr),
-                                                   F.lit(True).alias("active")), "id", "pregel", buckets)
+                                                   F.lit(True).alias("active")), "id", "pregel", edges.buckets)
 
     def messages(st: DataFrame) -> DataFrame:
         senders = st.where("active").select(F.col("id").alias("src"), F.col(attr).alias("src_attr"))
-        hub_senders = F.broadcast(senders.join(F.broadcast(hub_ids), "src", "left_semi"))
-        out = (regular.join(senders, "src").unionByName(hubs.join(hub_senders, "src"))
-               .select("dst", send(F.col("src_attr"), F.col("edge")).alias("msg")))
+        out = edges.out_of(senders).select("dst", send(F.col("src_attr"), F.struct(*carried, "n_out")).alias("msg"))
         return out.where(F.col("msg").isNotNull()).groupBy(F.col("dst").alias("id")).agg(merge("msg").alias("msg"))
 
     # One job per superstep: the messages of a step are computed inside the
     # plan that writes the next state, and the number of vertices that got a
     # message is observed while it is written (no separate count).
     steps = 0
-    while steps < max_iter:
+    while max_iter is None or steps < max_iter:
         got = F.col("msg").isNotNull()
         seen = Observation(f"pregel-{uuid.uuid4().hex[:8]}-{steps}")
         step = (state.join(messages(state), "id", "left")
                 .select("id", F.when(got, vprog(F.col(attr), F.col("msg"))).otherwise(F.col(attr)).alias(attr),
                         got.alias("active"))
                 .observe(seen, F.sum(F.col("active").cast("long")).alias("active")))
-        new = cut_lineage_bucketed(step, "id", "pregel", buckets, prepartitioned=True)
+        new = cut_lineage_bucketed(step, "id", "pregel", edges.buckets, prepartitioned=True)
         if not seen.get.get("active"):
             release(new)
             break  # no vertex received a message: the state did not change
         release(state)
         state = new
         steps += 1
-    return state.select("id", attr), steps
+    edges.release()
+    result = state.select("id", attr)
+    result._scratch = state._scratch  # releasing the result deletes the last state
+    return result, steps

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,6 +80,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+@dataclass(frozen=True)
+class Scratch:
+    """What a materialized intermediate holds on to: its folder, and its
+    catalog table if it has one."""
+    path: str
+    table: str | None = None
+
+
+def _tracked(df: DataFrame, path: str, table: str | None = None) -> DataFrame:
+    df._scratch = Scratch(path, table)  # the handle goes with the DataFrame object
+    return df
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Materialize ``df`` as a parquet table in the shared checkpoint folder and
     read it back.
@@ -92,31 +106,16 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
-    _MATERIALIZED[id(out)] = path
-    return out
-
-
-_MATERIALIZED: dict[int, str] = {}
-_TABLES: dict[int, str] = {}
+    return _tracked(spark.read.schema(df.schema).parquet(path), path)
 
 
 def num_buckets(spark: SparkSession) -> int:
     """Bucket count for co-partitioned iteration tables: the session's shuffle
-    partition count, so a shuffle on the same key lines up with the buckets."""
+    partition count, so a shuffle on the same key lines up with the buckets
+    (fewer buckets were measured slower: every round pays a re-shuffle)."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bucket_count(spark: SparkSession, n_rows: int) -> int:
-    """Buckets for an iteration table of ``n_rows`` rows: the session's shuffle
-    partition count, so the per-round shuffle lines up with the buckets and
-    the state join needs no exchange. (Fewer buckets for small inputs were
-    measured slower: every round then pays a re-shuffle to realign.) Size the
-    shuffle partition count to the data (README, "Running at scale")."""
-    del n_rows
-    return num_buckets(spark)
-
-
 def cut_lineage_bucketed(df: DataFrame, col: str, name: str = "stage", buckets: int | None = None,
                          prepartitioned: bool = False) -> DataFrame:
     """Like ``cut_lineage`` but written as a table bucketed (and sorted) by
@@ -124,9 +123,10 @@ def cut_lineage_bucketed(df: DataFrame, col: str, name: str = "stage", buckets:
     shuffle on the same key and partition count, need no exchange: in an
     iteration the large static side (edges) is written once and never moves
     again. Rows are hash-partitioned by ``col`` first, so every task writes
-    exactly one bucket file; ``prepartitioned`` skips that shuffle when the
-    input already is (the output of a join or aggregate on ``col`` with the
-    session's shuffle partition count equal to ``buckets``)."""
+    exactly one bucket file -- callers keep rows of hot keys out of it;
+    ``prepartitioned`` skips that shuffle when the input already is (the
+    output of a join or aggregate on ``col`` with the session's shuffle
+    partition count equal to ``buckets``)."""
     spark = df.sparkSession
     n = buckets or num_buckets(spark)
     path = scratch_path(spark, name)
@@ -134,22 +134,31 @@ def cut_lineage_bucketed(df: DataFrame, col: str, name: str = "stage", buckets:
     aligned = prepartitioned and n == num_buckets(spark)
     (df if aligned else df.repartition(n, col)).write.bucketBy(n, col).sortBy(col) \
         .option("path", path).mode("overwrite").saveAsTable(tname)
-    out = spark.table(tname)
-    _MATERIALIZED[id(out)] = path
-    _TABLES[id(out)] = tname
-    return out
+    return _tracked(spark.table(tname), path, tname)
 
 
-def release(df: DataFrame) -> None:
-    """Delete the table behind a ``cut_lineage`` result once no later round
-    reads it (each round's table was read back from its own files, so nothing
-    downstream depends on the lineage of an earlier one)."""
-    path = _MATERIALIZED.pop(id(df), None)
-    if path is None:
-        return
-    tname = _TABLES.pop(id(df), None)
-    if tname is not None:
-        df.sparkSession.sql(f"DROP TABLE IF EXISTS {tname}")
-    sc = df.sparkSession.sparkContext
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared store."""
+    sc = spark.sparkContext
     jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the tables behind ``cut_lineage`` results once nothing reads them
+    any more. DataFrames that hold no table are left alone."""
+    for df in tables:
+        scratch = df.__dict__.pop("_scratch", None)
+        if scratch is None:
+            continue
+        if scratch.table is not None:
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {scratch.table}")
+        delete_path(df.sparkSession, scratch.path)
+
+
+def settled(result: DataFrame, *tables: DataFrame, name: str = "result") -> DataFrame:
+    """``result`` as a table of its own, the intermediate ``tables`` that it was
+    made of deleted. ``release`` deletes the result too."""
+    out = cut_lineage(result, name)
+    release(*tables)
+    return out

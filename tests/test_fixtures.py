@@ -223,36 +223,110 @@ def test_pregel_vertex_without_in_links(spark):
 
 
 def test_pregel_hub_split_gives_same_ranks(spark, web):
-    from tallgrass.operators.pregel import pregel, split_hubs
-    w = G.PropertyGraph(web.vertices.select("id", F.lit(1.0).alias("attr")),
-                        G.edge_weights(web).select("src", "dst", "weight"))
-    _, hubs, hub_ids = split_hubs(w.edges, max_hubs=10, hub_min_degree=1)
-    assert sorted(r.src for r in hub_ids.collect()) == [1, 4]  # out-degree 2 > 1
-    assert hubs.count() == 4
+    from tallgrass.operators.pregel import pregel
+    prepared = G.iteration_edges(web.edges, "t", max_hubs=5)
+    assert sorted(r.src for r in prepared.hub_ids.collect()) == []  # 6 edges, at most 5 hubs: more than 2 edges
+    prepared.release()
+    prepared = G.iteration_edges(web.edges, "t", max_hubs=6)
+    assert sorted(r.src for r in prepared.hub_ids.collect()) == [1, 4] and prepared.hubs.count() == 4
+    prepared.release()
+    w = G.PropertyGraph(web.vertices.select("id", F.lit(1.0).alias("attr")), web.edges)
 
     def run(**kw):
         r, steps = pregel(w, F.lit(0.0), 20, lambda a, m: F.lit(0.15) + F.lit(0.85) * m,
-                          lambda s, e: s * e["weight"], **kw)
+                          lambda s, e: s / e["n_out"], **kw)
         return as_dict(r, "id", "attr"), steps
 
-    plain, n1 = run()
+    plain, n1 = run(hub_min_degree=100)
     split, n2 = run(max_hubs=10, hub_min_degree=1)
     assert n1 == n2 == 20
     assert plain == pytest.approx(split, abs=1e-12)
+    rounds = [as_dict(P.pagerank_rounds(web.edges, 9, max_hubs=m), "id", "rank") for m in (1, 6)]
+    assert rounds[0] == pytest.approx(rounds[1], abs=1e-12)
 
 
-def test_components_with_hub_split(spark):
-    # A star around 100 plus a separate chain; with a tiny threshold the star
-    # centre is a hub whose label travels by broadcast.
-    e = spark.createDataFrame([(100, i) for i in range(101, 120)] + [(5, 6), (6, 7)], "src bigint, dst bigint")
-    v = spark.createDataFrame([(i,) for i in list(range(100, 120)) + [5, 6, 7, 8]], "id bigint")
-    g = G.PropertyGraph(v, e)
-    _, hubs, hub_ids = G.split_hubs(e, max_hubs=4, hub_min_degree=1)
-    assert [r.src for r in hub_ids.collect()] == [100]
-    plain = as_dict(G.connected_components(g), "id", "component")
-    split = as_dict(G.connected_components(g, max_hubs=4, hub_min_degree=1), "id", "component")
-    assert plain == split
-    assert {plain[i] for i in range(100, 120)} == {100} and plain[7] == 5 and plain[8] == 8
+def test_hub_edges_lie_in_no_single_file(spark):
+    """One source with a third of all edges: no file of the iteration's tables
+    holds more than a small multiple of the mean."""
+    e = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 5000).alias("src"),
+                                            F.col("id").alias("dst"))
+    prepared = G.iteration_edges(e, "skew")
+    assert [r.src for r in prepared.hub_ids.collect()] == [-1]
+    for t in (prepared.regular, prepared.hubs):
+        sizes = [r["count"] for r in t.groupBy(F.input_file_name()).count().collect()]
+        assert max(sizes) <= 2 * sum(sizes) / 4, sizes
+    prepared.release()
+
+
+def union_find(nodes, edges):
+    up = {n: n for n in nodes}
+
+    def find(x):
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        up[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def test_components_against_union_find(spark):
+    import random
+    rnd = random.Random(6)
+    edges = [(100, i) for i in range(101, 160)] + [(5, 6), (6, 7), (7, 7)] + \
+        [(rnd.randrange(1000, 1300), rnd.randrange(1000, 1300)) for _ in range(220)]
+    ids = sorted({x for e in edges for x in e} | {8, 9})
+    g = G.PropertyGraph(spark.createDataFrame([(i,) for i in ids], "id bigint"),
+                        spark.createDataFrame(edges + [(None, 5), (6, None)], "src bigint, dst bigint"))
+    assert as_dict(G.connected_components(g), "id", "component") == union_find(ids, edges)
+
+
+def test_blank_lines_of_an_edge_file_are_skipped(spark):
+    lines = spark.createDataFrame([("# c",), ("1 2",), ("",), ("  ",), ("3\t4",)], "value string")
+    assert sorted(tuple(r) for r in G.parse_edge_list(lines).collect()) == [(1, 2), (3, 4)]
+
+
+def test_tolerance_ranks_are_converged(spark, web):
+    """The loop has no cap: a tighter tolerance moves no rank by more than the looser one allows."""
+    loose, tight = (as_dict(P.pagerank_tolerance(web, t), "id", "rank") for t in (1e-4, 1e-6))
+    assert loose == pytest.approx(tight, abs=2e-3)
+    assert tight == pytest.approx({1: 0.73239, 2: 0.46132, 3: 1.43576, 4: 1.37053}, abs=1e-4)
+    with pytest.raises(ValueError):
+        P.pagerank_tolerance(web, 0.0)
+
+
+def test_map_vertices_edges_triplets(spark, social):
+    g = G.map_vertices(social, label=F.concat_ws("-", "name", "id"))
+    assert g.vertices.columns == ["id", "label"] and g.vertices.where("id = 1").first().label == "Alice-1"
+    assert as_dict(G.map_edges(social, half=F.col("weight") / 2).edges.where("src = 5"), "dst", "half") == {2: 1.0, 3: 4.0, 6: 1.5}
+    older = G.map_triplets(social, gap=F.col("src_age") - F.col("dst_age")).edges
+    assert as_dict(older.where("src = 5"), "dst", "gap") == {2: 26, 3: 18, 6: 13}
+
+
+def test_operators_leave_only_their_result(spark, social, web):
+    """Folders and catalog tables after each call: the result's, none after its release."""
+    import os
+
+    from tallgrass.operators import keyed as K
+    from tallgrass.session import checkpoint_root, release
+
+    root = checkpoint_root(spark).removeprefix("file:")
+    pairs = spark.createDataFrame([(1, 2), (1, None), (2, 5)], "key bigint, value bigint")
+    calls = {
+        "components": lambda: G.connected_components(social), "triangles": lambda: G.triangle_count(social.edges),
+        "pregel": lambda: P.pagerank_pregel(web, 3), "tolerance": lambda: P.pagerank_tolerance(web, 1e-2),
+        "rounds": lambda: P.pagerank_rounds(web.edges, 3), "groups": lambda: K.group_values(pairs),
+        "cogroup": lambda: K.cogroup(pairs, pairs)}
+    for name, call in calls.items():
+        folders, tables = set(os.listdir(root)), {t.name for t in spark.catalog.listTables()}
+        result = call()
+        assert len(set(os.listdir(root)) - folders) == 1, name
+        result.collect()
+        release(result)
+        assert set(os.listdir(root)) == folders and {t.name for t in spark.catalog.listTables()} == tables, name
 
 
 def test_graph_invariants_on_driver_graph(spark):
