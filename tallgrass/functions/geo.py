@@ -64,3 +64,17 @@ class Grid:
         """X19 centre latitude in degrees."""
         row = F.floor(cell / F.lit(self.ncols))
         return (F.lit(2 * self.north_u) - (row * 2 + 1) * F.lit(self.dy_u)) / F.lit(2.0 * MICRO)
+
+
+def utc_instant(ntz):
+    """The instant of a zone-less UTC time; independent of the session's zone."""
+    return F.concat(ntz.cast("string"), F.lit("+00:00")).cast("timestamp")
+
+
+def ntz_from_instant(ts):
+    """The zone-less UTC time of an instant; independent of the session's zone."""
+    micros = F.unix_micros(ts)
+    seconds = F.floor(micros / 1_000_000)
+    part = F.make_dt_interval(secs=(micros - seconds * 1_000_000) / F.lit(1_000_000).cast("decimal(18,6)"))
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(mins=F.floor(seconds / 60).cast("int"),
+                                                                          secs=F.pmod(seconds, F.lit(60)).cast("decimal(18,6)")) + part

@@ -1,9 +1,8 @@
 """The three tokenizers of the reference, as native column expressions.
 
 They disagree on purpose (case, punctuation, empty words), so each keeps its
-own rule. All return ``array<string>``; callers ``explode`` them so the token
-stream stays distributed and the count after it gets a map-side partial
-aggregate.
+own rule. Callers ``explode`` the split text, so the token stream stays
+distributed and the count after it gets a map-side partial aggregate.
 """
 
 from __future__ import annotations
@@ -27,33 +26,6 @@ PY_WHITESPACE_REGEX = (
 )
 
 
-def _drop_empty(arr: Column) -> Column:
-    return F.filter(arr, lambda t: t != F.lit(""))
-
-
-def tokens_ws(text: Column | str) -> Column:
-    """Case and punctuation kept; runs of blanks separate tokens."""
-    return _drop_empty(F.split(F.col(text) if isinstance(text, str) else text, WS_DELIMS_REGEX))
-
-
-def tokens_nonword(text: Column | str) -> Column:
-    """Lower-cased, split on non-word characters, empty pieces dropped."""
-    c = F.col(text) if isinstance(text, str) else text
-    return _drop_empty(F.split(F.lower(c), NONWORD_REGEX))
-
-
-def tokens_strip(text: Column | str) -> Column:
-    """Whitespace split, then punctuation trimmed at both ends.
-
-    Empty pieces are removed *before* the trim (Spark ``split`` yields a
-    leading '' that Python ``split()`` does not); a token such as ``--``
-    becomes the empty word and is kept, as in the reference.
-    """
-    c = F.col(text) if isinstance(text, str) else text
-    toks = _drop_empty(F.split(c, PY_WHITESPACE_REGEX))
-    return F.transform(toks, lambda t: F.btrim(t, F.lit(STRIP_CHARS)))
-
-
 def _col(text: Column | str) -> Column:
     return F.col(text) if isinstance(text, str) else text
 
@@ -66,9 +38,3 @@ SPLITTERS = {
     "nonword": (lambda t: F.split(F.lower(_col(t)), NONWORD_REGEX), lambda w: w),
     "strip": (lambda t: F.split(_col(t), PY_WHITESPACE_REGEX), lambda w: F.btrim(w, F.lit(STRIP_CHARS))),
 }
-
-TOKENIZERS = {
-    "ws": tokens_ws,
-    "nonword": tokens_nonword,
-    "strip": tokens_strip,
-}

@@ -5,34 +5,30 @@ same entry points."""
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_NONWORD = re.compile(r"[^a-zA-Z0-9_]+")
-
-
-@F.udtf(returnType="word: string", useArrow=True)
-class nonword_tokens_udtf:
-    """U4: lower-case, split on ASCII non-word characters, drop empty pieces."""
-
-    def eval(self, text: str):
-        if text is None:
-            return
-        for w in _NONWORD.split(text.lower()):
-            if w:
-                yield (w,)
+from tallgrass.functions.tokenize import NONWORD_REGEX
 
 
-_MONTHS = {m: i for i, m in enumerate(
-    ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"], start=1)}
+def register_nonword_tokens(spark: SparkSession, name: str = "nonword_tokens") -> str:
+    """U4: the flat-map function as a SQL table function of the session,
+    ``name(text) -> (word)``: lower-case, split on ASCII non-word characters,
+    drop empty pieces. Its body is built-in expressions, so rows stay in the
+    JVM."""
+    pattern = NONWORD_REGEX.replace("\\", "\\\\")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(body STRING) RETURNS TABLE (word STRING)
+        RETURN SELECT word FROM explode(split(lower(body), '{pattern}')) AS t(word) WHERE word <> ''""")
+    return name
 
 
 @F.pandas_udf(T.IntegerType())
 def weekday_pudf(date_time: pd.Series) -> pd.Series:
     """Monday=0 weekday of a ``dd/MMM/yyyy:HH:mm:ss +zzzz`` text, in the
-    text's own offset (the wall-clock date is what counts)."""
-    d = pd.to_datetime(date_time.str.slice(0, 11), format="%d/%b/%Y", errors="coerce")
+    text's own offset (the wall-clock date is what counts); NULL for a text
+    whose date or time of day does not exist."""
+    d = pd.to_datetime(date_time.str.slice(0, 20), format="%d/%b/%Y:%H:%M:%S", errors="coerce")
     return d.dt.weekday.astype("Int32")

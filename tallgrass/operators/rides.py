@@ -3,7 +3,7 @@
 Every function takes a batch *or* a streaming DataFrame of ride events with
 ``isStart``, integer micro-degree ends (``startLon_u`` ...) and an event-time
 column ``eventTime``; the same logical plan runs either way. Streaming callers
-attach the watermark first (``tallgrass.streaming.rides``).
+attach the watermark first.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallgrass.functions.geo import Box, Grid
+from tallgrass.functions.geo import Box, Grid, ntz_from_instant
 
 NEW_YORK = "America/New_York"
 
@@ -93,7 +93,7 @@ def _ny_hour(start: Column, ntz: bool) -> Column:
     """X15 hour of day in New York of a window start."""
     if ntz:
         return F.hour(F.convert_timezone(F.lit("UTC"), F.lit(NEW_YORK), start))
-    return F.hour(F.from_utc_timestamp(start, NEW_YORK))
+    return F.hour(F.convert_timezone(F.lit("UTC"), F.lit(NEW_YORK), ntz_from_instant(start)))
 
 
 def hourly_winner(counts: DataFrame, size: str = "1 hour") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,12 +18,16 @@ def top_k_distinct(df: DataFrame, key: str, n: int = 10, keep_by: str = "Id",
 
     The reference keeps a TreeMap per mapper, so among records with the same
     key only one survives (arrival order decides); here the record with the
-    highest ``keep_by`` survives, which is repeatable. ``max_by`` is a
-    partial aggregate: a key held by a third of all rows still costs one row
-    per task before the shuffle, and only n rows per task reach the final
-    merge."""
-    best = df.groupBy(key).agg(F.max_by(payload, keep_by).alias(payload), F.max(keep_by).alias(keep_by))
-    return best.orderBy(F.col(key).desc()).limit(n)
+    highest ``keep_by`` survives (of equal ones the first in text order), which
+    is repeatable. The highest ``keep_by`` per key is a hash aggregate with a
+    partial step, so a key held by a third of all rows costs one row per task;
+    the records are fetched for the n winners only, by a join with these n
+    rows."""
+    best = (df.groupBy(key).agg(F.max(keep_by).alias("_best")).orderBy(F.col(key).desc()).limit(n)
+            .select(F.col(key).alias("_key"), "_best"))
+    found = df.join(F.broadcast(best), F.col(key).eqNullSafe(F.col("_key")) & F.col(keep_by).eqNullSafe(F.col("_best")))
+    one = F.row_number().over(Window.partitionBy(key).orderBy(payload))
+    return found.withColumn("_one", one).where("_one = 1").select(key, payload, keep_by).orderBy(F.col(key).desc())
 
 
 def first_n(df: DataFrame, n: int, *order: str) -> DataFrame:

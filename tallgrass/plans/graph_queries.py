@@ -160,3 +160,23 @@ def triangle_count(spark, sf_dir):
     """G17 on the undirected graph of (part key, supplier key) pairs in one id space."""
     li = table(spark, sf_dir, "lineitem")
     return G.triangle_count(li.select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst")))
+
+
+@query("map_vertices", oracle=GRAPH_SQL + "SELECT id, name || ' (' || age || ')' AS label FROM v")
+def map_vertices(spark, sf_dir):
+    """G9 ``mapVertices``: name and age become one label."""
+    label = F.concat(F.col("name"), F.lit(" ("), F.col("age").cast("string"), F.lit(")"))
+    return G.map_vertices(graph(spark, sf_dir), label=label).vertices
+
+
+@query("map_triplets", oracle=GRAPH_SQL + """
+    SELECT e.src, e.dst, e.weight * (s.age - d.age) AS gap FROM e JOIN v s ON e.src = s.id JOIN v d ON e.dst = d.id""")
+def map_triplets(spark, sf_dir):
+    """G11 ``mapTriplets`` with both ends' attributes."""
+    return G.map_triplets(graph(spark, sf_dir), gap=F.col("weight") * (F.col("src_age") - F.col("dst_age"))).edges
+
+
+@query("components_all")
+def components_all(spark, sf_dir):
+    """G7 on the whole graph (tests compare it with a union-find; SQL recursion is too slow)."""
+    return G.connected_components(graph(spark, sf_dir))

@@ -137,28 +137,37 @@ def join_anti(spark, sf_dir):
     return K.join_pairs(_customers(spark, sf_dir), urgent, "left_anti")
 
 
-_PAGED = """
+def _paged(pairs: str) -> str:
+    return f"""
     SELECT key, page, array_to_string(list_sort(list(v)), ',') AS vals
-    FROM (SELECT o_custkey AS key, o_orderkey AS v,
-                 (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 4096 AS page
-          FROM orders WHERE o_orderstatus = '{status}')
+    FROM (SELECT key, v, (row_number() OVER (PARTITION BY key ORDER BY v) - 1) // 4096 AS page FROM ({pairs}))
     GROUP BY key, page"""
 
 
 @query("cogroup", oracle=f"""
     SELECT coalesce(a.key, b.key) AS key, coalesce(a.page, b.page) AS page,
            coalesce(a.vals, '') AS left_values, coalesce(b.vals, '') AS right_values
-    FROM ({_PAGED.format(status="F")}) a
-    FULL OUTER JOIN ({_PAGED.format(status="O")}) b ON a.key = b.key AND a.page = b.page""")
+    FROM ({_paged("SELECT o_custkey AS key, o_orderkey AS v FROM orders")}) a
+    FULL OUTER JOIN ({_paged("SELECT c_custkey AS key, c_nationkey AS v FROM customer")}) b
+      ON a.key = b.key AND a.page = b.page""")
 def cogroup(spark, sf_dir):
-    """J9 finished and open orders of each customer side by side."""
-    orders = table(spark, sf_dir, "orders")
-    f = orders.where(F.col("o_orderstatus") == "F").select(F.col("o_custkey").alias("key"),
-                                                           F.col("o_orderkey").alias("value"))
-    o = orders.where(F.col("o_orderstatus") == "O").select(F.col("o_custkey").alias("key"),
-                                                           F.col("o_orderkey").alias("value"))
-    return K.cogroup(f, o).select("key", "page", F.array_join("left_values", ",").alias("left_values"),
-                                  F.array_join("right_values", ",").alias("right_values"))
+    """J9 the orders and the nation of each customer side by side."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderkey").alias("value"))
+    nations = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_nationkey").alias("value"))
+    return K.cogroup(orders, nations).select("key", "page", F.array_join("left_values", ",").alias("left_values"),
+                                             F.array_join("right_values", ",").alias("right_values"))
+
+
+@query("kv_keys", oracle="SELECT o_orderpriority AS key FROM orders")
+def kv_keys(spark, sf_dir):
+    """P6 ``keys()``, duplicates kept."""
+    return K.keys(table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("key"), F.col("o_orderkey").alias("value")))
+
+
+@query("kv_values", oracle="SELECT o_orderkey AS value FROM orders")
+def kv_values(spark, sf_dir):
+    """P6 ``values()``."""
+    return K.values(table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("key"), F.col("o_orderkey").alias("value")))
 
 
 @query("flatmap_range", oracle="""

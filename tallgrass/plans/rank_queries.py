@@ -113,3 +113,11 @@ def pagerank_rounds(spark, sf_dir):
 def pagerank_top10(spark, sf_dir):
     ranks = P.pagerank_rounds(G.parse_edge_pairs(edge_file(spark, sf_dir)), ITERS, RESET)
     return P.top_ranks(ranks, 10).select("id", F.round("rank", 6).alias("rank"))
+
+
+@query("pagerank_edge_list", oracle=_pregel_sql().replace("FROM v)", "FROM (SELECT src AS id FROM e UNION SELECT dst FROM e))"))
+def pagerank_edge_list(spark, sf_dir):
+    """G14 from an edge file alone: its vertices are the edges' ends."""
+    edges = G.parse_edge_list(edge_file(spark, sf_dir))
+    ranks = P.pagerank_pregel(G.PropertyGraph(G.edge_vertices(edges), edges), ITERS, RESET)
+    return ranks.select("id", F.round("rank", 6).alias("rank"))

@@ -33,7 +33,8 @@ def query(name: str, oracle: str | None = None):
 
 
 MODULES = ("text_queries", "keyed_queries", "table_queries", "weblog_queries", "xml_queries",
-           "ride_queries", "stream_queries", "graph_queries", "rank_queries", "sink_queries")
+           "ride_queries", "stream_queries", "graph_queries", "rank_queries", "sink_queries",
+           "file_queries")
 
 
 def load_all() -> dict[str, Query]:

@@ -1,15 +1,17 @@
 """Structured Streaming twins of the batch queries.
 
-Each replays a driver table as a file stream (one file per micro-batch),
-runs the same operator functions as the batch query on the streaming
-DataFrame, and returns the sink's complete output; the SQL oracle is the
-batch twin's.
+Each replays a driver table (one file or many, in any order) as a stream, runs
+the same operator functions as the batch query on the streaming DataFrame, and
+returns the sink's complete output; the SQL oracle is the batch twin's.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
+from tallgrass.functions.geo import ntz_from_instant, utc_instant
 from tallgrass.operators import rides as R
 from tallgrass.operators import text as T
 from tallgrass.plans import ride_queries as RQ
@@ -24,9 +26,8 @@ MAX_DELAY = "60 seconds"
 SENTINEL_ID = -1
 
 
-def _events_stream(spark, sf_dir):
-    schema = table(spark, sf_dir, "events").schema
-    return file_stream(spark, sf_dir, "events.parquet", schema)
+def _table_stream(spark, sf_dir, name):
+    return file_stream(spark, os.path.join(sf_dir, f"{name}.parquet"), table(spark, sf_dir, name).schema)
 
 
 def _sentinel(spark, sf_dir):
@@ -40,20 +41,24 @@ def _sentinel(spark, sf_dir):
 
 
 def _timed_rides(stream):
-    """Event time as a zoned timestamp with the 60 s watermark."""
-    return (ride_events(stream).withColumn("eventTime", F.col("eventTime").cast("timestamp"))
+    """Event time as an instant (the tables' times are UTC, whatever the
+    session's zone) with the 60 s watermark."""
+    return (ride_events(stream).withColumn("eventTime", utc_instant(F.col("eventTime")))
             .withWatermark("eventTime", MAX_DELAY))
 
 
+def _replay(spark, sf_dir, build, name, late=()):
+    return run_bounded_stream(spark, _table_stream(spark, sf_dir, "events"), build, [*late, _sentinel(spark, sf_dir)], name=name)
+
+
 @query("stream_ride_cleaning", oracle=REGISTRY["ride_cleaning"].oracle)
 def stream_ride_cleaning(spark, sf_dir):
     """Stateless filter, append mode."""
     def build(s):
         return (R.clean(_timed_rides(s), RQ.BOX).where(F.col("rideId") != SENTINEL_ID)
                 .select("rideId", "isStart", "startLon", "startLat", "endLon", "endLat",
-                        F.col("eventTime").cast("timestamp_ntz").alias("eventTime")))
-    return run_bounded_stream(spark, _events_stream(spark, sf_dir), build, _sentinel(spark, sf_dir),
-                              name="ride-cleaning")
+                        ntz_from_instant(F.col("eventTime")).alias("eventTime")))
+    return _replay(spark, sf_dir, build, "ride-cleaning")
 
 
 @query("stream_popular_places", oracle=REGISTRY["popular_places"].oracle)
@@ -61,8 +66,7 @@ def stream_popular_places(spark, sf_dir):
     """W4/W5 + F7: sliding 15/5 min windows, HAVING count > threshold, append."""
     def build(s):
         return R.popular_places(_timed_rides(s), RQ.BOX, RQ.PLACES_GRID, RQ.THRESHOLD)
-    return run_bounded_stream(spark, _events_stream(spark, sf_dir), build, _sentinel(spark, sf_dir),
-                              name="popular-places")
+    return _replay(spark, sf_dir, build, "popular-places")
 
 
 @query("stream_terminal_trends", oracle=REGISTRY["terminal_trends"].oracle)
@@ -73,20 +77,31 @@ def stream_terminal_trends(spark, sf_dir):
 
     def build(s):
         out = R.terminal_trends(_timed_rides(s), RQ.TERMINAL_GRID, dim)
-        return out.withColumn("windowStart", F.col("windowStart").cast("timestamp_ntz"))
-    return run_bounded_stream(spark, _events_stream(spark, sf_dir), build, _sentinel(spark, sf_dir),
-                              name="terminal-trends")
+        return out.withColumn("windowStart", ntz_from_instant(F.col("windowStart")))
+    return _replay(spark, sf_dir, build, "terminal-trends")
 
 
 @query("stream_running_wordcount", oracle=REGISTRY["wordcount_nonword"].oracle)
 def stream_running_wordcount(spark, sf_dir):
     """Unbounded keyed running count (lower-cased non-word tokens), update
     mode; the last emitted count per word is its final value."""
-    full = table(spark, sf_dir, "documents").schema
-    src = file_stream(spark, sf_dir, "documents.parquet", full).select("text")
-
     def build(s):
         return T.word_count(s, "text", "nonword")
-    return run_bounded_stream(spark, src, build, None, output_mode="update", keys=["word"],
-                              name="running-wordcount")
-
+    src = _table_stream(spark, sf_dir, "documents").select("text")
+    return run_bounded_stream(spark, src, build, output_mode="update", keys=["word"], name="running-wordcount")
+
+
+@query("stream_late_rows", oracle="""
+    WITH mark AS (SELECT max(ts) - INTERVAL 60 SECOND AS at FROM events),
+    seen AS (SELECT event_id, ts FROM events
+             UNION ALL SELECT event_id, ts FROM events, mark
+             WHERE event_type = 'purchase' AND date_trunc('hour', ts) + INTERVAL 1 HOUR > mark.at)
+    SELECT date_trunc('hour', ts) AS hour, count(*) AS count FROM seen GROUP BY 1""")
+def stream_late_rows(spark, sf_dir):
+    """After the whole table every purchase arrives once more. Those whose
+    hour closed before the watermark are dropped; the others still count."""
+    def build(s):
+        return (_timed_rides(s).groupBy(F.window("eventTime", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("count"))
+                .select(ntz_from_instant(F.col("w.start")).alias("hour"), "count"))
+    again = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    return _replay(spark, sf_dir, build, "late-rows", [again])

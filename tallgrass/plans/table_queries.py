@@ -20,10 +20,12 @@ WITH people AS (
   SELECT c_name AS name, CAST(CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS BIGINT) AS age FROM customer)
 """
 
+PEOPLE_SCHEMA = "name string, age bigint"
+
 
 def people(spark, sf_dir):
-    """people.json: ``name``, ``age`` (missing for some), schema inferred."""
-    return parse_json_lines(people_json_lines(table(spark, sf_dir, "customer"))).select("name", "age")
+    """people.json: ``name``, ``age`` (missing for some, perhaps for all, so the schema is given)."""
+    return parse_json_lines(people_json_lines(table(spark, sf_dir, "customer")), schema=PEOPLE_SCHEMA)
 
 
 def people_txt(spark, sf_dir):
@@ -68,6 +70,7 @@ def sql_range_filter(spark, sf_dir):
     view = f"people_{uuid.uuid4().hex[:8]}"
     people_txt(spark, sf_dir).createOrReplaceTempView(view)
     teenagers = spark.sql(f"SELECT name FROM {view} WHERE age >= 13 AND age <= 19")
+    spark.catalog.dropTempView(view)  # the query is resolved already
     return teenagers.select(F.concat(F.lit("Name: "), F.col("name")).alias("line"))
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from tallgrass.functions.udfs import nonword_tokens_udtf
+from tallgrass.functions.udfs import register_nonword_tokens
 from tallgrass.operators import text as T
 from tallgrass.plans.registry import query
 from tallgrass.sources.tables import document_lines, table
@@ -72,8 +74,10 @@ def top_long_words(spark, sf_dir):
     FROM (SELECT unnest({_NONWORD}) AS word FROM documents)
     WHERE word <> '' GROUP BY word""")
 def tokenize_udtf(spark, sf_dir):
-    """U4: the flat-map function as a Python table function (Arrow batches);
-    the count after it is the same partial/final aggregate."""
-    docs = _docs(spark, sf_dir)
-    return (docs.lateralJoin(nonword_tokens_udtf(F.col("text").outer()))
-            .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
+    """U4: the flat-map function as a table function in a lateral join; the
+    count after it is the same partial/final aggregate."""
+    name, view = register_nonword_tokens(spark), f"docs_{uuid.uuid4().hex[:8]}"
+    _docs(spark, sf_dir).createOrReplaceTempView(view)
+    words = spark.sql(f"SELECT word FROM {view}, LATERAL {name}(text)")
+    spark.catalog.dropTempView(view)
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from tallgrass.operators import topk
 from tallgrass.plans.registry import query
@@ -36,3 +37,13 @@ def xml_rows(spark, sf_dir):
     GROUP BY Reputation ORDER BY Reputation DESC LIMIT 10""")
 def top_distinct(spark, sf_dir):
     return topk.top_k_distinct(parse_row_xml(dump_lines(spark, sf_dir)), "Reputation", 10, "Id", "record")
+
+
+@query("xml_attrs", oracle=ROWS_SQL + """
+    SELECT CAST(Id AS VARCHAR) AS Id, CAST(Reputation AS VARCHAR) AS Reputation,
+           regexp_extract(record, 'DisplayName="([^"]*)"', 1) AS DisplayName,
+           regexp_extract(record, 'AboutMe="([^"]*)"', 1) AS AboutMe FROM xrows""")
+def xml_attrs(spark, sf_dir):
+    """The attribute map of every row, four attributes looked up in it."""
+    names = ("Id", "Reputation", "DisplayName", "AboutMe")
+    return parse_row_xml(dump_lines(spark, sf_dir), with_attrs=True).select(*[F.col("attrs")[n].alias(n) for n in names])

@@ -1,7 +1,7 @@
 """Sinks (K1-K5): text, tab-separated key/value and record-only outputs.
 
-All are distributed writes, one file per partition; ``num_files`` sets the
-partition count first (``coalesce`` when shrinking, so no shuffle).
+All are distributed writes, one file per partition; ``num_files`` deals the rows
+out to that many partitions first.
 """
 
 from __future__ import annotations
@@ -11,12 +11,9 @@ from pyspark.sql import functions as F
 
 
 def _files(df: DataFrame, num_files: int | None) -> DataFrame:
-    """K5: control the output file count."""
-    if num_files is None:
-        return df
-    if num_files < df.rdd.getNumPartitions():
-        return df.coalesce(num_files)
-    return df.repartition(num_files)
+    """K5: control the output file count. A repartition, not a coalesce: the
+    work in front of the write keeps its own number of tasks."""
+    return df if num_files is None else df.repartition(num_files)
 
 
 def write_text(df: DataFrame, path: str, col: str = "value", num_files: int | None = None) -> None:
@@ -35,9 +32,12 @@ def write_key_values(df: DataFrame, path: str, key: str, value: str, sort: bool
     the output by key across files (a range-partitioned sort, not one task)."""
     lines = df.select(F.col(key).alias("_k"), F.concat_ws("\t", F.col(key).cast("string"),
                                                           F.col(value).cast("string")).alias("value"))
-    out = _files(lines, num_files)
-    if sort:
-        out = out.orderBy("_k")
+    if not sort:
+        out = _files(lines, num_files)
+    elif num_files is None:
+        out = lines.orderBy("_k")
+    else:
+        out = lines.repartitionByRange(num_files, "_k").sortWithinPartitions("_k")
     out.select("value").write.mode("overwrite").text(path)
 
 

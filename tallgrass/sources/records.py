@@ -72,9 +72,9 @@ def row_attrs(line) -> F.Column:
     return F.map_from_entries(firsts)
 
 
-def _attr(line, name: str) -> F.Column:
-    # Last occurrence wins, as with the map: greedy prefix, then the attribute.
-    return F.regexp_extract(line, rf'^.*(?:^|\s){name}="([^"]*)"', 1)
+def _last(attrs, name: str) -> F.Column:
+    """The value of an attribute's last occurrence in (k, v) pairs; NULL without one."""
+    return F.try_element_at(F.filter(attrs, lambda p: p["k"] == name), F.lit(-1))["v"]
 
 
 def parse_row_xml(lines: DataFrame, col: str = "value", with_attrs: bool = False) -> DataFrame:
@@ -83,19 +83,19 @@ def parse_row_xml(lines: DataFrame, col: str = "value", with_attrs: bool = False
     Returns ``Id bigint, Reputation int, record string`` (the untouched line)
     for rows that carry both attributes; header lines, rows without either
     attribute and lines too short to hold a row are skipped, as in the
-    reference mapper. A reputation that is not an integer (the reference job
-    aborts) drops the row; a non-numeric Id stays as a NULL ``Id``. ``with_attrs`` adds the full
+    reference mapper. Attributes are matched as quoted pairs from the left, so
+    text that looks like an attribute inside a value is no attribute. A
+    reputation that is not an integer (the reference job aborts) drops the row;
+    a non-numeric Id stays as a NULL ``Id``. ``with_attrs`` adds the full
     attribute map.
     """
     line = F.col(col)
     body = F.trim(line)
-    is_row = (F.length(body) >= 8) & body.startswith("<row ")
-    id_txt = _attr(line, "Id")
-    rep_txt = _attr(line, "Reputation")
-    has = line.rlike(r'(^|\s)Id="') & line.rlike(r'(^|\s)Reputation="')
-    out = lines.where(is_row & has).select(
-        id_txt.try_cast("bigint").alias("Id"),
-        rep_txt.try_cast("int").alias("Reputation"),
-        line.alias("record"),
-        *( [row_attrs(line).alias("attrs")] if with_attrs else [] ))
+    rows = lines.where((F.length(body) >= 8) & body.startswith("<row "))
+    pairs = F.arrays_zip(F.regexp_extract_all(line, F.lit(_ATTR), 1).alias("k"), F.regexp_extract_all(line, F.lit(_ATTR), 2).alias("v"))
+    read = rows.select(line.alias("record"), pairs.alias("_a")).select("record", _last(F.col("_a"), "Id").alias("_id"),
+                                                                      _last(F.col("_a"), "Reputation").alias("_rep"))
+    out = read.where(F.col("_id").isNotNull()).select(
+        F.col("_id").try_cast("bigint").alias("Id"), F.col("_rep").try_cast("int").alias("Reputation"), "record",
+        *([row_attrs(F.col("record")).alias("attrs")] if with_attrs else []))
     return out.where(F.col("Reputation").isNotNull())

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference's behaviour.
 # Access-log pattern: anchored at the start only; protocol may be empty.
-ACCESS_LOG_PATTERN = (r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*)\s*" '
-                      r'(\d{3}) (\S+)')
+ACCESS_LOG_PATTERN = r'^(\S+) (\S+) (\S+) \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+)\s*(\S*)\s*" (\d{3}) (\S+)'
 # dd/MMM/yyyy:HH:mm:ss +zzzz, the log's timestamp layout.
 DATETIME_PATTERN = "dd/MMM/yyyy:HH:mm:ss Z"
 WALLCLOCK_PATTERN = "dd/MMM/yyyy:HH:mm:ss"

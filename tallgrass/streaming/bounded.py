@@ -1,106 +1,99 @@
 """Run a Structured Streaming query over a bounded replay and return its
-complete output as a batch DataFrame (S10, S11, K4, W1, W2, W11).
+complete output as a batch DataFrame (S10, S11, K4, W1, W2, W11, W12).
 
 A bounded replay in Flink closes every window when the source ends. Spark's
 append mode only emits a window once the watermark passes its end, so the
-last windows would be withheld. The helper therefore feeds one sentinel row
-with a far-future event time in a later micro-batch: the watermark jumps, the
-following no-data batch emits every pending window, and the sentinel's own
-(still open) window is never emitted. Stateless queries drop the sentinel by
-its marker.
+last windows would be withheld. The replay is therefore followed by a sentinel
+row with a far-future event time: the watermark jumps, the no-data batch that
+follows emits every pending window, and the sentinel's own (still open) window
+is never emitted. Stateless queries drop the sentinel by its marker.
+
+Every phase is one run of the same query from the same checkpoint with the
+available-now trigger, which ends when all data of the phase is processed: no
+timing decides when a stream is done, and no file cap splits a phase, so files
+that overlap in event time are never late to each other.
 
 Output goes to a parquet file sink (exactly-once via the sink's commit log)
 or, for update mode, through ``foreachBatch`` into a parquet table with the
-batch id, from which the final value per key is read. Checkpoints and outputs
-live under the session's shared checkpoint folder.
+batch id, from which the final value per key is read. Checkpoint and phase
+folders are deleted at the end; the output is the result's own table.
 """
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallgrass.session import scratch_path
-
-
-def file_stream(spark: SparkSession, directory: str, file_glob: str, schema: T.StructType,
-                fmt: str = "parquet", max_files: int = 1) -> DataFrame:
-    """A streaming file source over ``directory`` (only files matching
-    ``file_glob``), one file per micro-batch, explicit schema."""
-    return (spark.readStream.format(fmt).schema(schema)
-            .option("pathGlobFilter", file_glob).option("maxFilesPerTrigger", max_files)
-            .load(directory))
+from tallgrass.session import _tracked, delete_path, scratch_path
 
 
-def _await_idle(q, settle: float = 0.25, timeout: float = 600.0) -> None:
-    """Wait until everything available is processed and the no-data batch
-    that follows a watermark move has run."""
-    q.processAllAvailable()
-    deadline = time.time() + timeout
-    last = None
-    while time.time() < deadline:
-        time.sleep(settle)
-        q.processAllAvailable()
-        prog = q.lastProgress
-        bid = prog["batchId"] if prog else None
-        if bid == last and not q.status["isDataAvailable"] and not q.status["isTriggerActive"]:
-            return
-        last = bid
-    raise TimeoutError("stream did not become idle")
+def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+                max_files: int | None = None) -> DataFrame:
+    """A streaming source over a table path -- one file or a folder of
+    part files -- with an explicit schema. ``max_files`` limits the files of a
+    micro-batch; leave it unset for a replay, whose files are in no order."""
+    reader = spark.readStream.format(fmt).schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    sc = spark.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(at).isFile():
+        # a stream lists folders only: the file's folder, for files of just this name
+        return reader.option("pathGlobFilter", at.getName()).load(at.getParent().toString())
+    return reader.load(path)
 
 
 def run_bounded_stream(spark: SparkSession, source: DataFrame, build: Callable[[DataFrame], DataFrame],
-                       sentinel: DataFrame | None, output_mode: str = "append",
+                       phases: Iterable[DataFrame] = (), output_mode: str = "append",
                        keys: list[str] | None = None, name: str = "stream") -> DataFrame:
-    """Start ``build(source ∪ sentinel-stream)``, drain it, flush it, return
-    what the sink holds.
+    """Run ``build(source and later phases)`` to the end and return what the
+    sink holds.
 
-    * ``sentinel``: a one-row batch DataFrame with the source's schema, written
-      into a side directory after the data has been processed (None: no flush).
+    * ``phases``: batch DataFrames with the source's columns. Each is fed after
+      everything before it has been processed and the watermark has moved; the
+      last is usually a sentinel that flushes open windows.
     * ``output_mode="update"`` needs ``keys``: the result is the last value
       emitted per key.
     """
-    side_dir = scratch_path(spark, f"{name}-sentinel")
+    side_dir = scratch_path(spark, f"{name}-phases")
     out_dir = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
+    phases = list(phases)
     stream = source
-    if sentinel is not None:
-        spark.createDataFrame([], sentinel.schema).write.mode("overwrite").parquet(side_dir)
-        side = (spark.readStream.schema(sentinel.schema).option("maxFilesPerTrigger", 1).parquet(side_dir))
-        stream = source.unionByName(side)
+    if phases:
+        phases[0].limit(0).write.parquet(side_dir)
+        stream = source.unionByName(spark.readStream.schema(source.schema).parquet(side_dir))
     result = build(stream)
 
     if output_mode == "update":
         if not keys:
             raise ValueError("update mode needs the key columns")
+        out_schema = T.StructType([*result.schema.fields, T.StructField("_batch", T.LongType())])
 
         def sink(batch: DataFrame, batch_id: int) -> None:
-            batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out_dir)
+            # a batch that runs again replaces its own folder
+            batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
 
-        empty = T.StructType(list(result.schema.fields) + [T.StructField("_batch", T.LongType())])
-        spark.createDataFrame([], empty).write.mode("overwrite").parquet(out_dir)
         writer = result.writeStream.outputMode("update").foreachBatch(sink)
     else:
+        out_schema = result.schema
         writer = result.writeStream.outputMode(output_mode).format("parquet").option("path", out_dir)
-    q = writer.option("checkpointLocation", ckpt).trigger(processingTime="100 milliseconds").start()
-    try:
-        _await_idle(q)
-        if sentinel is not None:
-            sentinel.write.mode("append").parquet(side_dir)
-            _await_idle(q)
-    finally:
-        q.stop()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-
-    if output_mode == "update":
-        out_schema = T.StructType(list(result.schema.fields) + [T.StructField("_batch", T.LongType())])
-        out = spark.read.schema(out_schema).parquet(out_dir)
-        values = [c for c in result.columns if c not in keys]
-        last = out.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("_batch")).alias("_v"))
-        return last.select(*keys, "_v.*")
-    return spark.read.schema(result.schema).parquet(out_dir)
+    writer = writer.option("checkpointLocation", ckpt).trigger(availableNow=True)
+    spark.createDataFrame([], out_schema).write.mode("append").parquet(
+        f"{out_dir}/batch=-1" if output_mode == "update" else out_dir)
+    for phase in [None, *phases]:
+        if phase is not None:
+            phase.select(*source.columns).write.mode("append").parquet(side_dir)
+        writer.start().awaitTermination()
+    delete_path(spark, ckpt)
+    delete_path(spark, side_dir)
+
+    if output_mode != "update":
+        return _tracked(spark.read.schema(out_schema).parquet(out_dir), out_dir)
+    out = spark.read.schema(out_schema).option("recursiveFileLookup", "true").parquet(out_dir)
+    values = [c for c in result.columns if c not in keys]
+    last = out.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("_batch")).alias("_v"))
+    return _tracked(last.select(*keys, "_v.*"), out_dir)

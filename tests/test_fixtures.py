@@ -381,3 +381,73 @@ def test_hourly_winner_tie_goes_to_lowest_terminal(spark):
     got = sorted((r.terminal, r["count"], r.hour) for r in R.terminal_trends(_rides(spark, rows), grid, dim).collect())
     # 10:00 UTC is 05:00 in New York (EST); 11:00 UTC is 06:00.
     assert got == [("TERMINAL_1", 1, 5), ("TERMINAL_1", 1, 6)]
+
+
+def test_null_values_are_kept(spark):
+    from tallgrass.operators import keyed as K
+    df = spark.createDataFrame([(1, 1), (1, None), (2, None), (None, 7), (None, None)], "key bigint, value bigint")
+    got = {r.key: r["values"] for r in K.group_values(df).collect()}
+    assert got == {1: [1, None], 2: [None], None: [7, None]}
+    both = {r.key: (r.left_values, r.right_values) for r in K.cogroup(df, df.where("key = 2")).collect()}
+    assert both == {1: ([1, None], []), 2: ([None], [None]), None: ([7, None], [])}
+    add = as_dict(K.fold_by_key(df, lambda a, b: F.coalesce(a, F.lit(100)) + F.coalesce(b, F.lit(100))), "key", "value")
+    assert add == {1: 101, 2: None, None: 107}
+
+
+def test_a_repeated_pair_and_a_hot_key_are_paged(spark):
+    """A third of all rows are one (key, value) pair, another third one key."""
+    from tallgrass.operators import keyed as K
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 < 2, 1).otherwise(F.col("id")).alias("key"),
+        F.when(F.col("id") % 3 == 0, -5).otherwise(F.col("id")).alias("value"))
+    out = K.group_values(df, page_size=1000)
+    pages = {r.page: r["values"] for r in out.where("key = 1").collect()}
+    want = sorted([-5] * 10_000 + [i for i in range(30_000) if i % 3 == 1])
+    assert sorted(pages) == list(range(20)) and [v for p in sorted(pages) for v in pages[p]] == want
+    assert out.where("key <> 1").count() == 10_000
+    total = as_dict(K.fold_by_key(df, lambda a, b: a + b).where("key = 1"), "key", "value")
+    assert total == {1: sum(want)}
+
+
+def test_quoted_text_is_no_attribute(spark):
+    from tallgrass.sources.records import parse_row_xml
+    lines = spark.createDataFrame([('<row Id="7" Reputation="5" AboutMe="my Id=" X="9" />',), ('  <row Reputation="1" Id="3" />',),
+                                   ('<row AboutMe="Id=&quot;9&quot;" Reputation="2" />',), ("<users>",), ('<row Id="a" Reputation="x" />',)],
+                                  "value string")
+    got = sorted((r.Id, r.Reputation) for r in parse_row_xml(lines).collect())
+    assert got == [(3, 1), (7, 5)]
+    attrs = parse_row_xml(lines, with_attrs=True).where("Id = 7").first().attrs
+    assert attrs == {"Id": "7", "Reputation": "5", "AboutMe": "my Id=", "X": "9"}
+
+
+def test_file_count_is_honoured_when_sorted(spark):
+    import os
+
+    from tallgrass import sinks
+    from tallgrass.session import delete_path, scratch_path
+    df = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for sort in (True, False):
+        path = scratch_path(spark, "three")
+        sinks.write_key_values(df, path, "k", "v", sort=sort, num_files=3)
+        files = sorted(f for f in os.listdir(path.removeprefix("file:")) if f.startswith("part-"))
+        assert len(files) == 3
+        back = sinks.read_key_values(spark, path, "bigint", "bigint")
+        assert as_dict(back, "key", "value") == {i: 2 * i for i in range(1000)}
+        if sort:
+            with open(os.path.join(path.removeprefix("file:"), files[0])) as f:
+                first = [int(x.split("\t")[0]) for x in f]
+            assert first == sorted(first) and first[0] == 0
+        delete_path(spark, path)
+
+
+def test_weekday_of_an_impossible_time_is_null(spark):
+    from tallgrass.functions.udfs import weekday_pudf
+    df = spark.createDataFrame([("01/Aug/1995:99:00:10 -0400",), ("01/Aug/1995:00:00:10 -0400",), (None,), ("x",)], "t string")
+    assert [r[0] for r in df.select(weekday_pudf("t")).collect()] == [None, 1, None, None]
+
+
+def test_people_without_any_age(spark):
+    from tallgrass.plans.table_queries import PEOPLE_SCHEMA
+    from tallgrass.sources.records import parse_json_lines
+    lines = spark.createDataFrame([('{"name": "a"}',), ('{"name": "b"}',)], "value string")
+    assert [tuple(r) for r in parse_json_lines(lines, schema=PEOPLE_SCHEMA).collect()] == [("a", None), ("b", None)]

@@ -10,8 +10,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tallgrass.operators.graph import iteration_edges
 from tallgrass.plans.registry import load_all
-from tallgrass.session import cut_lineage_bucketed
+from tallgrass.session import cut_lineage_bucketed, release
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -72,20 +73,35 @@ def test_code_share_uses_a_scalar_subquery_not_a_cross_join(spark):
 
 
 def test_superstep_moves_no_edges(spark):
-    """Bucketed edges joined to bucketed state: the only exchange is the
-    message aggregation by destination."""
+    """The edge tables that the iterations use, joined to bucketed state: the
+    only exchange is the message aggregation by destination."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         li = spark.read.parquet(f"{SF}/lineitem.parquet")
-        edges = cut_lineage_bucketed(li.select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst")),
-                                     "src", "plan-edges", n)
+        edges = iteration_edges(li.select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst")), "plan-edges")
         state = cut_lineage_bucketed(li.select(F.col("l_partkey").alias("id")).distinct()
-                                     .select("id", F.lit(1.0).alias("attr")), "id", "plan-state", n)
-        msgs = (edges.join(state.withColumnRenamed("id", "src"), "src")
+                                     .select("id", F.lit(1.0).alias("attr")), "id", "plan-state", edges.buckets)
+        msgs = (edges.out_of(state.withColumnRenamed("id", "src"))
                 .groupBy(F.col("dst").alias("id")).agg(F.sum("attr").alias("msg")))
         p = plan(state.join(msgs, "id", "left"))
+        assert edges.n_hubs == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    edges.release()
+    release(state)
     tree = p.split("\n\n")[0]
     assert len(re.findall(r"[-+] Exchange \(", tree)) == 1, tree
+
+
+def test_distinct_top_ten_is_a_hash_aggregate(spark):
+    p = plan(load_all()["top_distinct"].fn(spark, SF))
+    assert "SortAggregate" not in p and "TakeOrderedAndProject" in p
+
+
+def test_iterations_read_the_table_once_before_the_first_step(spark):
+    """Everything is made from one written copy of the edges."""
+    li = spark.read.parquet(f"{SF}/lineitem.parquet").select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst"))
+    edges = iteration_edges(li, "once")
+    for t in (edges.regular, edges.hubs, edges.hub_ids):
+        assert "lineitem" not in plan(t)
+    edges.release()

@@ -1,58 +1,45 @@
-"""Event-time stream behaviour: late rows (W12) and stream = batch."""
+"""Event-time stream behaviour: late rows (W12), and stream = batch (W11) on
+tables of many unordered files and in any session time zone."""
 
 from __future__ import annotations
 
 import os
-import tempfile
-import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from tallgrass.functions.geo import Box, Grid
+from tallgrass.functions.geo import Box, Grid, ntz_from_instant, utc_instant
 from tallgrass.operators import rides as R
+from tallgrass.plans.registry import load_all
+from tallgrass.session import delete_path, release, scratch_path
+from tallgrass.streaming.bounded import file_stream, run_bounded_stream
 
+SF = "/root/testdata/sf0.01"
 BOX = Box.degrees(-74.0, -73.7, 40.5, 41.0)
 GRID = Grid.degrees(-74.0, 41.0, 0.1, 0.1, 3)
-SCHEMA = ("rideId bigint, isStart boolean, startLon_u bigint, startLat_u bigint, endLon_u bigint, endLat_u bigint, "
-          "eventTime timestamp")
+needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
-def _write(spark, d, name, rows):
-    df = spark.createDataFrame(rows, "rideId bigint, isStart boolean, t string").select(
+def rides(spark, rows):
+    return spark.createDataFrame(rows, "rideId bigint, isStart boolean, t string").select(
         "rideId", "isStart", F.lit(-73_950_000).cast("bigint").alias("startLon_u"),
         F.lit(40_950_000).cast("bigint").alias("startLat_u"), F.lit(-73_950_000).cast("bigint").alias("endLon_u"),
         F.lit(40_950_000).cast("bigint").alias("endLat_u"), F.col("t").cast("timestamp").alias("eventTime"))
-    df.coalesce(1).write.mode("overwrite").parquet(os.path.join(d, name))
-    time.sleep(1.1)  # file order follows modification time
 
 
 def test_late_row_dropped_only_when_its_window_closed(spark):
-    src = tempfile.mkdtemp(prefix="tg-late-")
-    out = tempfile.mkdtemp(prefix="tg-late-out-")
-    stream = (spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
-              .parquet(src).withWatermark("eventTime", "60 seconds"))
-    counts = R.popular_places(stream, BOX, GRID, threshold=0)
-    q = (counts.writeStream.outputMode("append").format("parquet").option("path", out)
-         .option("checkpointLocation", os.path.join(out, "_ckpt")).trigger(processingTime="200 milliseconds").start())
-    try:
-        _write(spark, src, "b1", [(1, True, "2024-01-01 10:01:00"), (2, True, "2024-01-01 10:02:00")])
-        q.processAllAvailable()
-        _write(spark, src, "b2", [(3, True, "2024-01-01 11:00:00")])  # watermark -> 10:59
-        q.processAllAvailable()
-        _write(spark, src, "b3", [(4, True, "2024-01-01 10:03:00"),    # every window closed: dropped
-                                  (5, True, "2024-01-01 10:58:30")])   # older than the watermark, window open
-        q.processAllAvailable()
-        _write(spark, src, "b4", [(6, True, "2030-01-01 00:00:00")])   # sentinel flush
-        q.processAllAvailable()
-        time.sleep(1.5)
-        q.processAllAvailable()
-        dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
-                      if p.get("stateOperators"))
-    finally:
-        q.stop()
-    res = spark.read.parquet(out).collect()
+    phases = [rides(spark, x) for x in (
+        [(3, True, "2024-01-01 11:00:00")],  # watermark -> 10:59
+        [(4, True, "2024-01-01 10:03:00"),   # every window closed: dropped
+         (5, True, "2024-01-01 10:58:30")],  # older than the watermark, window open
+        [(6, True, "2030-01-01 00:00:00")])]  # sentinel flush
+    first = scratch_path(spark, "late")
+    rides(spark, [(1, True, "2024-01-01 10:01:00"), (2, True, "2024-01-01 10:02:00")]).write.parquet(first)
+    source = file_stream(spark, first, phases[0].schema)
+    out = run_bounded_stream(spark, source, lambda s: R.popular_places(
+        s.withWatermark("eventTime", "60 seconds"), BOX, GRID, threshold=0), phases, name="late")
     by_end = {}
-    for r in res:
+    for r in out.collect():
         by_end[r.windowEnd] = by_end.get(r.windowEnd, 0) + r["count"]
 
     def ms(ts):
@@ -62,4 +49,43 @@ def test_late_row_dropped_only_when_its_window_closed(spark):
     assert by_end[ms("2024-01-01 10:15:00")] == 2
     # Ride 5 was behind the watermark but its windows were still open: counted.
     assert by_end[ms("2024-01-01 11:00:00")] == 1  # ride 5 alone in 10:45-11:00
-    assert dropped >= 1
+    release(out)
+    delete_path(spark, first)
+
+
+@pytest.fixture(scope="module")
+def many_files(spark):
+    """The two stream tables as folders of unordered part files that overlap in time."""
+    folder = scratch_path(spark, "parts")
+    for name, n in (("events", 5), ("documents", 4)):
+        t = spark.read.parquet(f"{SF}/{name}.parquet")
+        t.repartition(n, F.rand(seed=3)).write.parquet(f"{folder}/{name}.parquet")
+    yield folder
+    delete_path(spark, folder)
+
+
+@needs_tables
+@pytest.mark.parametrize("stream, batch", [("stream_ride_cleaning", "ride_cleaning"), ("stream_popular_places", "popular_places"),
+                                           ("stream_terminal_trends", "terminal_trends"),
+                                           ("stream_running_wordcount", "wordcount_nonword")])
+def test_stream_equals_batch_on_folders_in_any_zone(spark, many_files, stream, batch):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    want = sorted(map(repr, map(tuple, load_all()[batch].fn(spark, many_files).collect())))
+    assert want
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        out = load_all()[stream].fn(spark, many_files)
+        assert sorted(map(repr, map(tuple, out.collect()))) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_instants_do_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([("2024-11-03 01:30:00.123456",), ("1969-12-31 23:59:59.5",), ("2024-03-10 02:30:00",)],
+                                   "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+        assert df.where(ntz_from_instant(utc_instant(F.col("t"))) != F.col("t")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
