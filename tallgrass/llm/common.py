@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, cut_lineage
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A word: a run of anything but ASCII white space.
@@ -37,10 +37,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: cuts lineage,
-    survives lost executors, and is computed once however often it is read."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    survives lost executors, and is computed once however often it is read.
+    ``release`` deletes it; so it does the ``borrowed`` result of an operator."""
+    return cut_lineage(df, name)
+
+
+def borrowed(result: DataFrame, table: DataFrame) -> DataFrame:
+    """``result``, which reads ``table``: releasing it deletes the table."""
+    result._scratch = table._scratch
+    return result
 
 
 def ascii_lower(text: Column) -> Column:

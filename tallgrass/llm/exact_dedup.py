@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, fresh, partitions, written
+from .common import ascii_lower, borrowed, fresh, partitions, written
 
 PREFIX = 32
 
@@ -75,9 +75,10 @@ def content_groups(df: DataFrame, text: str = "text", id_col: str = "doc_id", ke
         F.when(cut, F.col(copies)).otherwise(F.col("group_size")).alias("group_size"),
         ((F.col(rn) == 1) & F.col(id_col).eqNullSafe(F.when(cut, F.col(p)).otherwise(F.col("keep_id")))).alias("kept"),
         "text_sha256")
-    return out.filter("kept") if only_kept else out
+    return borrowed(out.filter("kept") if only_kept else out, piece)
 
 
 def drop_copies(df: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``df`` with one row of each group of equal texts: the one with the largest id."""
-    return content_groups(df, text, id_col, only_kept=True).select(*df.columns)
+    kept = content_groups(df, text, id_col, only_kept=True)
+    return borrowed(kept.select(*df.columns), kept)

@@ -26,8 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, small_batches, written
-from .components import components
+from ..operators.graph import star_components
+from ..session import release
+from .common import borrowed, fresh, small_batches, written
 
 #: References; seven 8-bit distances lie in one long. CROWD: fingerprints in a block before it is blocked again.
 LANES, LONGS, CROWD = 7, 3, 64
@@ -127,7 +128,7 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
     for k in range(LONGS):
         near &= close_by(F.col(f"x.p{k}"), F.col(f"y.p{k}"), max_bits)
     near &= F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= max_bits
-    return x.join(y, near).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct()
+    return borrowed(x.join(y, near).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct(), place)
 
 
 def groups(rows: DataFrame, max_bits: int, id_col: str = "doc_id", fp: str = "fp") -> DataFrame:
@@ -135,7 +136,9 @@ def groups(rows: DataFrame, max_bits: int, id_col: str = "doc_id", fp: str = "fp
     ``component_id`` (the smallest id of any row it reaches; null if all are
     null) for each distinct fingerprint of ``rows``."""
     distinct = written(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(id_col).alias("first_id")), "fingerprints")
-    reached = components(links(distinct, max_bits))
+    near = links(distinct, max_bits)
+    reached = star_components(near, "a", "b")
+    release(near)
     rooted = distinct.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("root"))
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -167,4 +170,4 @@ def drop_near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_i
     found = groups(slim, max_bits, "id").select("fp", "root")
     stay = (slim.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "row")).alias("best"))
             .join(found, "fp").groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias(row)))
-    return rows.join(stay, row, "left_semi").select(*df.columns)
+    return borrowed(rows.join(stay, row, "left_semi").select(*df.columns), rows)

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import delete_path, release
 from .common import partitions, shared_path, small_batches, written
 from .worker import Folder
 
@@ -186,6 +187,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "ve
 
     top = written(tasks.mapInArrow(run, "block string, node long, row long, query_id long, "
                                    "top array<struct<turned long, late boolean, id long>>"), "tile-tops")
+    release(blocks, shards)
+    delete_path(spark, folder)
     while spread > 1:  # merge the lists of FAN_IN tasks at a time
         spread = math.ceil(spread / FAN_IN)
         top = top.withColumn("node", F.floor(F.col("node") / FAN_IN)).groupBy("block", "row", "query_id", "node").agg(

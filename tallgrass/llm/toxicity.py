@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import release
 from .common import fresh, id_crc, small_batches, written
 
 #: Most labelled documents of each kind that a model is fitted on, and features that it keeps.
@@ -124,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
                  pa.array([list(f) for f in found], pa.list_(pa.string())),
                  pa.array([list(f.values()) for f in found], pa.list_(pa.int64()))], names=["id", "mark", "key", "f", "n"])
 
-    held = written(rows.select("id", "mark", "body").mapInArrow(
+    held = sample_table = written(rows.select("id", "mark", "body").mapInArrow(
         sparse, "id long, mark int, key long, f array<string>, n array<long>"), "toxic-sample")
     one = held.groupBy("key").agg(F.min(F.struct("id", "mark")).alias("x")).select("x.*")
     held = held.join(one, ["id", "mark"], "left_semi")
@@ -149,6 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     for r in held.select("id", F.inline(F.arrays_zip("f", "n"))).join(F.broadcast(words), "f").collect():
         found.setdefault(r["id"], []).append((r["f"], r["n"]))
     data = sorted((r["mark"], r["id"]) for r in held.select("id", "mark").collect())
+    release(sample_table)
     x = np.zeros((len(data), len(vocabulary)))
     hits = np.zeros(len(data))
     for k, (_, doc) in enumerate(data):

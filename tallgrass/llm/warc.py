@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import release
 from .common import shared_path, small_batches, written
 from .worker import Folder
 
@@ -179,7 +180,9 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
     ordered = captures.select("key", "file", "offset", "length").repartitionByRange("key") \
         .sortWithinPartitions("key", "file", "offset")
     files = written(ordered.mapInArrow(run, "first string, file string"), "index-files")
-    return sorted((r["first"], r["file"]) for r in files.collect())
+    found = sorted((r["first"], r["file"]) for r in files.collect())
+    release(files)
+    return found
 
 
 class Index:
@@ -291,6 +294,7 @@ def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     folder = shared_path(pages.sparkSession, "warc")
     captures = write_archives(pages, folder, page_id, url, html)
     files = write_index(captures, folder)
+    release(captures)
     records = written(read_records(locate(pages, folder, files, page_id, url), folder).select(
         "page_id", F.length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"), "records")
     there = (records.filter("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"), "payload_digest")

@@ -9,7 +9,7 @@ import pytest
 import xxhash
 
 from tallgrass.llm import simhash
-from tallgrass.llm.components import components
+from tallgrass.operators.graph import star_components
 
 
 def plain_fingerprint(text, n=3):
@@ -84,10 +84,10 @@ def test_components(spark):
     rnd = random.Random(7)
     edges = [(k, k + 1) for k in range(60)] + [(1000, 1000 + k) for k in range(1, 80)] \
         + [(rnd.randrange(2000, 2200), rnd.randrange(2000, 2200)) for _ in range(120)] + [(5, 5), (None, 3), (61, 60)]
-    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.component for r in star_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     real = [(a, b) for a, b in edges if a is not None and a != b]
     assert got == roots({x for e in real for x in e}, real)
-    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    assert star_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 
 
 def documents(spark, rows):
