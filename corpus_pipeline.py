@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.llm import exact_dedup, mixing, quality, sentencepiece_bpe, simhash
 from tallgrass.llm.common import fresh, table, written
+from tallgrass.session import release
 
 #: The model's name among the public tokenizers.
 MODEL = "piece_bpe_32k.model"
@@ -59,7 +60,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what lies between them is written and read again."""
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = written(docs, f"stage-{k}")
+            made, docs = docs, written(docs, f"stage-{k}")
+            release(made, before)  # what the stage read and what it left behind
     return docs
