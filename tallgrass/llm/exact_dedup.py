@@ -41,8 +41,10 @@ def content_groups(df: DataFrame, text: str = "text", id_col: str = "doc_id", ke
     """
     spark = df.sparkSession
     made = ["keep_id", "group_size", "kept", "text_sha256"]
+    if {id_col.lower(), text.lower()} & set(made):
+        raise ValueError("the id and text columns can't have the name of an added column")
     p, h, salt, norm, copies, rn = fresh(df, "p", "h", "salt", "norm", "copies", "rn")
-    passengers = [c for c in df.columns if c.lower() not in made or c in (id_col, text)] if keep_columns else [id_col]
+    passengers = [c for c in df.columns if c.lower() not in made] if keep_columns else [id_col]
     # Equal normal forms have equal `lower` forms, so this hash never parts copies.
     body = F.coalesce(F.col(text), F.lit(""))
     keyed = df.select(*{*passengers, text}, F.xxhash64(F.lower(body)).alias(h))
@@ -60,7 +62,7 @@ def content_groups(df: DataFrame, text: str = "text", id_col: str = "doc_id", ke
     first = same.orderBy(F.col(id_col).desc())
     piece = ordered.select(
         *passengers, salt, F.row_number().over(first).alias(rn),
-        F.first(id_col).over(first).alias("keep_id" if id_col != "keep_id" else rn),
+        F.first(id_col).over(first).alias("keep_id"),
         F.count("*").over(first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("group_size"),
         F.sha2(norm, 256).alias("text_sha256"))
     if only_kept:

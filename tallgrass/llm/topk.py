@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,19 +32,16 @@ QUERY_ROWS, SHARD_ROWS, FAN_IN, SHARDS_A_TASK = 1024, 4096, 16, 64
 LONG = np.iinfo(np.int64)
 
 
-def scaled(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray | None]]:
-    """Which vectors take part, and each one's ``floor(256 * x)``. Null
-    vectors and vectors with a null or non-finite component (also one that is
-    so large that 256 times it is not finite) take no part."""
-    vectors: list[np.ndarray | None] = []
-    for v in column:
-        x = None
-        if v.is_valid and not v.values.null_count:
-            with np.errstate(over="ignore", invalid="ignore"):
-                x = np.floor(256.0 * v.values.to_numpy(zero_copy_only=False).astype(np.float64))
-            x = x if np.isfinite(x).all() else None
-        vectors.append(x)
-    return np.array([v is not None for v in vectors], bool), vectors
+def scaled(column: pa.Array) -> list[np.ndarray | None]:
+    """Each vector's ``floor(256 * x)``; None for vectors that take no part:
+    null ones, and those with a null or non-finite component (also one so
+    large that 256 times it is not finite)."""
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    with np.errstate(over="ignore", invalid="ignore"):  # a null component becomes NaN
+        x = np.floor(256.0 * column.flatten().to_numpy(zero_copy_only=False).astype(np.float64))
+    ends, wrong = np.cumsum(sizes), np.concatenate([[0], np.cumsum(~np.isfinite(x))])
+    good = column.is_valid().to_numpy(zero_copy_only=False) & (wrong[ends] == wrong[ends - sizes])
+    return [x[e - n:e] if g else None for g, n, e in zip(good.tolist(), sizes.tolist(), ends.tolist(), strict=True)]
 
 
 def write_matrices(df: DataFrame, folder: str, rows: int, vec_id: str, vector: str) -> DataFrame:
@@ -64,8 +62,7 @@ def write_matrices(df: DataFrame, folder: str, rows: int, vec_id: str, vector: s
                                               names=["dim", "file", "n"])
 
         for batch in batches:
-            _, vectors = scaled(batch.column(1))
-            for i, x in zip(batch.column(0).to_pylist(), vectors, strict=True):
+            for i, x in zip(batch.column(0).to_pylist(), scaled(batch.column(1)), strict=True):
                 if x is not None:
                     held.setdefault(len(x), []).append((i, x))
                     if len(held[len(x)]) >= rows:
