@@ -44,6 +44,18 @@ def kv_map(spark, sf_dir):
         (F.col("value").cast("bigint") * F.col("value")).alias("squared_value"))
 
 
+@query("kv_map_pairs", oracle="SELECT c_name || '_wiser' AS key, c_nationkey + 1 AS value FROM customer")
+def kv_map_pairs(spark, sf_dir):
+    """P4 a map of key and value at once."""
+    return K.map_pairs(_users(spark, sf_dir), lambda k: F.concat(k, F.lit("_wiser")), lambda v: v + 1)
+
+
+@query("kv_map_values", oracle="SELECT c_name AS key, CAST(c_nationkey AS BIGINT) * c_nationkey AS value FROM customer")
+def kv_map_values(spark, sf_dir):
+    """P5 ``mapValues``, keys untouched."""
+    return K.map_values(_users(spark, sf_dir), lambda v: v.cast("bigint") * v)
+
+
 @query("kv_lookup", oracle="""
     SELECT o_orderkey AS value FROM orders WHERE o_orderpriority = '1-URGENT'""")
 def kv_lookup(spark, sf_dir):
