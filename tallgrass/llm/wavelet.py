@@ -28,7 +28,7 @@ from .worker import Folder, WordIds, once
 MAGIC = b"WVMX0001"
 STEP = 512  # bits between running counts
 #: Documents encoded at once, and ids after which a shard is closed.
-CHUNK_DOCS, SHARD_TOKENS = 100, 2_000_000
+CHUNK_DOCS, SHARD_TOKENS = 250, 2_000_000
 
 
 class WaveletMatrix:
@@ -107,13 +107,14 @@ class WaveletMatrix:
 
     def tokens(self) -> np.ndarray:
         """All ids, undoing the partitions from the lowest plane up."""
-        out = np.zeros(self.n, np.uint32)
+        small = np.uint16 if len(self.planes) <= 16 else np.uint32
+        out = np.zeros(self.n, small)
         for level in range(len(self.planes) - 1, -1, -1):
             bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
             up = np.empty_like(out)
             up[~bit], up[bit] = out[:self.zeros[level]], out[self.zeros[level]:]
-            out = up | (bit.astype(np.uint32) << np.uint32(len(self.planes) - 1 - level))
-        return out
+            out = up | (bit.astype(small) << small(len(self.planes) - 1 - level))
+        return out.astype(np.uint32)
 
 
 def to_file(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray) -> bytes:
@@ -174,7 +175,7 @@ class WordTokenizer:
         # the same model on words that are normalised and split already
         self.bare = Tokenizer(self.tok.model)
         self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.parts, self.words = WordIds(self.encode_parts), WordIds(self.encode_words)
+        self.parts, self.words = WordIds(self.encode_parts, 300_000), WordIds(self.encode_words, 300_000)
 
     def encode_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words as the tokenizer splits them; those that begin with a blank are to be split yet."""
@@ -223,7 +224,7 @@ class WordTokenizer:
 
 
 def write_shards(df: DataFrame, tokenizer_path: str, end_id: int, text: str = "text", id_col: str = "doc_id",
-                 folder: str | None = None, shard_tokens: int = SHARD_TOKENS) -> tuple[str, DataFrame]:
+                 folder: str | None = None, shard_tokens: int = SHARD_TOKENS, chunk_docs: int = CHUNK_DOCS) -> tuple[str, DataFrame]:
     """Tokenize ``df``, append ``end_id`` to each document, and write shard
     files in ascending id order to ``folder`` (default: a fresh one in the
     shared checkpoint folder).
@@ -256,9 +257,9 @@ def write_shards(df: DataFrame, tokenizer_path: str, end_id: int, text: str = "t
 
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for a in range(0, len(names), CHUNK_DOCS):
-                flat, counts = tok.encode(batch.column(1).slice(a, CHUNK_DOCS).to_pylist())
-                docs += names[a:a + CHUNK_DOCS]
+            for a in range(0, len(names), chunk_docs):
+                flat, counts = tok.encode(batch.column(1).slice(a, chunk_docs).to_pylist())
+                docs += names[a:a + chunk_docs]
                 held.append((counts + 1, np.insert(flat, np.cumsum(counts), end_id).astype(np.uint32)))
                 if sum(len(ids) for _, ids in held) >= shard_tokens:
                     yield close()

@@ -88,7 +88,7 @@ def test_shards_round_trip(spark):
     from tokenizers import Tokenizer
     rows = [(k * 7 % 101, t) for k, t in enumerate(ODD_TEXTS)] + [(None, "no id")] + [(200 + k, f"text {k}") for k in range(600)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    folder, shards = wavelet.write_shards(df, tokenizer(), 1, shard_tokens=2000)
+    folder, shards = wavelet.write_shards(df, tokenizer(), 1, shard_tokens=2000, chunk_docs=50)
     assert shards.count() > 2
     got = [tuple(r) for r in wavelet.read_shards(folder, shards).collect()]
     lib, start, want = Tokenizer.from_file(tokenizer()), 0, []
