@@ -7,33 +7,54 @@ sample needs the fewest phrases, each weighed by the bits that point into that
 sample, wins.
 
 Texts are parsed in windows of fixed length, every window of a batch side by
-side: one step of all windows is one numpy lookup in the automaton's table. A
+side: one step of all windows is one numpy lookup in the automaton's cells. A
 phrase ends at a window's end; all windows of a text count.
+
+Every language of the training rows has an automaton. Automata keep only the
+transitions that exist, and those of many languages are held in groups, one
+group at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import fresh, id_crc, small_batches
 
-#: Sample of a language: characters, documents it is taken from, and characters of one document. Most languages and
+#: Sample of a language: characters, documents it is taken from, and characters of one document. Most
 #: characters told apart.
-SAMPLE_CHARS, SAMPLE_DOCS, DOC_CHARS, MOST_LANGUAGES, ALPHABET = 24_000, 400, 800, 64, 120
+SAMPLE_CHARS, SAMPLE_DOCS, DOC_CHARS, ALPHABET = 24_000, 400, 800, 120
+#: Languages whose automata a worker holds at a time (each a megabyte or two).
+GROUP = 64
 WINDOW_CHARS = 192
 UNKNOWN = "und"
 
 
-def automaton(seq: list[int], width: int) -> np.ndarray:
-    """Transition table of the suffix automaton of ``seq`` (values below
-    ``width``): state 0 is the start; 0 as a target means none."""
+@dataclass
+class Automaton:
+    """Transitions of a suffix automaton: that of state ``s`` by ``c`` is in cell
+    ``(base[s] + c) % len(cells)``, if the cell's upper half is ``s``, and leads
+    to the lower half. State 0 is the start; 0 as a target means none."""
+
+    base: np.ndarray
+    cells: np.ndarray
+    root: np.ndarray  # targets of state 0
+
+    def step(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        cell = self.cells[(self.base[state] + c) & (len(self.cells) - 1)]
+        return np.where(cell >> 32 == state, cell & 0xFFFFFFFF, 0)
+
+
+def automaton(seq: list[int], width: int) -> Automaton:
+    """The suffix automaton of ``seq`` (values below ``width``)."""
     nxt: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in seq:
@@ -59,10 +80,27 @@ def automaton(seq: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
-    table = np.zeros((len(nxt), width), np.int32)
-    for s, row in enumerate(nxt):
-        table[s, list(row)] = list(row.values())
-    return table
+    return packed(nxt, width)
+
+
+def packed(nxt: list[dict[int, int]], width: int, size: int = 0) -> Automaton:
+    """The transitions in ``size`` cells, half of them free at least: states with
+    most transitions first, each at the first of a series of mixed bases where
+    all its cells are free. Twice the cells if that takes too many tries."""
+    size = size or 1 << max(2 * sum(map(len, nxt)), width).bit_length()
+    mask, base, cells, at, tries = size - 1, [0] * len(nxt), [-1] * size, 0, 4 * len(nxt) + 64
+    for s in sorted(range(len(nxt)), key=lambda s: -len(nxt[s])):
+        row = nxt[s]
+        while any(cells[(at + c) & mask] >= 0 for c in row):
+            at, tries = (at * 1664525 + 1013904223) & mask, tries - 1
+            if tries < 0:
+                return packed(nxt, width, 2 * size)
+        base[s] = at
+        for c, to in row.items():
+            cells[(at + c) & mask] = s << 32 | to
+    root = np.zeros(width, np.int64)
+    root[list(nxt[0])] = list(nxt[0].values())
+    return Automaton(np.array(base, np.int64), np.array(cells, np.int64), root)
 
 
 def letter_classes() -> np.ndarray:
@@ -80,15 +118,20 @@ def letter_classes() -> np.ndarray:
 class Model:
     languages: list[str]
     alphabet: list[int]  # code points; number 0 is the blank, 1 any other letter
-    tables: list[np.ndarray]
+    samples: list[np.ndarray]  # numbers of the characters
     bits: list[float]  # bits of a phrase: a place in the sample
 
     def codes(self) -> np.ndarray:
         """Number of every code point."""
         lower = letter_classes()
-        number = np.ones(0x110000, np.uint8)
+        number = np.ones(0x110000, np.int32)
         number[self.alphabet] = np.arange(2, 2 + len(self.alphabet))
-        return np.where(lower > 0, number[lower], 0).astype(np.uint8)
+        return np.where(lower > 0, number[lower], 0).astype(np.int32)
+
+    def groups(self) -> Iterator[list[Automaton]]:
+        """Automata of the languages in their order, GROUP at a time."""
+        for k in range(0, len(self.samples), GROUP):
+            yield [automaton(seq.tolist(), len(self.alphabet) + 2) for seq in self.samples[k:k + GROUP]]
 
 
 def numbered(texts: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -105,17 +148,16 @@ def numbered(texts: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return seq[keep], np.diff(upto)
 
 
-def phrases(seq: np.ndarray, starts: np.ndarray, sizes: np.ndarray, table: np.ndarray) -> np.ndarray:
+def phrases(seq: np.ndarray, starts: np.ndarray, sizes: np.ndarray, table: Automaton) -> np.ndarray:
     """Phrases of each window of ``seq`` when parsed with an automaton. ``sizes`` fall."""
-    flat, width = table.ravel(), table.shape[1]
-    root, state = table[0], np.zeros(len(starts), np.int64)
+    state = np.zeros(len(starts), np.int64)
     count, active = np.zeros(len(starts), np.int64), len(starts)
     for t in range(int(sizes.max(initial=0))):
         while active and sizes[active - 1] <= t:
             active = int(np.searchsorted(-sizes, -t, "left"))
         c = seq[starts[:active] + t]
-        here, again = state[:active], root[c]
-        to = flat[here * width + c]
+        here, again = state[:active], table.root[c]
+        to = table.step(here, c)
         end = to == 0
         # the phrase so far ends; a character that the sample lacks is a phrase of its own
         count[:active] += (end & (here > 0)).astype(np.int64) + (end & (again == 0))
@@ -123,7 +165,7 @@ def phrases(seq: np.ndarray, starts: np.ndarray, sizes: np.ndarray, table: np.nd
     return count + (state > 0)
 
 
-def entropies(texts: list[str], model: Model, codes: np.ndarray) -> np.ndarray:
+def entropies(texts: list[str], model: Model, codes: np.ndarray, groups: Iterator[list[Automaton]] | None = None) -> np.ndarray:
     """Bits per character of each text (row) under each language; NaN for texts without a letter."""
     seq, size = numbered(texts, codes)
     begin, windows = np.cumsum(size) - size, -(-size // WINDOW_CHARS)
@@ -134,26 +176,27 @@ def entropies(texts: list[str], model: Model, codes: np.ndarray) -> np.ndarray:
     order = np.argsort(-sizes, kind="stable")
     out = np.full((len(texts), len(model.languages)), np.nan)
     some = size > 0
-    for k, table in enumerate(model.tables):
+    for k, table in enumerate(t for group in groups or model.groups() for t in group):
         n = np.bincount(owner[order], phrases(seq, starts[order], sizes[order], table), len(texts))
         out[some, k] = (n * model.bits[k])[some] / size[some]
     return out
 
 
 def train(docs: DataFrame, text: str = "text", id_col: str = "doc_id", lang: str = "lang") -> Model:
-    """Samples and automata from the rows whose id is not held out and whose
-    language is known: of each of the most frequent MOST_LANGUAGES languages
-    the first SAMPLE_DOCS documents by a hash of the id, of each DOC_CHARS
-    characters, and of these SAMPLE_CHARS in all. Without such rows the model
-    knows no language and every text is ``und``."""
+    """Samples from the rows whose id is not held out and whose language is
+    known: of each language the first SAMPLE_DOCS documents by a hash of the
+    id, of each DOC_CHARS characters, and of these SAMPLE_CHARS in all. Without
+    such rows the model knows no language and every text is ``und``."""
     known = docs.filter(F.col(lang).isNotNull() & (id_crc(id_col) % 4 != 2)).select(
         F.col(id_col).alias("id"), F.col(lang).alias("lang"))
-    frequent = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = known.join(F.broadcast(frequent), "lang").select("id", "lang", place.alias("k")).filter(F.col("k") <= SAMPLE_DOCS)
+    chosen = known.select("id", "lang", place.alias("k")).filter(F.col("k") <= SAMPLE_DOCS)
     body = F.substring(F.coalesce(F.col(text), F.lit("")), 1, DOC_CHARS)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang).alias("lang"), body.alias("body")).join(
-        F.broadcast(chosen), ["id", "lang"]).collect()
+        F.broadcast(chosen), ["id", "lang"])
+    # only what the samples take reaches the driver
+    before = F.sum(F.length("body") + 1).over(Window.partitionBy("lang").orderBy("k", "body").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < SAMPLE_CHARS).collect()
     samples: dict[str, str] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["k"], r["body"])):
         if len(samples.setdefault(r["lang"], "")) < SAMPLE_CHARS:
@@ -170,11 +213,17 @@ def build(samples: dict[str, str]) -> Model:
     codes = model.codes()
     for name in model.languages:
         seq, _ = numbered([samples[name]], codes)
-        model.tables.append(automaton(seq.tolist(), len(model.alphabet) + 2))
+        model.samples.append(seq.astype(np.int32))
         model.bits.append(float(np.log2(len(seq) + 2)))
     return model
 
 
+def loaded(shared: list[Broadcast]) -> Iterator[list[Automaton]]:
+    """The groups in turn. If there are several, none is kept in the worker."""
+    for b in shared:
+        yield b.load_from_path(b._path) if len(shared) > 1 and getattr(b, "_path", None) else b.value
+
+
 def with_language(df: DataFrame, model: Model, text: str = "text", out: str = "lang_pred", score: str = "score",
                   keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` of ``df`` (all, if none are named) with the
@@ -185,13 +234,14 @@ def with_language(df: DataFrame, model: Model, text: str = "text", out: str = "l
     small_batches(spark)
     keep = [c for c in (keep or df.columns) if c.lower() not in (out.lower(), score.lower())]
     schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(out, T.StringType()), T.StructField(score, T.DoubleType())])
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast((replace(model, samples=[]), model.codes()))
+    groups = [spark.sparkContext.broadcast(group) for group in model.groups()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = shared.value.codes()
-        names = np.array([*shared.value.languages, UNKNOWN], object)
+        known, codes = shared.value
+        names = np.array([*known.languages, UNKNOWN], object)
         for batch in batches:
-            h = entropies([t or "" for t in batch.column(len(keep)).to_pylist()], shared.value, codes)
+            h = entropies([t or "" for t in batch.column(len(keep)).to_pylist()], known, codes, loaded(groups))
             none = np.isnan(h).all(1)
             h[none] = 0.0
             best = h.argmin(1) if h.shape[1] else np.zeros(len(h), int)

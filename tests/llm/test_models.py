@@ -121,6 +121,22 @@ def test_language_of_held_out_documents(spark):
     assert {r.lang_pred for r in langid.with_language(odd, none).collect()} == {"und"}
 
 
+def invented(rnd, letters, n=40):
+    return ["".join(rnd.choice(letters) for _ in range(rnd.randint(2, 7))) for _ in range(n)]
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "GROUP", 30, raising=False)
+    rnd = random.Random(5)
+    vocabulary = {f"l{k:02d}": invented(rnd, "abcdefghijklmnopqrstuvwxyz") for k in range(70)}
+    texts = [(name, " ".join(rnd.choice(w) for _ in range(60))) for name, w in vocabulary.items() for _ in range(8)]
+    docs = spark.createDataFrame([(k, t, name) for k, (name, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    known = {name for k, (name, _) in enumerate(texts) if not held(k, 4, 2)}
+    assert model.languages == sorted(known) and len(known) == 70
+    assert all(r.lang_pred == r.lang for r in langid.with_language(docs, model).collect())
+
+
 def test_quality_of_held_out_documents(spark):
     docs, labels = docs_and_labels(spark)
     model = quality.train(docs, labels)
