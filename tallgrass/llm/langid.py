@@ -10,9 +10,9 @@ Texts are parsed in windows of fixed length, every window of a batch side by
 side: one step of all windows is one numpy lookup in the automaton's cells. A
 phrase ends at a window's end; all windows of a text count.
 
-Every language of the training rows has an automaton. Automata keep only the
-transitions that exist, and those of many languages are held in groups, one
-group at a time.
+Every language of the training rows has an automaton, and every letter of the
+samples a number of its own. Automata keep only the transitions that exist, and
+those of many languages are held in groups, one group at a time.
 """
 
 from __future__ import annotations
@@ -29,9 +29,8 @@ from pyspark.sql import types as T
 
 from .common import fresh, id_crc, small_batches
 
-#: Sample of a language: characters, documents it is taken from, and characters of one document. Most
-#: characters told apart.
-SAMPLE_CHARS, SAMPLE_DOCS, DOC_CHARS, ALPHABET = 24_000, 400, 800, 120
+#: Sample of a language: characters, documents it is taken from, and characters of one document.
+SAMPLE_CHARS, SAMPLE_DOCS, DOC_CHARS = 24_000, 400, 800
 #: Languages whose automata a worker holds at a time (each a megabyte or two).
 GROUP = 64
 WINDOW_CHARS = 192
@@ -117,7 +116,7 @@ def letter_classes() -> np.ndarray:
 @dataclass
 class Model:
     languages: list[str]
-    alphabet: list[int]  # code points; number 0 is the blank, 1 any other letter
+    alphabet: list[int]  # code points; number 0 is the blank, 1 a letter that no sample holds
     samples: list[np.ndarray]  # numbers of the characters
     bits: list[float]  # bits of a phrase: a place in the sample
 
@@ -207,9 +206,8 @@ def train(docs: DataFrame, text: str = "text", id_col: str = "doc_id", lang: str
 def build(samples: dict[str, str]) -> Model:
     """A model from one sample text per language."""
     lower = letter_classes()
-    number, count = np.unique(np.concatenate([[0], *[lower[[ord(c) for c in s]] for s in samples.values() if s]]), return_counts=True)
-    frequent = number[np.argsort(-count, kind="stable")]
-    model = Model(sorted(samples), sorted(int(c) for c in frequent[frequent > 0][:ALPHABET]), [], [])
+    letters = np.unique(np.concatenate([[0], *[lower[[ord(c) for c in s]] for s in samples.values() if s]]))
+    model = Model(sorted(samples), [int(c) for c in letters if c > 0], [], [])
     codes = model.codes()
     for name in model.languages:
         seq, _ = numbered([samples[name]], codes)

@@ -137,6 +137,20 @@ def test_every_language_is_learned(spark, monkeypatch):
     assert all(r.lang_pred == r.lang for r in langid.with_language(docs, model).collect())
 
 
+def test_every_letter_of_the_samples_is_told_apart():
+    rnd = random.Random(6)
+    scripts = {"aa": [chr(0x4E00 + k) for k in range(400)], "bb": [chr(0x4E00 + k) for k in range(400, 800)],
+               "cc": [chr(0xAC00 + k) for k in range(300)]}
+    words = {name: invented(rnd, letters, 300) for name, letters in scripts.items()}
+    model = langid.build({name: " ".join(rnd.choice(w) for _ in range(3000)) for name, w in words.items()})
+    codes = model.codes()
+    seen = {c for w in words.values() for x in w for c in x}
+    assert len({int(codes[ord(c)]) for c in seen} - {0, 1}) == len(seen) > 900
+    for k, w in enumerate(words.values()):
+        h = langid.entropies([" ".join(rnd.choice(w) for _ in range(40)) for _ in range(20)], model, codes)
+        assert (h.argmin(1) == k).all() and (np.delete(h, k, 1).min(1) > 2 * h[:, k]).all()
+
+
 def test_quality_of_held_out_documents(spark):
     docs, labels = docs_and_labels(spark)
     model = quality.train(docs, labels)
