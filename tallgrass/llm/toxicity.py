@@ -31,6 +31,9 @@ SAMPLE, VOCABULARY = 4000, 1500
 #: it (or none of them is toxic).
 MARGIN, PURITY = 2.0, 0.8
 GRADES, STEMS = 3, (4, 5)
+#: Hash functions of a sketch, and the share of equal values from which two texts are near copies.
+SKETCH, SAME = 256, 0.8
+FACTORS, OFFSETS = (np.random.default_rng(k).integers(0, 2**63, SKETCH, np.uint64) * np.uint64(2) + np.uint64(1) for k in (1, 2))
 WORDS = re.compile(r"\w+").findall
 
 
@@ -48,12 +51,31 @@ def features(text: str | None, vocabulary: dict[str, int] | None = None) -> dict
     return out
 
 
-def copy_key(text: str | None) -> int:
-    """The smallest hash of the text's runs of four words: near copies mostly share it."""
+def sketch(text: str | None) -> np.ndarray:
+    """The smallest values of the text's runs of four words under each of SKETCH
+    hash functions: two texts agree in about as many as their Jaccard similarity says."""
     import xxhash
 
     words = WORDS(text.lower()) if text else []
-    return min((xxhash.xxh64_intdigest(" ".join(words[k:k + 4])) >> 1 for k in range(max(1, len(words) - 3))), default=0)
+    runs = {" ".join(words[k:k + 4]) for k in range(max(1, len(words) - 3))}
+    h = np.array([xxhash.xxh64_intdigest(r) for r in runs], np.uint64)
+    parts = (h[k:k + 2048, None] * FACTORS + OFFSETS for k in range(0, len(h), 2048))
+    return np.minimum.reduce([p.min(0) >> np.uint64(32) for p in parts]).astype(np.uint32)
+
+
+def without_copies(rows: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
+    """Mark and id of each of ``rows`` (mark, id, sketch), in order, unless one
+    already kept with the same mark is its near copy."""
+    kept, sizes, held = [], {}, {}
+    for mark, doc, raw in sorted(rows):
+        own, n = np.frombuffer(raw, np.uint32), sizes.get(mark, 0)
+        if mark not in held:
+            held[mark] = np.empty((len(rows), SKETCH), np.uint32)
+        if (np.count_nonzero(held[mark][:n] == own, axis=1) >= SAME * SKETCH).any():
+            continue
+        held[mark][n], sizes[mark] = own, n + 1
+        kept.append((mark, doc))
+    return kept
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -104,7 +126,8 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
           sample: int = SAMPLE) -> Model:
     """A model from the rows of ``labels`` whose id is not held out and whose
     label is 0 or 1: at most ``sample`` of each, the first by a hash of the id;
-    of near copies among them one. Without toxic rows no text is toxic."""
+    of near copies with the same label among them one. Without toxic rows no
+    text is toxic."""
     spark = docs.sparkSession
     small_batches(spark)
     known = labels.filter(F.col(label).isin(0, 1) & (id_crc(id_col) % 5 != 0)).select(
@@ -121,14 +144,14 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
             texts = batch.column(2).to_pylist()
             found = [features(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array([copy_key(t) for t in texts], pa.int64()),
+                [*batch.columns[:2], pa.array([sketch(t).tobytes() for t in texts], pa.binary()),
                  pa.array([list(f) for f in found], pa.list_(pa.string())),
-                 pa.array([list(f.values()) for f in found], pa.list_(pa.int64()))], names=["id", "mark", "key", "f", "n"])
+                 pa.array([list(f.values()) for f in found], pa.list_(pa.int64()))], names=["id", "mark", "sketch", "f", "n"])
 
     held = sample_table = written(rows.select("id", "mark", "body").mapInArrow(
-        sparse, "id long, mark int, key long, f array<string>, n array<long>"), "toxic-sample")
-    one = held.groupBy("key").agg(F.min(F.struct("id", "mark")).alias("x")).select("x.*")
-    held = held.join(one, ["id", "mark"], "left_semi")
+        sparse, "id long, mark int, sketch binary, f array<string>, n array<long>"), "toxic-sample")
+    one = without_copies([(r["mark"], r["id"], bytes(r["sketch"])) for r in held.select("mark", "id", "sketch").collect()])
+    held = held.join(F.broadcast(spark.createDataFrame(one, "mark int, id long")), ["mark", "id"], "left_semi")
     sizes = {r["mark"]: r["n"] for r in held.groupBy("mark").agg(F.count("*").alias("n")).collect()}
     bad, fine = sizes.get(1, 0), sizes.get(0, 0)
     texts = held.select("mark", F.explode("f").alias("f")).groupBy("f").agg(

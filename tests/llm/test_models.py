@@ -189,6 +189,23 @@ def test_toxicity_of_held_out_documents(spark):
     assert {r.toxic_score < 0.5 for r in toxicity.with_severity(odd, empty).collect()} == {True}
 
 
+def test_only_near_copies_with_one_label_are_dropped(spark, monkeypatch):
+    import xxhash
+
+    rnd = random.Random(7)
+    passage = min((" ".join(invented(rnd, "abcdefgh", 4)) for _ in range(20000)), key=lambda p: xxhash.xxh64_intdigest(p) >> 1)
+    own = [invented(rnd, "abcdefghijklm", 100) for _ in range(40)]
+    rows = [(f"{passage} {' '.join(w)}", k % 2) for k, w in enumerate(own)]  # one shared run
+    rows += [(f"{passage} {' '.join(w[:50] + ['new'] + w[51:])}", k % 2) for k, w in enumerate(own[:10])]  # near copies
+    rows += [(f"{passage} {' '.join(w)}", 1 - k % 2) for k, w in enumerate(own[20:30], 20)]  # copies with the other label
+    ids = [i for i in range(200) if not held(i, 5, 0)][:len(rows)]
+    df = spark.createDataFrame([(i, t, m) for i, (t, m) in zip(ids, rows, strict=True)], "doc_id long, text string, toxic int")
+    fitted, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda x, grade, share: fitted.append(grade) or fit(x, grade, share))
+    toxicity.train(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert [(g == 0).sum() for g in fitted] == [25] and [(g > 0).sum() for g in fitted] == [25]
+
+
 def test_ordinal_fit_shares_weights():
     rng = np.random.default_rng(2)
     x = rng.integers(0, 4, (800, 6)).astype(float)
