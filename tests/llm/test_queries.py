@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import zlib
 
 import pytest
 
@@ -30,6 +31,30 @@ def test_query(spark, name):
         assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
+def test_sentencepiece_columns(spark):
+    import hashlib
+
+    import public_tokenizers
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = queries.QUERIES["op3_sentencepiece"](spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        ids = sp.encode(texts[r.doc_id])
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("name, m, part", [("op5_language", 4, 2), ("op7_quality", 5, 0), ("op9_toxicity", 5, 0)])
+def test_held_out(spark, name, m, part):
+    rows = queries.QUERIES[name](spark, SF).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % m == part) for r in rows)
+    assert {r.held_out for r in rows} == {True, False}
+
+
 def test_pipeline_stage_by_stage(spark):
     import public_tokenizers
     import sentencepiece
