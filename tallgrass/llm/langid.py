@@ -184,15 +184,16 @@ def entropies(texts: list[str], model: Model, codes: np.ndarray, groups: Iterato
 def train(docs: DataFrame, text: str = "text", id_col: str = "doc_id", lang: str = "lang") -> Model:
     """Samples from the rows whose id is not held out and whose language is
     known: of each language the first SAMPLE_DOCS documents by a hash of the
-    id, of each DOC_CHARS characters, and of these SAMPLE_CHARS in all. Without
+    id, of each DOC_CHARS characters, and of these SAMPLE_CHARS in all; of rows
+    that share an id and a language the one with the smallest text. Without
     such rows the model knows no language and every text is ``und``."""
     known = docs.filter(F.col(lang).isNotNull() & (id_crc(id_col) % 4 != 2)).select(
-        F.col(id_col).alias("id"), F.col(lang).alias("lang"))
+        F.col(id_col).alias("id"), F.col(lang).alias("lang")).distinct()
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
     chosen = known.select("id", "lang", place.alias("k")).filter(F.col("k") <= SAMPLE_DOCS)
     body = F.substring(F.coalesce(F.col(text), F.lit("")), 1, DOC_CHARS)
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang).alias("lang"), body.alias("body")).join(
-        F.broadcast(chosen), ["id", "lang"])
+        F.broadcast(chosen), ["id", "lang"]).groupBy("id", "lang", "k").agg(F.min("body").alias("body"))
     # only what the samples take reaches the driver
     before = F.sum(F.length("body") + 1).over(Window.partitionBy("lang").orderBy("k", "body").rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < SAMPLE_CHARS).collect()

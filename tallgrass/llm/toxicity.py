@@ -125,13 +125,14 @@ def fit(x: np.ndarray, grade: np.ndarray, share: float, rounds: int = 800, ridge
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label: str = "toxic",
           sample: int = SAMPLE) -> Model:
     """A model from the rows of ``labels`` whose id is not held out and whose
-    label is 0 or 1: at most ``sample`` of each, the first by a hash of the id;
+    label is 0 or 1: at most ``sample`` ids of each, the first by a hash of the
+    id, and of rows that share an id and a label one;
     of near copies with the same label among them one. Without toxic rows no
     text is toxic."""
     spark = docs.sparkSession
     small_batches(spark)
     known = labels.filter(F.col(label).isin(0, 1) & (id_crc(id_col) % 5 != 0)).select(
-        F.col(id_col).alias("id"), F.col(label).cast("int").alias("mark"))
+        F.col(id_col).alias("id"), F.col(label).cast("int").alias("mark")).distinct()
     total = {r["mark"]: r["n"] for r in known.groupBy("mark").agg(F.count("*").alias("n")).collect()}
     chosen = None
     for mark in (0, 1):
@@ -148,8 +149,10 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
                  pa.array([list(f) for f in found], pa.list_(pa.string())),
                  pa.array([list(f.values()) for f in found], pa.list_(pa.int64()))], names=["id", "mark", "sketch", "f", "n"])
 
-    held = sample_table = written(rows.select("id", "mark", "body").mapInArrow(
-        sparse, "id long, mark int, sketch binary, f array<string>, n array<long>"), "toxic-sample")
+    sparse_rows = rows.select("id", "mark", "body").mapInArrow(
+        sparse, "id long, mark int, sketch binary, f array<string>, n array<long>")
+    held = sample_table = written(sparse_rows.groupBy("id", "mark").agg(F.min(F.struct("sketch", "f", "n")).alias("x")).select(
+        "id", "mark", "x.*"), "toxic-sample")
     one = without_copies([(r["mark"], r["id"], bytes(r["sketch"])) for r in held.select("mark", "id", "sketch").collect()])
     held = held.join(F.broadcast(spark.createDataFrame(one, "mark int, id long")), ["mark", "id"], "left_semi")
     sizes = {r["mark"]: r["n"] for r in held.groupBy("mark").agg(F.count("*").alias("n")).collect()}
@@ -170,14 +173,14 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     typical = {r["f"] for r in kept if r["bad"] > rate * (r["bad"] + r["fine"]) and not r["f"].startswith("^")}
     words = spark.createDataFrame([(f,) for f in vocabulary], "f string")
     found = {}
-    for r in held.select("id", F.inline(F.arrays_zip("f", "n"))).join(F.broadcast(words), "f").collect():
-        found.setdefault(r["id"], []).append((r["f"], r["n"]))
+    for r in held.select("id", "mark", F.inline(F.arrays_zip("f", "n"))).join(F.broadcast(words), "f").collect():
+        found.setdefault((r["mark"], r["id"]), []).append((r["f"], r["n"]))
     data = sorted((r["mark"], r["id"]) for r in held.select("id", "mark").collect())
     release(sample_table)
     x = np.zeros((len(data), len(vocabulary)))
     hits = np.zeros(len(data))
-    for k, (_, doc) in enumerate(data):
-        for f, n in found.get(doc, ()):
+    for k, row in enumerate(data):
+        for f, n in found.get(row, ()):
             x[k, vocabulary[f]] = np.log1p(n)
             hits[k] += n * (f in typical)
     mark = np.array([d[0] for d in data], int)

@@ -165,6 +165,30 @@ def test_quality_of_held_out_documents(spark):
     assert quality.with_score(odd.limit(0), model).collect() == []
 
 
+def test_repeated_rows_do_not_change_the_samples(spark, monkeypatch):
+    sf = SF.replace("sf0.1", "sf0.01")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    some = {m: [r.doc_id for r in labels.filter(f"{m[0]} = {m[1]}").collect() if not held(r.doc_id, 5, 0)][:20]
+            for m in (("quality", 0), ("quality", 1), ("toxic", 1))}
+    ids = ",".join(map(str, sorted({i for x in some.values() for i in x})))
+
+    def repeated(df):
+        return df.union(df.filter(f"doc_id IN ({ids})").crossJoin(spark.range(30).select()))
+
+    fitted = []
+    for module in (quality, toxicity):
+        monkeypatch.setattr(module, "fit", lambda x, mark, *a, fit=module.fit, **k: fitted.append((x, mark, a)) or fit(x, mark, *a, **k))
+    for module in (quality, toxicity):
+        fitted.clear()
+        for d, m in ((docs, labels), (repeated(docs), repeated(labels))):
+            module.train(d, m, sample=100)
+        (x, mark, share), (x2, mark2, share2) = fitted
+        assert 0 < len(x) <= 200 and np.array_equal(x, x2) and np.array_equal(mark, mark2) and share == share2
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 20)
+    one, two = langid.train(docs), langid.train(repeated(docs))
+    assert one.languages == two.languages and all(map(np.array_equal, one.samples, two.samples))
+
+
 def test_pairwise_fit_orders_by_preference():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(600, len(quality.FEATURES)))
