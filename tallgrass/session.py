@@ -144,6 +144,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder of that name in the shared store?"""
+    sc = spark.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(jpath)
+
+
 def release(*tables: DataFrame) -> None:
     """Delete the tables behind ``cut_lineage`` results once nothing reads them
     any more. DataFrames that hold no table are left alone."""
