@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, mixing, quality, sentencepiece_bpe, simhash, topk, toxicity, warc, wavelet
+from . import exact_dedup, langid, mixing, quality, secrets, sentencepiece_bpe, simhash, topk, toxicity, warc, wavelet
 from .common import id_crc, table, written
 
 QUERIES = {}
@@ -162,3 +162,47 @@ SELECT doc_id, size, source_size, target,
        (floor(each * pos + moved) - floor(each * (pos - 1) + moved))::INT AS copies
 FROM crossed
 """
+
+
+@registered
+def op11_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = secrets.Ledger(spark)
+    paths = ledger.ingest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = ledger.by_path(paths)
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["rule"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["place"] <= len(secrets.BASE))
+    return found.select("doc_id", *[count(r.name) for r in secrets.BASE],
+                        F.sha2(secrets.written_out(base), 256).alias("base_sha256"),
+                        secrets.written_out(F.col("spans")).alias("spans"))
+
+
+def _scan_sql() -> str:
+    kinds = " UNION ALL ".join(
+        f"""SELECT row, '{r.name}' AS kind, {k} AS place, {r.least} AS least,
+            regexp_extract_all(body, $re${r.pattern}$re$) AS found, regexp_extract_all(body, $re${r.pattern}$re$, {r.group}) AS val,
+            string_split_regex(body, $re${r.pattern}$re$) AS gaps FROM d""" for k, r in enumerate(secrets.RULES))
+    base = len(secrets.BASE)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS body FROM documents),
+ kinds AS ({kinds}),
+ each AS (SELECT row, kind, place, least, unnest(found) AS found, unnest(val) AS val, unnest(gaps[:len(found)]) AS gap,
+                 unnest(range(len(found))) AS k FROM kinds),
+ placed AS (
+  SELECT row, kind, place, length(val) >= least AS valid, length(found) AS n,
+         sum(length(gap) + length(found)) OVER (PARTITION BY row, place ORDER BY k) - length(found) AS start FROM each),
+ spans AS (SELECT row, kind, place, start, kind || ':' || start::BIGINT || ':' || (start + n)::BIGINT AS span FROM placed WHERE valid),
+ per_row AS (
+  SELECT row, {', '.join(f"count(*) FILTER (kind = '{r.name}') AS n_{r.name}" for r in secrets.BASE)},
+         string_agg(span, ',' ORDER BY start, place) FILTER (place < {base}) AS base,
+         string_agg(span, ',' ORDER BY start, place) AS spans
+  FROM spans GROUP BY row)
+SELECT doc_id, {', '.join(f"coalesce(n_{r.name}, 0) AS n_{r.name}" for r in secrets.BASE)},
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per_row USING (row)
+"""
+
+
+ORACLES["op11_secret_ledger"] = _scan_sql()
