@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, mixing, quality, secrets, sentencepiece_bpe, simhash, topk, toxicity, warc, wavelet
-from .common import id_crc, table, written
+from . import exact_dedup, langid, merkle, mixing, quality, secrets, sentencepiece_bpe, simhash, topk, toxicity, warc, wavelet
+from .common import ascii_lower, id_crc, table, written
 
 QUERIES = {}
 ORACLES = {}
@@ -206,3 +206,75 @@ FROM d LEFT JOIN per_row USING (row)
 
 
 ORACLES["op11_secret_ledger"] = _scan_sql()
+
+
+FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@registered
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*FIELDS)
+    lowered = merkle.leaf([F.col(c) for c in FIELDS[:-1]] + [ascii_lower(F.col("text"))])
+    seen = F.when(id_crc() % 5 == 0, lowered).otherwise(merkle.leaf([F.col(c) for c in FIELDS]))
+    rows = merkle.manifest(docs, FIELDS, held={"seen": seen})
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof().alias("proof_sha256"),
+                       merkle.folded(F.col("seen")).alias("folded_root")).withColumn("verified", F.expr("folded_root = root"))
+
+
+def _tree_sql(name: str, levels: int) -> str:
+    """CTEs ``{name}1`` .. over ``{name}0 (key, r, n, h)``, and the runs ``{name}_run0`` .. of each level."""
+    out = []
+    for k in range(levels):
+        out.append(f"""{name}_run{k} AS (SELECT key, r // 16 AS q, n, string_agg(h, '' ORDER BY r) AS run FROM {name}{k}
+                      GROUP BY key, r // 16, n)""")
+        out.append(f"""{name}{k + 1} AS (SELECT key, q AS r, (n + 15) // 16 AS n,
+                      CASE WHEN n > 1 THEN sha256(run) ELSE run END AS h FROM {name}_run{k})""")
+    return ", ".join(out)
+
+
+def _fold_sql(name: str, start: str, key: str, r: str, first: int, levels: int) -> str:
+    """CTEs ``f{first + 1}`` .. that fold ``f`` and gather ``proof`` through the runs of a tree."""
+    out = []
+    for k in range(levels):
+        place = f"({r} // {16 ** k})"
+        left = f"run[:({place} % 16) * 64]"
+        right = f"run[({place} % 16) * 64 + 65:]"
+        out.append(f"""f{first + k + 1} AS (SELECT p.* REPLACE (
+            CASE WHEN t.n > 1 THEN sha256({left} || f || {right}) ELSE f END AS f,
+            CASE WHEN t.n > 1 THEN proof || {left} || {right} ELSE proof END AS proof)
+          FROM {start if k == 0 else f'f{first + k}'} p JOIN {name}_run{k} t ON t.key = p.{key} AND t.q = {place} // 16)""")
+    return ", ".join(out)
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(
+        f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR END"
+        for c in [*FIELDS[:-1], text]) + ")"
+
+
+def _crc_sql(text: str) -> str:
+    """CRC-32 of a text of ASCII letters, bit by bit: DuckDB has no such function."""
+    return f"""xor(list_reduce(list_transform(string_split({text}, ''), lambda b: ascii(b)::BIGINT), lambda c, b:
+        list_reduce(range(8), lambda d, i: xor(d >> 1, (d & 1) * 3988292384), xor(c, b)), 4294967295::BIGINT), 4294967295)"""
+
+
+#: Levels for up to 16 ** 8 documents a source and 16 ** 4 sources.
+ORACLES["op12_merkle_manifest"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, *, coalesce('s' || source, 'n') AS key, {_leaf_sql("text")} AS leaf,
+         CASE WHEN {_crc_sql("doc_id::VARCHAR")} % 5 = 0
+              THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+              ELSE {_leaf_sql("text")} END AS seen FROM documents),
+ placed AS (SELECT doc_id, key, leaf, seen, count(*) OVER (PARTITION BY key) AS n,
+                   row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf, row) - 1 AS r FROM d),
+ a0 AS (SELECT key, r, n, leaf AS h FROM placed),
+ {_tree_sql("a", 8)},
+ tops AS (SELECT key, h AS subroot, row_number() OVER (ORDER BY encode(key)) - 1 AS s, count(*) OVER () AS n FROM a8),
+ b0 AS (SELECT '' AS key, s AS r, n, subroot AS h FROM tops),
+ {_tree_sql("b", 4)},
+ f0 AS (SELECT p.*, t.subroot, t.s, '' AS whole, p.seen AS f, '' AS proof FROM placed p JOIN tops t USING (key)),
+ {_fold_sql("a", "f0", "key", "r", 0, 8)},
+ {_fold_sql("b", "f8", "whole", "s", 8, 4)}
+SELECT doc_id, leaf, subroot, b4.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = b4.h AS verified
+FROM f12, b4
+"""
