@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root, cut_lineage
+from ..operators.skew import fresh
+from ..session import Scratch, checkpoint_root, cut_lineage
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A word: a run of anything but ASCII white space.
@@ -35,11 +36,22 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: cuts lineage,
-    survives lost executors, and is computed once however often it is read.
-    ``release`` deletes it; so it does the ``borrowed`` result of an operator."""
-    return cut_lineage(df, name)
+    survives lost executors, and is computed once however often it is read; with
+    a folder for each value of the column ``by``, if one is named. ``release``
+    deletes it; so it does the ``borrowed`` result of an operator."""
+    if by is None:
+        return cut_lineage(df, name)
+    path = shared_path(df.sparkSession, name)
+    df.write.partitionBy(by).parquet(path)
+    return owning(df.sparkSession.read.schema(df.schema).parquet(path), path)
+
+
+def owning(df: DataFrame, path: str) -> DataFrame:
+    """``df``, which reads the folder ``path``: releasing it deletes the folder."""
+    df._scratch = Scratch(path)
+    return df
 
 
 def borrowed(result: DataFrame, table: DataFrame) -> DataFrame:
@@ -58,15 +70,3 @@ def ascii_lower(text: Column) -> Column:
 def id_crc(col: str = "doc_id") -> Column:
     """CRC-32 of an id written as decimal text."""
     return F.crc32(F.col(col).cast("string").cast("binary"))
-
-
-def fresh(df: DataFrame, *names: str) -> list[str]:
-    """Column names that ``df`` does not have, one for each of ``names``."""
-    have, out = {c.lower() for c in df.columns}, []
-    for name in names:
-        cand = f"_{name}"
-        while cand.lower() in have:
-            cand = f"_{cand}"
-        have.add(cand.lower())
-        out.append(cand)
-    return out

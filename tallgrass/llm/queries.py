@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, merkle, mixing, quality, secrets, sentencepiece_bpe, simhash, topk, toxicity, warc, wavelet
+from . import exact_dedup, langid, merkle, mixing, prefix_trie, quality, secrets, sentencepiece_bpe, simhash, topk, toxicity, warc, wavelet
+from ..session import release
 from .common import ascii_lower, id_crc, table, written
 
 QUERIES = {}
@@ -278,3 +279,42 @@ WITH d AS (
 SELECT doc_id, leaf, subroot, b4.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = b4.h AS verified
 FROM f12, b4
 """
+
+
+@registered
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = written(prefix_trie.sequences(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")), "trie-paths")
+    out = prefix_trie.trie(prefix_trie.rebuilt(own))
+    release(own)
+    return out
+
+
+ORACLES["op13_prefix_trie"] = rf"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS body FROM conversations WHERE conv_id IS NOT NULL),
+ c AS (
+  SELECT conv_id, {_crc_sql("conv_id::VARCHAR")} % 4 AS h,
+         list(struct_pack(role, body) ORDER BY turn NULLS FIRST, role,
+              sha256(octet_length(encode(role)) || ':' || role || body)) AS path FROM t GROUP BY conv_id),
+ r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.path[:c.h], []), c.path[c.h + 1:]) AS path
+  FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 20),
+ pre AS (SELECT conv_id, d, path[:d] AS key, len(path) AS n FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM r)),
+ nodes AS (
+  SELECT d, key, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d) AS ends FROM pre GROUP BY d, key),
+ line AS (  -- each node with itself and all nodes above it
+  SELECT n.d, n.conv_id, n.n_convs, n.key, u.d AS up_d, u.conv_id AS up
+  FROM nodes n JOIN pre p ON p.conv_id = n.conv_id AND p.d <= n.d JOIN nodes u ON u.d = p.d AND u.key = p.key),
+ kids AS (SELECT up_d AS d, up AS conv_id, count(*) AS n_children FROM line WHERE up_d = d - 1 GROUP BY ALL),
+ sums AS (
+  SELECT l.up_d AS d, l.up AS conv_id, count(*) FILTER (k.conv_id IS NULL) AS n_leaves,
+         sum(CASE WHEN l.d = 0 THEN 0 ELSE (l.n_convs - 1) * len(regexp_extract_all(l.key[-1].body, '[^ 	-]+')) END)
+           AS saved_tokens
+  FROM line l LEFT JOIN kids k ON k.d = l.d AND k.conv_id = l.conv_id GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, l.up AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves,
+       s.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN sums s ON s.d = n.d AND s.conv_id = n.conv_id
+LEFT JOIN line l ON l.d = n.d AND l.conv_id = n.conv_id AND l.up_d = n.d - 1
+LEFT JOIN kids k ON k.d = n.d AND k.conv_id = n.conv_id
+"""
