@@ -78,26 +78,55 @@ def occurs(seq, part):
     return any(seq[k:k + len(part)] == part for k in range(len(seq) - len(part) + 1))
 
 
-def test_cross_parsing_against_substring_search():
+@pytest.mark.parametrize("width", [192, 50, 7, 1])
+def test_cross_parsing_against_substring_search(monkeypatch, width):
+    """Phrases of whole texts, however they are cut into windows: the fewest in
+    a language means the longest match at each place, a literal costs more."""
+    monkeypatch.setattr(langid, "WINDOW_CHARS", width)
     rnd = random.Random(3)
-    samples = {"aa": "".join(rnd.choice("abc ") for _ in range(300)), "bb": "".join(rnd.choice("bcdé") for _ in range(300))}
+    samples = {"aa": "".join(rnd.choice("abc ") for _ in range(200)), "bb": "".join(rnd.choice("bcdé") for _ in range(200)), "cc": "aaaaaaa"}
     model = langid.build(samples)
     codes = model.codes()
-    texts = ["".join(rnd.choice("abcdéxZ .") for _ in range(rnd.randint(0, 500))) for _ in range(30)] + ["", "...", "a"]
+    texts = ["".join(rnd.choice("abcdéxZ .") for _ in range(rnd.randint(0, 300))) for _ in range(10)]
+    texts += ["", "...", "a", "a" * 40, samples["aa"] + samples["bb"] + samples["aa"]]  # the last parses into few long phrases
     got = langid.entropies(texts, model, codes)
     for t, row in zip(texts, got, strict=True):
         seq = langid.numbered([t], codes)[0].tolist()
         for k, name in enumerate(model.languages):
-            sample, n = langid.numbered([samples[name]], codes)[0].tolist(), 0
-            for a in range(0, len(seq), langid.WINDOW_CHARS):
-                window = seq[a:a + langid.WINDOW_CHARS]
-                while window:
-                    size = max([k for k in range(1, len(window) + 1) if occurs(sample, window[:k])], default=1)
-                    n, window = n + 1, window[size:]
-            want = n * model.bits[k] / len(seq) if seq else float("nan")
+            sample, n, at = langid.numbered([samples[name]], codes)[0].tolist(), 0, 0
+            while at < len(seq):
+                size = 0
+                while at + size < len(seq) and occurs(sample, seq[at:at + size + 1]):
+                    size += 1
+                n, at = n + (1 if size else langid.LITERAL), at + max(size, 1)
+            want = n * model.bits / len(seq) if seq else float("nan")
             assert row[k] == pytest.approx(want, nan_ok=True)
 
 
+def test_tiny_languages_do_no_harm(spark):
+    extra = [("ok", "zz"), ("12 34", "dd"), ("", "ee"), (None, "ff"), ("the the the", "tt"), ("e t a o n i s r h l d u", "ll"),
+             ("abcdefghijklmnopqrstuvwxyz äöüéèñ", "mm")]
+    docs = spark.read.parquet(f"{SF.replace('sf0.1', 'sf0.01')}/documents.parquet").select("doc_id", "text", "lang")
+    ids = [i for i in range(10**6, 10**6 + 100) if not held(i, 4, 2)]
+    more = spark.createDataFrame([(i, t, x) for i, (t, x) in zip(ids, extra, strict=False)], docs.schema)
+    right = []
+    for model in (langid.train(docs), langid.train(docs.union(more))):
+        rows = [r for r in langid.with_language(docs, model).collect() if held(r.doc_id, 4, 2)]
+        right.append(np.mean([r.lang == r.lang_pred for r in rows]))
+    assert right[0] > 0.98 and abs(right[0] - right[1]) < 0.005
+    assert not {"dd", "ee", "ff"} & set(model.languages)
+
+
+def test_samples_are_bounded_and_whole(spark):
+    texts = [(k, f"word{k} " * (3000 if k % 5 == 0 else 20), "aa" if k % 3 else "bb") for k in range(600)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    model = langid.train(docs, sample_chars=4000, sample_docs=30)
+    assert all(len(s) <= 4000 for s in model.samples)
+    assert all(len(s) <= 1000 for s in langid.train(docs, total_chars=2000).samples)
+    long = docs.filter("doc_id % 5 = 0")  # longer than a sample each: cut, not left out
+    assert langid.train(long, sample_chars=4000).languages == ["aa", "bb"]
+
+
 def docs_and_labels(spark):
     return spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
 
@@ -125,8 +154,7 @@ def invented(rnd, letters, n=40):
     return ["".join(rnd.choice(letters) for _ in range(rnd.randint(2, 7))) for _ in range(n)]
 
 
-def test_every_language_is_learned(spark, monkeypatch):
-    monkeypatch.setattr(langid, "GROUP", 30, raising=False)
+def test_every_language_is_learned(spark):
     rnd = random.Random(5)
     vocabulary = {f"l{k:02d}": invented(rnd, "abcdefghijklmnopqrstuvwxyz") for k in range(70)}
     texts = [(name, " ".join(rnd.choice(w) for _ in range(60))) for name, w in vocabulary.items() for _ in range(8)]
@@ -184,8 +212,7 @@ def test_repeated_rows_do_not_change_the_samples(spark, monkeypatch):
             module.train(d, m, sample=100)
         (x, mark, share), (x2, mark2, share2) = fitted
         assert 0 < len(x) <= 200 and np.array_equal(x, x2) and np.array_equal(mark, mark2) and share == share2
-    monkeypatch.setattr(langid, "SAMPLE_DOCS", 20)
-    one, two = langid.train(docs), langid.train(repeated(docs))
+    one, two = langid.train(docs, sample_docs=20), langid.train(repeated(docs), sample_docs=20)
     assert one.languages == two.languages and all(map(np.array_equal, one.samples, two.samples))
 
 
