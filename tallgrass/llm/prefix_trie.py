@@ -1,18 +1,20 @@
 """Prefix trie of conversations by truncation peeling.
 
 A conversation is a sequence of turns, a turn its content address and word
-count. Work starts at the greatest depth: the sequences of that many turns are
-nodes. Their last turn is cut off, the sequences that end one turn earlier join
-them, and equal ones are grouped: those are the nodes one level up, and what
-their children brought along -- members, leaves, tokens -- is summed in the same
-grouping that finds them. So each node is met once, and a level is one shuffle
-of that level's nodes only. Every level is a written table; there are as many
-rounds as the longest conversation has turns.
+count; a prefix is known by a digest chained over its turns. Work starts at the
+greatest depth. The sequences that end there are nodes; their last turns are cut
+off, the sequences that end further up join them, and equal ones are grouped:
+those are the nodes above, and what their children brought along -- members,
+leaves, tokens -- is summed while they are found. A round cuts off ``height``
+turns: it groups the prefixes of these depths, sums up inside them, and hands
+what is left to the next round, which meets it as one sequence a node. So each
+node is met in one round, and a conversation of hundreds of turns costs some
+dozen rounds. Every round reads and writes tables of its own depths only.
 
 Equal whole conversations are merged before the first round, and sums are
 partial before each shuffle, so neither a copy in a third of all conversations
 nor a common first turn fills a task. The way back from a parent to its children
-is a join in pieces for parents of many children.
+is one join in the end, in pieces for parents of many children.
 """
 
 from __future__ import annotations
@@ -31,6 +33,10 @@ from .mixing import word_count
 
 #: Ids in a page of a node's member list.
 PAGE = 4096
+#: Turns that a round cuts off.
+HEIGHT = 32
+NODES = ("key binary, up binary, conv_id long, depth long, n_convs long, n_children long, n_leaves long, saved_tokens long, "
+         "ends_sha256 string")
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
@@ -98,7 +104,18 @@ def id_list_hashes(members: DataFrame) -> DataFrame:
     return borrowed(short.unionByName(long.mapInArrow(run, "whole binary, ends_sha256 string")), pages)
 
 
-def trie(paths: DataFrame) -> DataFrame:
+def chained(path: str = "path") -> Column:
+    """The prefixes of a path, the empty one first: structs of ``id`` and the ``words`` of the last turn."""
+    root = F.array(F.struct(F.unhex(F.lit("")).alias("id"), F.lit(0).cast("long").alias("words")))
+
+    def longer(prefixes: Column, t: Column) -> Column:
+        digest = F.sha2(F.concat(F.element_at(prefixes, -1)["id"], t["id"]), 256)
+        return F.concat(prefixes, F.array(F.struct(F.unhex(digest).alias("id"), t["words"].alias("words"))))
+
+    return F.aggregate(path, root, longer)
+
+
+def trie(paths: DataFrame, height: int = HEIGHT) -> DataFrame:
     """The nodes of the trie over ``paths`` (``conv_id``, one row each, and
     ``path``), one row per distinct sequence of first turns:
 
@@ -111,56 +128,73 @@ def trie(paths: DataFrame) -> DataFrame:
     * ``ends_sha256``: SHA-256 of the ids of the conversations that end there.
 
     A conversation without turns ends at the root. Without conversations there
-    are no nodes. ``release`` of the result deletes its table.
+    are no nodes. ``height`` turns are cut off in a round; the result does not
+    depend on it. ``release`` of the result deletes its table.
     """
     spark = paths.sparkSession
-    whole = F.unhex(F.sha2(F.array_join(F.transform("path", lambda t: F.hex(t["id"])), ""), 256))
-    convs = written(paths.withColumn("whole", whole), "trie-convs")
+    whole = F.element_at("path", -1)["id"]
+    convs = written(paths.select("conv_id", chained().alias("path")).withColumn("whole", whole), "trie-convs")
     hashes = id_list_hashes(convs.select("whole", "conv_id"))
     groups = convs.groupBy("whole", "path").agg(F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs"))
-    ended = written(groups.join(hashes, "whole").select("path", "conv_id", "n_convs", "ends_sha256", F.size("path").alias("depth")),
-                    "trie-ended", by="depth")  # a round reads its own depth only
+    # The root is level 1. A round reads the folders of its own levels only.
+    ended = written(groups.join(hashes, "whole").select("path", "conv_id", "n_convs", "ends_sha256", F.size("path").alias("level")),
+                    "trie-ended", by="level")
     release(convs, hashes)
-    zero = F.lit(0).cast("long")
-    deepest = ended.agg(F.max("depth")).first()[0]
     out, below = shared_path(spark, "trie-nodes"), None
-    for depth in range(-1 if deepest is None else deepest, -1, -1):
-        found = ended.where(F.col("depth") == depth).select(
-            "path", "conv_id", "n_convs", zero.alias("n_children"), zero.alias("n_leaves"), zero.alias("saved"), "ends_sha256")
-        if below is not None:
-            found = found.unionByName(below.select(
-                F.slice("path", F.lit(1), F.lit(depth)).alias("path"), "conv_id", "n_convs", F.lit(1).cast("long").alias("n_children"),
-                "n_leaves", "saved", F.lit(None).cast("string").alias("ends_sha256")))
-        words = F.coalesce(F.get("path", F.lit(depth - 1))["words"], zero) if depth else zero
-        nodes = found.groupBy("path").agg(
-            F.min("conv_id").alias("conv_id"), F.sum("n_convs").alias("n_convs"), F.sum("n_children").alias("n_children"),
-            F.greatest(F.sum("n_leaves"), F.lit(1)).alias("n_leaves"), F.sum("saved").alias("saved"),
-            F.max("ends_sha256").alias("ends_sha256"))
-        nodes = written(nodes.withColumn("saved", F.col("saved") + (F.col("n_convs") - 1) * words), "trie-level")
-        if below is not None:
-            keep(below, depth + 1, out, nodes)
-            release(below)
-        below = nodes
-    if below is None:
-        return ended.select("conv_id", F.lit(0).cast("long").alias("depth"), F.col("conv_id").alias("parent_conv_id"), "n_convs",
-                            zero.alias("n_children"), zero.alias("n_leaves"), zero.alias("saved_tokens"), "ends_sha256")
-    keep(below, 0, out, None)
-    release(below, ended)
-    result = spark.read.schema("conv_id long, depth long, parent_conv_id long, n_convs long, n_children long, n_leaves long, "
-                               "saved_tokens long, ends_sha256 string").parquet(out)
-    return owning(result, out)
-
-
-def keep(nodes: DataFrame, depth: int, out: str, parents: DataFrame | None) -> None:
-    """Append a level to the result, each node with its parent's id."""
-    if parents is None:
-        named = nodes.withColumn("parent_conv_id", F.lit(None).cast("long"))
-    else:
-        up = parents.select(F.col("path").alias("up"), F.col("conv_id").alias("parent_conv_id"))
-        # Each parent's row says how many children it has: no counting pass.
-        hot = hot_keys(parents.select("path", "n_children"), "path", "n_children")
-        rows = nodes.withColumn("up", F.slice("path", F.lit(1), F.lit(depth - 1)))
-        named = join_unique(rows, up, "up", hot=hot)
-    named.select("conv_id", F.lit(depth).cast("long").alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves",
-                 F.col("saved").alias("saved_tokens"), F.coalesce("ends_sha256", F.lit(EMPTY)).alias("ends_sha256")
-                 ).write.mode("append").parquet(out)
+    spark.createDataFrame([], NODES).write.parquet(out)
+    top = ended.agg(F.max("level")).first()[0] or 0
+    while top > 0:
+        base = max(0, top - height)
+        below = cut_off(ended.where((F.col("level") > base) & (F.col("level") <= top)), below, base, out)
+        top = base
+    release(ended)
+    nodes = owning(spark.read.schema(NODES).parquet(out), out)
+    # Each parent's row says how many children it has: no counting pass.
+    hot = hot_keys(nodes.select("key", "n_children"), "key", "n_children")
+    parents = nodes.select(F.col("key").alias("up"), F.col("conv_id").alias("parent_conv_id"))
+    named = join_unique(nodes, parents, "up", "left", hot)
+    return borrowed(named.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+                                 F.coalesce("ends_sha256", F.lit(EMPTY)).alias("ends_sha256")), nodes)
+
+
+def cut_off(ended: DataFrame, below: DataFrame | None, base: int, out: str) -> DataFrame | None:
+    """One round: append the nodes of the levels above ``base`` to ``out``;
+    returns the nodes that are left at level ``base``, as sequences.
+
+    ``ended`` are sequences that end in these levels, ``below`` those that the
+    round before left at the last of them, with the children, leaves and saved
+    tokens that lie under them.
+    """
+    zero, none = F.lit(0).cast("long"), F.lit(None)
+    found = ended.select("path", "conv_id", "n_convs", "ends_sha256", zero.alias("kids"), zero.alias("leaves"), zero.alias("saved"))
+    if below is not None:
+        found = found.unionByName(below.select("path", "conv_id", "n_convs", none.cast("string").alias("ends_sha256"), "kids", "leaves", "saved"))
+    last = F.col("k") == F.size("path")
+    ids = F.transform(F.slice("path", F.lit(base + 1), F.col("k") - base), lambda p: p["id"])
+
+    def at_end(c: str) -> Column:
+        return F.sum(F.when(last, F.col(c)).otherwise(zero)).alias(c)
+
+    levels = found.withColumn("k", F.explode(F.sequence(F.lit(base + 1), F.size("path"))))
+    nodes = written(levels.groupBy(
+        "k", ids.alias("line"), F.get("path", F.col("k") - 1)["words"].alias("words"), F.get("path", F.col("k") - 2)["id"].alias("up"),
+        F.when(F.col("k") == base + 1, F.slice("path", 1, base)).alias("rest")).agg(
+        F.min("conv_id").alias("conv_id"), F.sum("n_convs").alias("n_convs"), at_end("kids"), at_end("leaves"), at_end("saved"),
+        F.max(F.when(last, F.col("ends_sha256"))).alias("ends_sha256")).withColumn("key", F.element_at("line", -1)), "trie-round")
+    kids = nodes.where(F.col("k") > base + 1).groupBy(F.col("up").alias("key")).agg(F.count(F.lit(1)).alias("more"))
+    n_children = F.col("kids") + F.coalesce("more", zero)
+    full = written(nodes.join(kids, "key", "left").withColumn("kids", n_children).drop("more").withColumns({
+        "leaves": F.col("leaves") + (F.col("kids") == 0).cast("long"),
+        "saved": F.col("saved") + (F.col("n_convs") - 1) * F.col("words")}), "trie-round")
+    # What a node has goes to itself and to all nodes above it in these levels.
+    sums = (full.where("leaves > 0 OR saved > 0").select(F.explode("line").alias("key"), "leaves", "saved")
+            .groupBy("key").agg(F.sum("leaves").alias("n_leaves"), F.sum("saved").alias("saved_tokens")))
+    done = full.join(sums, "key")
+    done.select("key", "up", "conv_id", (F.col("k") - 1).cast("long").alias("depth"), "n_convs", F.col("kids").alias("n_children"),
+                "n_leaves", "saved_tokens", "ends_sha256").write.mode("append").parquet(out)
+    left = done.where(F.col("k") == base + 1).groupBy(F.col("rest").alias("path")).agg(
+        F.min("conv_id").alias("conv_id"), F.sum("n_convs").alias("n_convs"), F.count(F.lit(1)).alias("kids"),
+        F.sum("n_leaves").alias("leaves"), F.sum("saved_tokens").alias("saved"))
+    left = written(left, "trie-left") if base else None
+    release(nodes, full, *([below] if below is not None else []))
+    return left

@@ -48,9 +48,9 @@ def plain_trie(paths):
 COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
 
 
-def built(spark, rows):
+def built(spark, rows, height=prefix_trie.HEIGHT):
     df = spark.createDataFrame([(*r, "x", 7) for r in rows], "conv_id long, turn long, role string, text string, path string, depth int")
-    out = prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(df)))
+    out = prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(df)), height)
     assert out.columns == COLUMNS
     return sorted((tuple(r) for r in out.collect()), key=repr)
 
@@ -75,14 +75,21 @@ def test_no_conversations(spark):
     assert built(spark, []) == [] and built(spark, [(None, 0, "u", "t")]) == []
 
 
-def test_random_conversations(spark):
+@pytest.mark.parametrize("height", [2, 32])
+def test_random_conversations(spark, height):
     rnd = random.Random(5)
     rows = []
     for c in range(260):
         for t in range(rnd.randint(1, 6)):
             rows.append((c, t, rnd.choice(["u", "a"]), rnd.choice(["x", "y z", "w w w"]) if t else "hello there"))
     rows += [(1000 + k, t, "u", f"same {t}") for k in range(150) for t in range(3)]
+    rows += [(2000, t, "u", f"long {t % 3}") for t in range(9)] + [(2001, t, "u", f"long {t % 3}") for t in range(7)]
     rnd.shuffle(rows)
+    assert built(spark, rows, height) == plain_trie(plain_paths(rows))
+
+
+def test_a_conversation_of_many_turns(spark):
+    rows = [(c, t, "u", "a b") for c in (0, 40) for t in range(90)] + [(60, t, "u", "a b") for t in range(70)]
     assert built(spark, rows) == plain_trie(plain_paths(rows))
 
 
