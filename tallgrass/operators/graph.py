@@ -4,8 +4,9 @@ A graph is ``vertices(id bigint, ...attributes)`` and ``edges(src bigint,
 dst bigint, ...attributes)``: a directed multigraph, as in the reference.
 Every operator is a join or an aggregate Catalyst plans; degree counts are
 partial aggregates, so a hub vertex with a third of all edges costs one row
-per task before the shuffle, and joins on a hub key are split by AQE's skew
-handling.
+per task before the shuffle; joins of edges back to such an aggregate cut the
+hubs up themselves (``skew.join_unique``, ``with_minimum``), the others are
+plain joins that AQE splits.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallgrass.session import cut_lineage, cut_lineage_bucketed, num_buckets, release, settled
+from tallgrass.operators.skew import LEAST_PIECE, SHARES, fresh, join_unique
+from tallgrass.session import cut_lineage, cut_lineage_bucketed, holding, num_buckets, release, settled
 
 
 @dataclass(frozen=True)
@@ -99,8 +101,9 @@ def outer_join_vertices(g: PropertyGraph, other: DataFrame, default=None) -> Dat
 def join_vertices(g: PropertyGraph, other: DataFrame, attr: str, fn: Callable[[Column, Column], Column]) -> DataFrame:
     """G19 ``joinVertices``: where ``other`` has a value the attribute becomes
     ``fn(old, new)``, elsewhere the old attribute stays."""
-    joined = g.vertices.join(other.withColumnRenamed(attr, "_new"), "id", "left")
-    return joined.select(*[F.when(F.col("_new").isNotNull(), fn(F.col(attr), F.col("_new"))).otherwise(F.col(attr))
+    (new,) = fresh(g.vertices, "new")
+    joined = g.vertices.join(other.select("id", F.col(attr).alias(new)), "id", "left")
+    return joined.select(*[F.when(F.col(new).isNotNull(), fn(F.col(attr), F.col(new))).otherwise(F.col(attr))
                            .alias(attr) if c == attr else F.col(c) for c in g.vertices.columns])
 
 
@@ -121,9 +124,12 @@ def with_degrees(g: PropertyGraph) -> DataFrame:
 
 
 def edge_weights(g: PropertyGraph) -> DataFrame:
-    """G11 ``mapTriplets(e => 1.0 / outDeg(src))``."""
-    return (g.edges.join(out_degrees(g).withColumnRenamed("id", "src"), "src")
-            .withColumn("weight", F.lit(1.0) / F.col("outDeg")).drop("outDeg"))
+    """G11 ``mapTriplets(e => 1.0 / outDeg(src))``; an old ``weight`` is replaced.
+    The degrees tell the hubs, whose edges are joined in pieces; ``edges``
+    should be a scan or a written table."""
+    (n,) = fresh(g.edges, "n")
+    degree = out_degrees(g).withColumnRenamed("id", "src").withColumnRenamed("outDeg", n)
+    return join_unique(g.edges, degree, "src").withColumn("weight", F.lit(1.0) / F.col(n)).drop(n)
 
 
 def aggregate_messages(g: PropertyGraph, to_dst: Column | None, to_src: Column | None,
@@ -212,6 +218,25 @@ def iteration_edges(edges: DataFrame, name: str, max_hubs: int | None = None, hu
 
 
 # ----------------------------------------------------- connected components
+def with_minimum(pairs: DataFrame, u: str = "u", v: str = "v", out: str = "m") -> DataFrame:
+    """``pairs`` (a scan or written table) with the smallest ``v`` of each row's ``u``.
+
+    The minima of hubs -- a ``u`` with more than ``1 / (SHARES * partitions)`` of
+    all rows, so there are at most that many -- come to the driver and are
+    broadcast: a hub's rows stay where they lie. The others are joined to the
+    aggregate, where no ``u`` has a large share."""
+    spark = pairs.sparkSession
+    total = pairs.count()
+    limit = max(LEAST_PIECE, -(-total // (SHARES * num_buckets(spark))))
+    low = pairs.groupBy(u).agg(F.min(v).alias(out), F.count(F.lit(1)).alias("n"))
+    hubs = low.where(F.col("n") > limit).select(u, out).collect() if total > limit else []
+    if not hubs:
+        return pairs.join(low.select(u, out), u)
+    few = F.broadcast(spark.createDataFrame(hubs, low.select(u, out).schema))
+    rest = pairs.join(few, u, "left_anti").join(low.select(u, out), u)
+    return rest.unionByName(pairs.join(few, u))
+
+
 def star_components(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
     """``node`` and ``component`` (the smallest node that it reaches) for every
     node of an undirected edge set; loops, repeats and null ends do no harm.
@@ -219,20 +244,20 @@ def star_components(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFra
     Alternating large-star and small-star rounds: every node's larger
     neighbours move to its smallest one, then its smaller neighbours join the
     smallest. The edges shrink to one star per component in O(log^2 n) rounds,
-    which is the method's proven bound, so there is no cap. Minima are partial
-    aggregates and the joins back are plain equi-joins that AQE can split, so a
-    hub or a giant component costs no single task. A round is one written
-    table; it ends when a round changes no edge.
+    which is the method's proven bound, so there is no cap. Each half round is
+    one written table, and reaches its hubs by a bounded broadcast
+    (``with_minimum``), so neither a hub nor a giant component fills a task. It
+    ends when a round changes no edge.
     """
     def large(e: DataFrame) -> DataFrame:
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        return both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        near = with_minimum(both).select("u", "v", F.least("m", "u").alias("m"))
+        return near.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
     def small(e: DataFrame) -> DataFrame:
-        low = e.groupBy("u").agg(F.min("v").alias("m"))
-        return e.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            low.select("u", F.col("m").alias("v")))
+        near = with_minimum(e)
+        return near.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
+            near.where("v = m").select("u", "v"))
 
     ends = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     current, before = cut_lineage(ends, "cc"), None
@@ -241,11 +266,12 @@ def star_components(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFra
         if now[0] == 0 or now == before:
             break
         before = now
-        new = cut_lineage(small(large(current)).distinct(), "cc")
+        half = cut_lineage(large(current), "cc-half")
         release(current)
-        current = new
+        current = cut_lineage(small(half).distinct(), "cc")
+        release(half)
     stars = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return settled(stars.union(current.select("v", "v").distinct()), current, name="cc")
+    return holding(stars.union(current.select("v", "v").distinct()), current)
 
 
 def connected_components(g: PropertyGraph) -> DataFrame:
@@ -254,7 +280,7 @@ def connected_components(g: PropertyGraph) -> DataFrame:
     found = star_components(g.edges)
     out = (g.vertices.select("id").join(found.withColumnRenamed("node", "id"), "id", "left")
            .select("id", F.coalesce("component", "id").alias("component")))
-    return settled(out, found, name="components")
+    return holding(out, found)
 
 
 # --------------------------------------------------------------- triangles

@@ -155,17 +155,27 @@ def release(*tables: DataFrame) -> None:
     """Delete the tables behind ``cut_lineage`` results once nothing reads them
     any more. DataFrames that hold no table are left alone."""
     for df in tables:
-        scratch = df.__dict__.pop("_scratch", None)
-        if scratch is None:
-            continue
-        if scratch.table is not None:
-            df.sparkSession.sql(f"DROP TABLE IF EXISTS {scratch.table}")
-        delete_path(df.sparkSession, scratch.path)
+        held = df.__dict__.pop("_scratch", None)
+        for scratch in held if isinstance(held, tuple) else (held,):
+            if scratch is None:
+                continue
+            if scratch.table is not None:
+                df.sparkSession.sql(f"DROP TABLE IF EXISTS {scratch.table}")
+            delete_path(df.sparkSession, scratch.path)
+
+
+def holding(result: DataFrame, *tables: DataFrame) -> DataFrame:
+    """``result``, which reads ``tables``: it is not computed before a caller
+    asks for rows, and releasing it deletes them."""
+    held = [t.__dict__.get("_scratch") for t in tables]
+    result._scratch = tuple(s for h in held for s in (h if isinstance(h, tuple) else (h,)) if s is not None)
+    return result
 
 
 def settled(result: DataFrame, *tables: DataFrame, name: str = "result") -> DataFrame:
     """``result`` as a table of its own, the intermediate ``tables`` that it was
-    made of deleted. ``release`` deletes the result too."""
+    made of deleted, where they are larger or more than the result. ``release``
+    deletes the result too."""
     out = cut_lineage(result, name)
     release(*tables)
     return out
