@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.skew import fresh
-from ..session import Scratch, checkpoint_root, cut_lineage
+from ..session import Scratch, checkpoint_root, cut_lineage, holding
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: A word: a run of anything but ASCII white space.
@@ -54,10 +54,12 @@ def owning(df: DataFrame, path: str) -> DataFrame:
     return df
 
 
-def borrowed(result: DataFrame, table: DataFrame) -> DataFrame:
-    """``result``, which reads ``table``: releasing it deletes the table."""
-    result._scratch = table._scratch
-    return result
+def borrowed(result: DataFrame, *tables: DataFrame, folder: str | None = None) -> DataFrame:
+    """``result``, which reads ``tables`` and the files of ``folder``: releasing it deletes them."""
+    out = holding(result, *tables)
+    if folder is not None:
+        out._scratch += (Scratch(folder),)
+    return out
 
 
 def ascii_lower(text: Column) -> Column:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import fresh, small_batches
 from .worker import WordIds, once
 
 SPACE = "▁"
@@ -264,7 +264,7 @@ def encode_decode(df: DataFrame, model_path: str, text: str = "text", ids: str =
     kept = [f for f in df.schema.fields if f.name.lower() not in made]
     schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType()))]
                           + ([T.StructField(decoded, T.StringType())] if decoded else []))
-    names, body = [f.name for f in kept], "_text_to_encode"
+    names, (body,) = [f.name for f in kept], fresh(df, "text_to_encode")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = once(("pieces", hash(model.value)), lambda: Pieces(model.value))

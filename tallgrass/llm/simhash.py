@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.graph import star_components
+from ..operators.skew import join_unique
 from ..session import release
 from .common import borrowed, fresh, small_batches, written
 
@@ -134,15 +135,17 @@ def links(distinct: DataFrame, max_bits: int) -> DataFrame:
 def groups(rows: DataFrame, max_bits: int, id_col: str = "doc_id", fp: str = "fp") -> DataFrame:
     """``fp`` and ``root`` (the smallest fingerprint that it reaches) and
     ``component_id`` (the smallest id of any row it reaches; null if all are
-    null) for each distinct fingerprint of ``rows``."""
+    null) for each distinct fingerprint of ``rows``. A component that holds a
+    third of all fingerprints is joined to its id in pieces."""
     distinct = written(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(id_col).alias("first_id")), "fingerprints")
     near = links(distinct, max_bits)
     reached = star_components(near, "a", "b")
     release(near)
-    rooted = distinct.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("root"))
+    rooted = written(distinct.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first_id", F.coalesce("component", "fp").alias("root")), "rooted")
+    release(distinct, reached)
     first = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rooted.join(first, "root").select("fp", "root", "component_id")
+    return borrowed(join_unique(rooted, first, "root").select("fp", "root", "component_id"), rooted)
 
 
 def near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = 3,
@@ -152,22 +155,26 @@ def near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id", s
     ``max_bits`` bits reach.
 
     Null and blank texts have fingerprint zero and link like any other; rows
-    with a null id take part, but do not name a component.
+    with a null id take part, but do not name a component. Repeated rows stay.
+    A fingerprint that a third of all rows share is joined in pieces. An empty
+    table gives an empty result. ``release`` of the result deletes its tables.
     """
     rows = written(with_fingerprint(df.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")),
                                     shingle=shingle, keep=["doc_id"]), "row-fingerprints")
-    found = groups(rows, max_bits).drop("root")
-    return rows.join(found, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    found = groups(rows, max_bits)
+    return borrowed(join_unique(rows, found.select("fp", "component_id"), "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"), rows, found)
 
 
 def drop_near_duplicates(df: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = 3,
                          max_bits: int = 2) -> DataFrame:
-    """``df`` with one row of each component: the one with the smallest id (null last)."""
+    """``df`` with one row of each component: the one with the smallest id (null
+    last; of repeated ids any one row). Null and empty texts are one group. All
+    columns are handed through; an empty table gives an empty result."""
     fp, row = fresh(df, "fp", "row")
     rows = written(with_fingerprint(df, text, shingle, fp).withColumn(row, F.monotonically_increasing_id()), "row-fingerprints")
     slim = rows.select(F.col(id_col).alias("id"), F.col(fp).alias("fp"), F.col(row).alias("row"))
-    found = groups(slim, max_bits, "id").select("fp", "root")
+    found = groups(slim, max_bits, "id")
     stay = (slim.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("late"), "id", "row")).alias("best"))
-            .join(found, "fp").groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias(row)))
-    return borrowed(rows.join(stay, row, "left_semi").select(*df.columns), rows)
+            .join(found.select("fp", "root"), "fp").groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias(row)))
+    return borrowed(rows.join(stay, row, "left_semi").select(*df.columns), rows, found)

@@ -30,12 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import hot_keys, join_unique
 from ..session import release
-from .common import shared_path, small_batches, written
+from .common import borrowed, partitions, shared_path, small_batches, written
 from .worker import Folder
 
 #: Shortest payload that is revisited; bytes of an archive file before the next begins; lines of an index block.
 LEAST_PAYLOAD, ARCHIVE_BYTES, BLOCK_LINES = 1000, 64 << 20, 512
+#: Bytes of archives that a task reads back at least, and most reading tasks for each partition of a shuffle.
+READ_BYTES, MOST_TASKS = 8 << 20, 16
 READ_AHEAD = 1 << 20
 DATE = "2024-01-01T00:00:00Z"
 CRLF = b"\r\n"
@@ -104,18 +107,21 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
 
     Among records of equal payloads of at least LEAST_PAYLOAD bytes those with
     the largest page id are responses (of repeated rows each one), the others
-    revisits; if all ids are null, all are responses.
+    revisits; if all ids are null, all are responses. ``pages`` should be a scan
+    or a written table, so that a task that runs again numbers its rows the same
+    way.
     """
     small_batches(pages.sparkSession)
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
     rows = pages.select(F.col(page_id).cast("long").alias("id"), F.col(url).alias("url"), payload.alias("payload"))
     rows = rows.withColumns({"digest": F.sha1("payload"), "size": F.length("payload")})
     rows = rows.withColumn("same", F.when(F.col("size") >= LEAST_PAYLOAD, F.concat_ws("-", "digest", "size"))
-                           .otherwise(F.concat(F.lit("-"), F.coalesce(F.col("id").cast("string"), F.lit("")))))
+                           .otherwise(F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string"))))
     first = (rows.filter(F.col("size") >= LEAST_PAYLOAD).groupBy("same")
-             .agg(F.max("id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("same", "first"))
+             .agg(F.max("id").alias("first"), F.count("*").alias("n")).filter("n > 1"))
     refers = F.when(~F.col("id").eqNullSafe(F.col("first")), F.col("first"))
-    marked = rows.join(first, "same", "left").select("id", "url", "payload", "digest", refers.alias("refers_to"))
+    # a payload that a third of all pages share goes to many tasks
+    marked = join_unique(rows, first.drop("n"), "same", "left", hot_keys(first, "same", "n")).select("id", "url", "payload", "digest", refers.alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, out, name, at = Folder(folder), None, "", 0
@@ -177,7 +183,7 @@ def write_index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES
             out.close()
             yield pa.RecordBatch.from_arrays([pa.array([directory[0][0]]), pa.array([name])], names=["first", "file"])
 
-    ordered = captures.select("key", "file", "offset", "length").repartitionByRange("key") \
+    ordered = captures.select("key", "file", "offset", "length").repartitionByRange("key", "file", "offset") \
         .sortWithinPartitions("key", "file", "offset")
     files = written(ordered.mapInArrow(run, "first string, file string"), "index-files")
     found = sorted((r["first"], r["file"]) for r in files.collect())
@@ -243,17 +249,19 @@ def locate(requests: DataFrame, folder: str, files: list[tuple[str, str]], page_
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64()),
                                               pa.array(columns[2], pa.int64())], names=["file", "offset", "length"])
 
-    wanted = requests.select(F.col(page_id).cast("long"), F.col(url)).mapInArrow(keys, "key string")
-    ordered = wanted.repartitionByRange("key").sortWithinPartitions("key")
+    wanted = requests.select(F.col(page_id).cast("long"), F.col(url)).mapInArrow(keys, "key string").distinct()
+    ordered = wanted.repartitionByRange(partitions(requests.sparkSession), "key").sortWithinPartitions("key")
     return ordered.mapInArrow(run, "file string, offset long, length long")
 
 
-def read_records(places: DataFrame, folder: str) -> DataFrame:
+def read_records(places: DataFrame, folder: str, tasks: int | None = None) -> DataFrame:
     """The records at some places of the archives: ``page_id``, ``url``,
     ``record_type``, ``payload`` (null for revisits), ``payload_digest`` (of
     responses computed from the payload, of revisits as their header has it)
-    and ``refers_to``."""
+    and ``refers_to``. Places are read in order by ``tasks`` tasks, by default
+    as many as a shuffle has: their own size says nothing of what they point to."""
     small_batches(places.sparkSession)
+    tasks = tasks or partitions(places.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, opened, file, begin, held = Folder(folder), "", None, 0, b""
@@ -282,7 +290,7 @@ def read_records(places: DataFrame, folder: str) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
-    ordered = places.repartition("file").sortWithinPartitions("file", "offset")
+    ordered = places.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(run, "page_id long, url string, record_type string, payload binary, payload_digest string, refers_to long")
 
 
@@ -294,11 +302,16 @@ def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     folder = shared_path(pages.sparkSession, "warc")
     captures = write_archives(pages, folder, page_id, url, html)
     files = write_index(captures, folder)
+    size = captures.agg(F.sum("length")).first()[0] or 0
     release(captures)
-    records = written(read_records(locate(pages, folder, files, page_id, url), folder).select(
+    tasks = max(1, min(-(-size // READ_BYTES), MOST_TASKS * partitions(pages.sparkSession)))
+    places = written(locate(pages, folder, files, page_id, url), "places")
+    records = written(read_records(places, folder, tasks).select(
         "page_id", F.length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"), "records")
-    there = (records.filter("record_type = 'response'").groupBy(F.col("page_id").alias("refers_to"), "payload_digest")
-             .agg(F.max("payload_bytes").alias("whole")))
-    again = records.filter("record_type = 'revisit'").join(there, ["refers_to", "payload_digest"], "left").select(
+    release(places)
+    source = F.concat_ws("-", F.coalesce("refers_to", "page_id").cast("string"), "payload_digest")
+    known = records.withColumn("source", source)
+    there = known.filter("record_type = 'response'").groupBy("source").agg(F.max("payload_bytes").alias("whole"))
+    again = join_unique(known.filter("record_type = 'revisit'"), there, "source", "left").select(
         "page_id", F.col("whole").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
-    return records.filter("record_type = 'response'").unionByName(again)
+    return borrowed(records.filter("record_type = 'response'").unionByName(again), records, folder=folder)
