@@ -1,8 +1,9 @@
 """Structured Streaming twins of the batch queries.
 
-Each replays a driver table (one file or many, in any order) as a stream, runs
-the same operator functions as the batch query on the streaming DataFrame, and
-returns the sink's complete output; the SQL oracle is the batch twin's.
+Each replays a driver table (one file or many, in any order) as a stream -- rides
+in slices of event time -- runs the same operator functions as the batch query
+on the streaming DataFrame, and returns the sink's complete output; the SQL
+oracle is the batch twin's.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ from tallgrass.plans import ride_queries as RQ
 from tallgrass.plans import text_queries  # noqa: F401  (registers the batch twins)
 from tallgrass.plans.registry import REGISTRY, query
 from tallgrass.sources.derived import ride_events
+from tallgrass.session import release
 from tallgrass.sources.tables import table
-from tallgrass.streaming.bounded import file_stream, run_bounded_stream
+from tallgrass.streaming.bounded import event_time_slices, file_stream, run_bounded_stream
 
 # Out-of-orderness bound of the ride replay (60 s in the reference).
 MAX_DELAY = "60 seconds"
@@ -47,8 +49,10 @@ def _timed_rides(stream):
             .withWatermark("eventTime", MAX_DELAY))
 
 
-def _replay(spark, sf_dir, build, name, late=()):
-    return run_bounded_stream(spark, _table_stream(spark, sf_dir, "events"), build, [*late, _sentinel(spark, sf_dir)], name=name)
+def _replay(spark, sf_dir, build, name, late=(), progress=None):
+    events = table(spark, sf_dir, "events")
+    return run_bounded_stream(spark, None, build, [*late, _sentinel(spark, sf_dir)], name=name, schema=events.schema,
+                              slices=event_time_slices(events, "ts"), progress=progress)
 
 
 @query("stream_ride_cleaning", oracle=REGISTRY["ride_cleaning"].oracle)
@@ -105,3 +109,27 @@ def stream_late_rows(spark, sf_dir):
                 .select(ntz_from_instant(F.col("w.start")).alias("hour"), "count"))
     again = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
     return _replay(spark, sf_dir, build, "late-rows", [again])
+
+
+@query("stream_late_counts", oracle="""
+    WITH mark AS (SELECT max(ts) - INTERVAL 60 SECOND AS at FROM events),
+    again AS (SELECT event_id, ts FROM events WHERE event_type = 'purchase')
+    SELECT 'distinct rides' AS operator, count(*) AS dropped FROM again, mark WHERE ts < mark.at
+    UNION ALL
+    SELECT 'hourly counts', count(DISTINCT date_trunc('hour', ts)) FROM again, mark
+    WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark.at""")
+def stream_late_counts(spark, sf_dir):
+    """How many rows each kind of stateful operator dropped as late, read
+    from the stream's progress, when every purchase arrives once more after the
+    whole table. ``dropDuplicates`` receives rows one by one; a windowed count
+    receives one partial count for each window of a batch."""
+    builds = {
+        "distinct rides": lambda s: _timed_rides(s).dropDuplicates(["rideId", "eventTime"]).select("rideId"),
+        "hourly counts": lambda s: _timed_rides(s).groupBy(F.window("eventTime", "1 hour")).agg(F.count(F.lit(1)).alias("count"))}
+    again = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    rows = []
+    for name, build in builds.items():
+        progress: list[dict] = []
+        release(_replay(spark, sf_dir, build, "late-counts", [again], progress))
+        rows.append((name, sum(n for p in progress for n in p["dropped"])))
+    return spark.createDataFrame(rows, "operator string, dropped long")

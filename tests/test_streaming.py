@@ -12,6 +12,7 @@ from tallgrass.functions.geo import Box, Grid, ntz_from_instant, utc_instant
 from tallgrass.operators import rides as R
 from tallgrass.plans.registry import load_all
 from tallgrass.session import delete_path, release, scratch_path
+from tallgrass.sources.derived import ride_events
 from tallgrass.streaming.bounded import file_stream, run_bounded_stream
 
 SF = "/root/testdata/sf0.01"
@@ -89,3 +90,64 @@ def test_instants_do_not_depend_on_the_session_zone(spark):
         assert df.where(ntz_from_instant(utc_instant(F.col("t"))) != F.col("t")).count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@needs_tables
+def test_replay_advances_and_evicts_state(spark):
+    """The table comes in slices of event time: the watermark follows, and what
+    is held after a batch is the windows still open then, not all of them."""
+    from tallgrass.plans import ride_queries as RQ
+    from tallgrass.plans.stream_queries import _replay, _timed_rides
+    progress = []
+    out = _replay(spark, SF, lambda s: R.popular_places(_timed_rides(s), RQ.BOX, RQ.PLACES_GRID, RQ.THRESHOLD), "state",
+                  progress=progress)
+    assert out.count() == load_all()["popular_places"].fn(spark, SF).count()
+    release(out)
+    fed = [p for p in progress if p["rows"]]
+    assert len(fed) >= 5 and len({p["batch"] for p in progress}) == len(progress)  # four slices and the sentinel
+    rides = ride_events(spark.read.parquet(f"{SF}/events.parquet"))
+    every = R.popular_places(rides, RQ.BOX, RQ.PLACES_GRID, 0).count()
+    # after the no-data batch that follows each slice only the windows of the last minutes are left
+    quiet = [p["state_rows"][0] for p in progress if not p["rows"]]
+    assert every > 1000 and len(quiet) >= 4 and max(quiet) < every / 20
+    assert sum(n for p in progress for n in p["dropped"]) == 0
+
+
+def test_slices_are_ranges_of_event_time(spark):
+    from tallgrass.streaming.bounded import event_time_slices
+    df = spark.range(1000).select(F.col("id"), F.timestamp_seconds(F.col("id") * 7919 % 500).alias("t")).repartition(5)
+    folders = event_time_slices(df, "t", slice_rows=130)
+    assert len(folders) == 8
+    ends, n = [], 0
+    for f in folders:
+        got = spark.read.parquet(f)
+        n += got.count()
+        ends.append(got.agg(F.min("t"), F.max("t")).first())
+    assert n == 1000 and all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    delete_path(spark, folders[0].rpartition("/")[0])
+
+
+def test_latest_table(spark):
+    """A re-run batch changes nothing; files stay bounded; null is a key."""
+    from tallgrass.streaming.upsert import LatestTable
+    path = scratch_path(spark, "latest")
+    schema = "k string, n long"
+    empty = spark.createDataFrame([], schema)
+    table = LatestTable(spark, path, empty.schema, ["k"], every=3)
+    assert table.read().collect() == []
+    want = {}
+    for batch in range(8):
+        rows = [(k, 10 * batch + i) for i, k in enumerate(["a", None, f"b{batch}"])]
+        want |= dict(rows)
+        table.upsert(spark.createDataFrame(rows, schema), batch)
+        assert {r.k: r.n for r in table.read().collect()} == want
+        table.upsert(spark.createDataFrame(rows, schema), batch)
+        if batch:
+            table.upsert(spark.createDataFrame(rows[:1], schema).where("false"), table.base())  # merged long ago
+        assert {r.k: r.n for r in table.read().collect()} == want
+        again = LatestTable(spark, path, empty.schema, ["k"], every=3)  # a new run over the same folder
+        assert {r.k: r.n for r in again.read().collect()} == want
+        assert len(table._numbers("base")) <= 1 and len(table._numbers("delta")) <= 3
+    with pytest.raises(ValueError):
+        LatestTable(spark, path, empty.schema, [])
+    delete_path(spark, path)
