@@ -34,10 +34,10 @@ from pyspark.sql import types as T
 from .common import fresh, id_crc, small_batches
 
 #: Sample of a language: characters and documents; characters of all samples.
-SAMPLE_CHARS, SAMPLE_DOCS, TOTAL_CHARS = 48_000, 400, 1_500_000
+SAMPLE_CHARS, SAMPLE_DOCS, TOTAL_CHARS = 24_000, 400, 1_500_000
 #: Phrases that a character costs which the sample lacks.
 LITERAL = 2
-WINDOW_CHARS = 192
+WINDOW_CHARS = 512
 UNKNOWN = "und"
 
 
