@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallgrass.session import cut_lineage, settled
+from tallgrass.session import cut_lineage, holding
 
 # Values per row of a grouped list.
 PAGE_SIZE = 4096
@@ -81,6 +81,32 @@ def fold_by_key(df: DataFrame, fn: Callable[[Column, Column], Column]) -> DataFr
     return pieces.groupBy("key").agg(_folded("value", fn).alias("value"))
 
 
+def _paged(pairs: DataFrame, page_size: int, name: str) -> DataFrame:
+    """``key, page, side, values`` of ``pairs`` (``key, side, value``): the
+    page-th run of at most ``page_size`` of the values that a key has on a side,
+    in sorted order, NULL values last. See ``group_values``."""
+    order = ["key", "side", F.col("value").asc_nulls_last()]
+    counted = pairs.groupBy("key", "side", "value").agg(F.count(F.lit(1)).alias("_n"))
+    # No explicit partition count: AQE may merge small ranges.
+    rows = cut_lineage(counted.repartitionByRange(*order).sortWithinPartitions(*order)
+                       .withColumns({"_pid": F.spark_partition_id(), "_pos": F.monotonically_increasing_id()}), f"{name}-pairs")
+    run = ["key", "side", "_pid"]
+    before = Window.partitionBy("key", "side").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (rows.groupBy(*run).agg(F.sum("_n").alias("_sum"))
+              .select(F.struct(*run).alias("_of"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start")))
+    inside = Window.partitionBy(*run).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (rows.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+              .join(starts, F.struct(*run).eqNullSafe(F.col("_of")))
+              .select("key", "side", "value", "_n", (F.col("_start") + F.col("_in")).alias("_first")))
+    last = F.col("_first") + F.col("_n") - 1
+    paged = ranked.select("key", "side", "value", "_first", "_n", F.explode(F.sequence(
+        F.floor(F.col("_first") / page_size), F.floor(last / page_size))).alias("page"))
+    lo = F.greatest(F.col("_first"), F.col("page") * page_size)
+    hi = F.least(last + 1, (F.col("page") + 1) * page_size)
+    runs = paged.select("key", "page", "side", F.array_repeat("value", (hi - lo).cast("int")).alias("_run"))
+    return holding(runs, rows)
+
+
 def group_values(df: DataFrame, page_size: int = PAGE_SIZE, name: str = "group") -> DataFrame:
     """A5 ``groupByKey().mapValues(list)`` as paged lists: rows ``(key, page,
     values)`` where ``values`` is the page-th run of at most ``page_size`` of the
@@ -91,49 +117,36 @@ def group_values(df: DataFrame, page_size: int = PAGE_SIZE, name: str = "group")
 
     Equal (key, value) pairs are counted first (partial aggregates), so a
     repeated pair is one row however often it occurs. A range-partitioned sort
-    of the distinct pairs spreads a hot key over many partitions; sums per
-    (key, partition) -- one row per partition that a key touches -- and a
-    running sum inside the partition give each pair's first rank, and the ranks
-    its pages. The sorted pairs are a temporary table, deleted at the end.
+    of the distinct pairs, the only thing written, spreads a hot key over many
+    partitions; sums per (key, partition) -- one row per partition that a key
+    touches -- and a running sum inside the partition give each pair's first
+    rank, and the ranks its pages. ``release`` of the result deletes the pairs.
     """
-    order = ["key", F.col("value").asc_nulls_last()]
-    pairs = df.groupBy("key", "value").agg(F.count(F.lit(1)).alias("_n"))
-    # No explicit partition count: AQE may merge small ranges.
-    pairs = cut_lineage(pairs.repartitionByRange(*order).sortWithinPartitions(*order)
-                        .withColumns({"_pid": F.spark_partition_id(), "_pos": F.monotonically_increasing_id()}), f"{name}-pairs")
-    blocks = pairs.groupBy("key", "_pid", F.floor(F.col("_pos") / page_size).alias("_block")).agg(F.sum("_n").alias("_sum"))
-    before = Window.partitionBy("key").orderBy("_pid", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select(F.col("key").alias("_key"), F.col("_pid").alias("_bpid"), "_block",
-                           F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
-    # A block is at most page_size neighbouring pairs of one key, so the running sum inside it is bounded.
-    inside = (Window.partitionBy("key", "_pid", "_block").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1))
-    ranked = (pairs.withColumn("_block", F.floor(F.col("_pos") / page_size))
-              .withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-              .join(starts.withColumnRenamed("_block", "_sblock"),
-                    F.col("key").eqNullSafe(F.col("_key")) & (F.col("_pid") == F.col("_bpid")) & (F.col("_block") == F.col("_sblock")))
-              .select("key", "value", "_n", (F.col("_start") + F.col("_in")).alias("_first")))
-    last = F.col("_first") + F.col("_n") - 1
-    paged = ranked.select("key", "value", "_first", "_n", F.explode(F.sequence(
-        F.floor(F.col("_first") / page_size), F.floor(last / page_size))).alias("page"))
-    lo = F.greatest(F.col("_first"), F.col("page") * page_size)
-    hi = F.least(last + 1, (F.col("page") + 1) * page_size)
-    runs = paged.select("key", "page", F.array_repeat("value", (hi - lo).cast("int")).alias("_run"))
+    runs = _paged(df.select("key", F.lit(0).alias("side"), "value"), page_size, name)
     out = runs.groupBy("key", "page").agg(F.array_sort(F.flatten(F.collect_list("_run"))).alias("values"))
-    return settled(out, pairs, name=name)
+    return holding(out, runs)
 
 
 def cogroup(left: DataFrame, right: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """J9 ``coGroup``: per key and page the values of both sides (sorted, NULL
     last, at most ``page_size`` per side and row), an empty array for a side
-    without the key or that page. Two paged lists and one full outer join."""
-    lg = group_values(left, page_size, "cogroup-left")
-    rg = group_values(right, page_size, "cogroup-right")
-    a, b = lg.toDF("_lk", "_lp", "_lv"), rg.toDF("_rk", "_rp", "_rv")
-    out = a.join(b, F.col("_lk").eqNullSafe(F.col("_rk")) & (F.col("_lp") == F.col("_rp")), "full_outer").select(
-        F.coalesce("_lk", "_rk").alias("key"), F.coalesce("_lp", "_rp").alias("page"),
-        F.coalesce("_lv", F.array().cast(lg.schema["values"].dataType)).alias("left_values"),
-        F.coalesce("_rv", F.array().cast(rg.schema["values"].dataType)).alias("right_values"))
-    return settled(out, lg, rg, name="cogroup")
+    without the key or that page.
+
+    Both sides are tagged and sorted as one: one written table, one grouping,
+    no join. Their values may have different types."""
+    lt, rt = left.schema["value"].dataType, right.schema["value"].dataType
+    both = (left.select("key", F.lit(0).alias("side"), F.struct(F.col("value").alias("l"), F.lit(None).cast(rt).alias("r")).alias("v"))
+            .unionByName(right.select("key", F.lit(1).alias("side"), F.struct(F.lit(None).cast(lt).alias("l"), F.col("value").alias("r")).alias("v"))))
+    # NULL values sort last on their own side
+    value = F.struct((F.col("v.l").isNull() & F.col("v.r").isNull()).alias("none"), "v.l", "v.r")
+    runs = _paged(both.select("key", "side", value.alias("value")), page_size, "cogroup")
+
+    def of(side: int, field: str, kind) -> Column:
+        found = F.array_sort(F.flatten(F.collect_list(F.when(F.col("side") == side, F.col("_run")))))
+        return F.transform(found, lambda x: x[field])
+
+    out = runs.groupBy("key", "page").agg(of(0, "l", lt).alias("left_values"), of(1, "r", rt).alias("right_values"))
+    return holding(out, runs)
 
 
 def join_pairs(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallgrass.operators.graph import PropertyGraph, iteration_edges
 from tallgrass.operators.pregel import pregel
-from tallgrass.session import cut_lineage_bucketed, release, settled
+from tallgrass.session import cut_lineage_bucketed, holding, release, settled
 
 
 def pagerank_pregel(g: PropertyGraph, num_iter: int = 20, reset: float = 0.15) -> DataFrame:
@@ -19,7 +19,7 @@ def pagerank_pregel(g: PropertyGraph, num_iter: int = 20, reset: float = 0.15) -
     ranks, _ = pregel(plain, F.lit(0.0), num_iter,
                       vprog=lambda attr, msg: F.lit(reset) + F.lit(1.0 - reset) * msg,
                       send=lambda src_attr, edge: src_attr * (F.lit(1.0) / edge["n_out"]))
-    return settled(ranks.select("id", F.col("attr").alias("rank")), ranks, name="ranks")
+    return holding(ranks.select("id", F.col("attr").alias("rank")), ranks)
 
 
 def pagerank_tolerance(g: PropertyGraph, tol: float = 1e-4, reset: float = 0.15) -> DataFrame:
@@ -44,7 +44,8 @@ def pagerank_tolerance(g: PropertyGraph, tol: float = 1e-4, reset: float = 0.15)
     state, _ = pregel(plain, F.lit(reset / (1.0 - reset)), None, vprog, send)
     ranks = state.select("id", F.col("attr.pr").alias("pr"))
     whole = ranks.agg(F.sum("pr"), F.count(F.lit(1))).first()
-    return settled(ranks.select("id", (F.col("pr") * whole[1] / F.lit(whole[0])).alias("rank")), state, name="ranks")
+    out = ranks.select("id", (F.col("pr") * whole[1] / F.lit(whole[0])).alias("rank"))
+    return settled(out, state, name="ranks")  # one table instead of the last whole one and the changes since
 
 
 def pagerank_rounds(edges: DataFrame, num_iter: int = 20, reset: float = 0.15,
