@@ -1,11 +1,14 @@
-"""The reference's user-function surfaces (U1, U2, U4), kept as small
+"""The reference's user-function surfaces (U1, U2, U4, U5), kept as small
 Arrow-batched helpers. Built-in expressions do the same work faster and are
 what the main queries use; these exist so a user porting UDF code has the
 same entry points."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +28,30 @@ def register_nonword_tokens(spark: SparkSession, name: str = "nonword_tokens") -
     return name
 
 
+def flat_map_batches(fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch | pa.Table]], schema: T.StructType | str):
+    """A user's flat map as a table function. ``fn`` turns an Arrow batch
+    of rows into any number of batches or tables of ``schema``; it is called in
+    every task, batch by batch, so it must not rely on which rows come together.
+
+    The result is called with a table argument, ``f(df.asTable())``, or
+    registered and used in SQL: ``spark.udtf.register("f", f)``, then
+    ``SELECT * FROM f(TABLE(t))``."""
+    class FlatMap:
+        def eval(self, batch: pa.RecordBatch):
+            for out in fn(batch):
+                yield out if isinstance(out, pa.Table) else pa.Table.from_batches([out])
+
+    return F.arrow_udtf(FlatMap, returnType=schema)
+
+
+def nonword_tokens_of(batch: pa.RecordBatch) -> Iterable[pa.Table]:
+    """A flat map of one text column: its lower-case words between ASCII non-word characters."""
+    import pyarrow.compute as pc
+
+    words = pc.split_pattern_regex(pc.utf8_lower(batch.column(0)), NONWORD_REGEX).flatten()
+    yield pa.table({"word": words.filter(pc.not_equal(words, ""))})
+
+
 @F.pandas_udf(T.IntegerType())
 def weekday_pudf(date_time: pd.Series) -> pd.Series:
     """Monday=0 weekday of a ``dd/MMM/yyyy:HH:mm:ss +zzzz`` text, in the

@@ -288,28 +288,31 @@ def triangle_count(edges: DataFrame) -> DataFrame:
     """G17 per-vertex triangle counts of the undirected simple graph.
 
     Edges are made canonical (no loops, no duplicates) and oriented from the
-    lower-degree end to the higher-degree end (ties by id). Every triangle is
-    then found exactly once as two edges out of its lowest vertex, closed by the
-    edge between their ends. A vertex has at most sqrt(2m) oriented out-edges,
-    so both sides of the wedge join are bounded per key, hubs included
-    (O(m^1.5) work in total, the optimum for triangle listing). Output:
-    (id, triangles) for every vertex of the graph, 0 included.
+    lower-degree end to the higher-degree end (ties by id). A vertex has at most
+    sqrt(2m) oriented out-edges, so its out-neighbours are one short array, hubs
+    included. Each edge takes the neighbours of its lower end that come after
+    its upper end, meets the neighbours of the upper end, and the intersection
+    closes its triangles: every triangle is found once, and what is shuffled is
+    one row an edge, not one a wedge. An upper end of very many edges is joined
+    in pieces. Output: (id, triangles) for every vertex of the graph, 0 included.
     """
     und = cut_lineage(edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
                       .where(F.col("a") != F.col("b")).distinct(), "tri")
     deg = cut_lineage(und.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("deg")),
                       "tri-deg")
-    da = deg.select(F.col("id").alias("a"), F.col("deg").alias("da"))
-    db = deg.select(F.col("id").alias("b"), F.col("deg").alias("db"))
+    ends = join_unique(join_unique(und, deg.toDF("a", "da"), "a"), deg.toDF("b", "db"), "b")
     lo, hi = F.struct(F.col("da").alias("d"), F.col("a").alias("id")), F.struct(F.col("db").alias("d"), F.col("b").alias("id"))
-    oriented = cut_lineage(und.join(da, "a").join(db, "b").select(F.least(lo, hi).alias("u"), F.greatest(lo, hi).alias("v"))
-                           .select(F.col("u.id").alias("u"), F.col("v.id").alias("v"), F.col("v.d").alias("dv")), "tri-oriented")
-    first = oriented.select("u", F.col("v").alias("x"), F.col("dv").alias("dx"))
-    second = oriented.select("u", F.col("v").alias("y"), F.col("dv").alias("dy"))
-    wedges = first.join(second, "u").where(F.struct("dx", "x") < F.struct("dy", "y"))
-    closed = wedges.join(oriented.select(F.col("u").alias("x"), F.col("v").alias("y")), ["x", "y"], "left_semi")
-    per_vertex = (closed.select(F.explode(F.array("u", "x", "y")).alias("id"))
-                  .groupBy("id").agg(F.count(F.lit(1)).alias("triangles")))
-    out = (deg.select("id").join(per_vertex, "id", "left")
-           .select("id", F.coalesce(F.col("triangles"), F.lit(0)).alias("triangles")))
-    return settled(out, und, deg, oriented, name="triangles")
+    oriented = ends.select(F.least(lo, hi).alias("u"), F.greatest(lo, hi).alias("v"))
+    after = F.transform(F.array_sort(F.collect_list("v")), lambda x: x["id"])
+    out = cut_lineage(oriented.groupBy(F.col("u.id").alias("u")).agg(after.alias("near")), "tri-near")
+    edge = (out.select("u", "near", F.posexplode("near").alias("at", "v"))
+            .select("u", "v", F.slice("near", F.col("at") + 2, F.size("near")).alias("later")).where(F.size("later") > 0))
+    closed = (join_unique(edge, out.select(F.col("u").alias("v"), "near"), "v")
+              .select("u", "v", F.array_intersect("later", "near").alias("w")).where(F.size("w") > 0))
+    n = F.size("w").cast("long")
+    found = F.concat(F.array(F.struct(F.col("u").alias("id"), n.alias("n")), F.struct(F.col("v").alias("id"), n.alias("n"))),
+                     F.transform("w", lambda w: F.struct(w.alias("id"), F.lit(1).cast("long").alias("n"))))
+    per_vertex = closed.select(F.inline(found)).groupBy("id").agg(F.sum("n").alias("triangles"))
+    result = (deg.select("id").join(per_vertex, "id", "left")
+              .select("id", F.coalesce(F.col("triangles"), F.lit(0)).alias("triangles")))
+    return settled(result, und, deg, out, name="triangles")

@@ -15,6 +15,19 @@ def distinct_clients(logs: DataFrame, approx: bool = False) -> DataFrame:
     return logs.agg(agg.alias("n_clients"))
 
 
+def client_sketches(logs: DataFrame, *by: str, lg_k: int = 12) -> DataFrame:
+    """A9 one mergeable distinct-count sketch of ``ipAddress`` per group: a few
+    kilobytes each, so a day's sketch can be stored and any days merged later
+    without the log. ``2 ** lg_k`` registers: a relative error of about
+    ``0.83 / sqrt(2 ** lg_k)`` (1.3 % at 12)."""
+    return logs.groupBy(*by).agg(F.hll_sketch_agg("ipAddress", F.lit(lg_k)).alias("sketch"))
+
+
+def merged_clients(sketches: DataFrame) -> DataFrame:
+    """A9 the distinct clients of several sketches together (estimate)."""
+    return sketches.agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_clients"))
+
+
 def content_stats(logs: DataFrame) -> DataFrame:
     """A10 min / avg / max content size in one pass."""
     return logs.agg(F.min("contentSize").alias("min_size"), F.avg("contentSize").alias("avg_size"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tallgrass import sinks
 from tallgrass.operators import text as T
 from tallgrass.plans.text_queries import _WS
@@ -30,3 +32,12 @@ def sink_tsv_roundtrip(spark, sf_dir):
     counts = T.word_count(table(spark, sf_dir, "documents").select("text"), "text", "ws")
     sinks.write_key_values(counts, path, "word", "count", sort=True)
     return sinks.read_key_values(spark, path, "string", "bigint", "word", "count")
+
+
+@query("sink_file_count", oracle=ROWS_SQL + "SELECT 5 AS n_files, count(*) AS n_rows FROM xrows")
+def sink_file_count(spark, sf_dir):
+    """K5: the output in as many files as asked for, counted from the rows read back."""
+    path = scratch_path(spark, "sink-files")
+    sinks.write_records(parse_row_xml(dump_lines(spark, sf_dir)), path, "record", num_files=5)
+    per_file = spark.read.text(path).groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return per_file.agg(F.count(F.lit(1)).cast("int").alias("n_files"), F.sum("n").alias("n_rows"))

@@ -86,3 +86,13 @@ def sample_n(spark, sf_dir):
 def first_n(spark, sf_dir):
     """T8 ``take(2)`` in key order."""
     return topk.first_n(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), 2, "o_orderkey")
+
+
+@query("json_inferred", oracle="""
+    SELECT c_custkey AS id, c_name AS name, c_acctbal >= 0 AS good, c_mktsegment AS segment FROM customer""")
+def json_inferred(spark, sf_dir):
+    """JSON lines whose schema is inferred over all rows, a nested field included."""
+    row = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+                   F.struct((F.col("c_acctbal") >= 0).alias("good"), F.col("c_mktsegment").alias("segment")).alias("account"))
+    people = parse_json_lines(table(spark, sf_dir, "customer").select(F.to_json(row).alias("value")))
+    return people.select("id", "name", "account.good", "account.segment")

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tallgrass.functions import udfs
 from tallgrass.functions.udfs import register_nonword_tokens
 from tallgrass.operators import text as T
 from tallgrass.plans.registry import query
@@ -81,3 +82,17 @@ def tokenize_udtf(spark, sf_dir):
     words = spark.sql(f"SELECT word FROM {view}, LATERAL {name}(text)")
     spark.catalog.dropTempView(view)
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query("flat_map_batches", oracle=f"""
+    SELECT word, count(*) AS count
+    FROM (SELECT unnest({_NONWORD}) AS word FROM documents)
+    WHERE word <> '' GROUP BY word""")
+def flat_map_batches(spark, sf_dir):
+    """A user's function over Arrow batches as a SQL table function."""
+    name, view = f"words_{uuid.uuid4().hex[:8]}", f"docs_{uuid.uuid4().hex[:8]}"
+    spark.udtf.register(name, udfs.flat_map_batches(udfs.nonword_tokens_of, "word string"))
+    _docs(spark, sf_dir).createOrReplaceTempView(view)
+    words = spark.sql(f"SELECT word FROM {name}(TABLE(SELECT text FROM {view}))")
+    spark.catalog.dropTempView(view)
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))

@@ -101,3 +101,21 @@ def ip_day_counts(spark, sf_dir):
     GROUP BY l.ipAddress, l.dayOfWeek""")
 def gold_access(spark, sf_dir):
     return W.gold_access(logs(spark, sf_dir), 10)
+
+
+# Four standard errors of 2 ** 12 registers.
+SKETCH_ERROR = 0.06
+
+
+@query("distinct_clients_sketch", oracle=LOGS_SQL + """
+    SELECT count(DISTINCT date) AS n_days, count(DISTINCT ipAddress) AS n_clients, true AS within
+    FROM logs""")
+def distinct_clients_sketch(spark, sf_dir):
+    """A sketch per day, merged; ``within`` tells that the estimate is no
+    further than SKETCH_ERROR from the exact count beside it."""
+    rows = logs(spark, sf_dir).withColumn("day", F.substring("dateTime", 1, 11))
+    days = W.client_sketches(rows, "day")
+    both = days.agg(F.count(F.lit(1)).alias("n_days"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+    exact = W.distinct_clients(logs(spark, sf_dir)).scalar()
+    return both.select("n_days", exact.alias("n_clients"),
+                       (F.abs(F.col("estimate") - exact) <= exact * SKETCH_ERROR).alias("within"))
