@@ -20,29 +20,35 @@ MODEL = "piece_bpe_32k.model"
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a model learned from all labelled documents accepts."""
+    """Documents that a model learned from all labelled documents accepts. Null
+    and empty texts are scored like any other, repeated rows alike; without
+    labels every document stays. All columns are handed through."""
     (score,) = fresh(docs, "score")
     model = quality.train(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return quality.with_score(docs, model, out=score).filter(F.col(score) >= quality.CUT).select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts: the one with the largest id."""
+    """One document of each group of equal texts: the one with the largest id
+    (null ids last, of repeated rows any one). Null and empty texts are equal."""
     return exact_dedup.drop_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints: the one with the smallest id."""
+    """One document of each group of linked fingerprints: the one with the
+    smallest id (null ids last). Texts without words are one group."""
     return simhash.drop_near_duplicates(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix of sources takes it."""
+    """Every document as often as the mix of sources takes it: not at all, once
+    or twice. Null sources are one source; texts without words have size 0."""
     return mixing.mix(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, ``source``, the piece ids of each text and the text that they decode to."""
+    """``doc_id``, ``source``, the piece ids of each text and the text that they
+    decode to. Null and empty texts have no ids and decode to an empty text."""
     import public_tokenizers
 
     out = sentencepiece_bpe.encode_decode(docs.select("doc_id", "source", "text"), public_tokenizers.path(MODEL), decoded="decoded")
@@ -57,7 +63,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what lies between them is written and read again."""
+    """All stages over ``documents``; what lies between them is written and read
+    again. An empty table gives an empty result."""
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         before, docs = docs, stage(spark, docs, sf_dir)

@@ -106,7 +106,10 @@ def systematic_copies(df: DataFrame, size: str = "size", source: str = "source",
 
 
 def mix(df: DataFrame, text: str = "text", source: str = "source", id_col: str = "doc_id") -> DataFrame:
-    """``df`` with every row repeated as often as the mix takes it."""
+    """``df`` with every row repeated as often as the mix takes it (0, 1 or 2
+    times), all columns handed through. Null and empty texts have size 0 and
+    stand with the shortest; null sources are one source, null ids come last, rows
+    with equal ids next to each other. An empty table gives an empty result."""
     rows = df.select(F.struct(*df.columns).alias("row"), F.col(source).alias("source"), F.col(id_col).alias("doc_id"),
                      word_count(text).alias("size"))
     return (systematic_copies(rows).filter("copies > 0")

@@ -29,7 +29,7 @@ from .common import fresh, id_crc, small_batches, written
 SAMPLE, VOCABULARY = 4000, 1500
 #: Evidence that a feature must have beyond the best that chance gives, and the share of toxic texts among those with
 #: it (or none of them is toxic).
-MARGIN, PURITY = 2.0, 0.8
+MARGIN, PURITY = 2.0, 0.5
 GRADES, STEMS = 3, (4, 5)
 #: Hash functions of a sketch, and the share of equal values from which two texts are near copies.
 SKETCH, SAME = 256, 0.8
@@ -123,12 +123,16 @@ def fit(x: np.ndarray, grade: np.ndarray, share: float, rounds: int = 800, ridge
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label: str = "toxic",
-          sample: int = SAMPLE) -> Model:
+          sample: int = SAMPLE, vocabulary: int = VOCABULARY, purity: float = PURITY) -> Model:
     """A model from the rows of ``labels`` whose id is not held out and whose
     label is 0 or 1: at most ``sample`` ids of each, the first by a hash of the
     id, and of rows that share an id and a label one;
     of near copies with the same label among them one. Without toxic rows no
-    text is toxic."""
+    text is toxic.
+
+    Features are all words and beginnings whose evidence exceeds chance and that
+    are toxic in a share ``purity`` of the texts with them, or never; beyond
+    ``vocabulary`` of them, those with most evidence."""
     spark = docs.sparkSession
     small_batches(spark)
     known = labels.filter(F.col(label).isin(0, 1) & (id_crc(id_col) % 5 != 0)).select(
@@ -167,21 +171,21 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     if bad and fine:
         evidence = texts.withColumn("evidence", 2 * (part("bad", rate) + part("fine", 1 - rate)))
         chance = 2 * float(np.log(max(2, texts.count()))) + MARGIN
-        pure = (F.col("bad") >= PURITY * seen) | (F.col("fine") == seen)
-        kept = evidence.filter(pure & (F.col("evidence") >= chance)).orderBy(F.desc("evidence"), "f").limit(VOCABULARY).collect()
-    vocabulary = {r["f"]: k for k, r in enumerate(sorted(kept, key=lambda r: r["f"]))}
+        pure = (F.col("bad") >= purity * seen) | (F.col("fine") == seen)
+        kept = evidence.filter(pure & (F.col("evidence") >= chance)).orderBy(F.desc("evidence"), "f").limit(vocabulary).collect()
+    known_features = {r["f"]: k for k, r in enumerate(sorted(kept, key=lambda r: r["f"]))}
     typical = {r["f"] for r in kept if r["bad"] > rate * (r["bad"] + r["fine"]) and not r["f"].startswith("^")}
-    words = spark.createDataFrame([(f,) for f in vocabulary], "f string")
+    words = spark.createDataFrame([(f,) for f in known_features], "f string")
     found = {}
     for r in held.select("id", "mark", F.inline(F.arrays_zip("f", "n"))).join(F.broadcast(words), "f").collect():
         found.setdefault((r["mark"], r["id"]), []).append((r["f"], r["n"]))
     data = sorted((r["mark"], r["id"]) for r in held.select("id", "mark").collect())
     release(sample_table)
-    x = np.zeros((len(data), len(vocabulary)))
+    x = np.zeros((len(data), len(known_features)))
     hits = np.zeros(len(data))
     for k, row in enumerate(data):
         for f, n in found.get(row, ()):
-            x[k, vocabulary[f]] = np.log1p(n)
+            x[k, known_features[f]] = np.log1p(n)
             hits[k] += n * (f in typical)
     mark = np.array([d[0] for d in data], int)
     grade = np.zeros(len(data), int)
@@ -189,7 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
         cuts = np.quantile(hits[mark == 1], [g / GRADES for g in range(1, GRADES)])
         grade[mark == 1] = 1 + (hits[mark == 1, None] > cuts).sum(1)
     weights, thresholds = fit(x, grade, total.get(1, 0) / max(1, sum(total.values())))
-    return Model(vocabulary, weights, np.concatenate([thresholds, np.full(GRADES - len(thresholds), 40.0)]))
+    return Model(known_features, weights, np.concatenate([thresholds, np.full(GRADES - len(thresholds), 40.0)]))
 
 
 def with_severity(df: DataFrame, model: Model, text: str = "text", out: str = "severity", toxic: str = "toxic_score",

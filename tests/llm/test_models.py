@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
+import string
 import zlib
 
 import numpy as np
@@ -231,8 +234,8 @@ def test_toxicity_of_held_out_documents(spark):
     assert (np.diff(model.thresholds) > 0).all()
     rows = toxicity.with_severity(docs.join(labels, "doc_id"), model).select("doc_id", "toxic", "severity", "toxic_score").collect()
     rows = [r for r in rows if held(r.doc_id, 5, 0)]
-    assert np.mean([r.toxic_score >= 0.5 for r in rows if r.toxic == 1]) > 0.75
-    assert np.mean([r.toxic_score >= 0.5 for r in rows if r.toxic == 0]) < 0.01
+    assert np.mean([r.toxic_score >= 0.5 for r in rows if r.toxic == 1]) > 0.9
+    assert not any(r.toxic_score >= 0.5 for r in rows if r.toxic == 0)
     assert all(r.toxic_score <= r.severity + 1e-9 <= toxicity.GRADES + 1e-6 for r in rows)
     odd = spark.createDataFrame([(None, None, "a"), (1, "", "b"), (2, "x " * 200000, "c")], "doc_id long, text string, severity string")
     assert {r.toxic_score < 0.5 for r in toxicity.with_severity(odd, model).collect()} == {True}
@@ -266,3 +269,109 @@ def test_ordinal_fit_shares_weights():
     assert (np.diff(th) > 0).all() and w[0] > 1 and w[1] > 1 and np.abs(w[2:]).max() < 0.3 * w[0]
     expected = toxicity.sigmoid((x @ w)[:, None] - th).sum(1)
     assert np.corrcoef(expected, grade)[0, 1] > 0.95
+
+
+TEXTS = ["", "  \n", "one", "The cat. The CAT, the dog!", "### $$$ a!b 1,2,3\nline\nline\n\nother", "Ä ö ß é", "x " * 50, "A B C D " * 20 + "\n" * 5]
+
+
+def plain_statistics(text):
+    words = re.findall(r"[^ \t-\r]+", text)
+    if not words:
+        return [0.0] * 14
+    raw = text.encode()
+    fold = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    bare = re.findall(r"[^ \t-\r]+", re.sub("[.,;:]", "", fold)) or words
+    signs, n = "#$%&*+/<=>@[\\]^_`{|}~!?", len(words)
+    letters = max(1, sum(c in string.ascii_letters or ord(c) > 127 for c in text for _ in c.encode()))
+    lines = [x for x in text.split("\n") if x]
+
+    def share(chars, of):
+        return sum(c in chars for c in text) / of
+
+    return [math.log(1 + n), len(set(bare)) / len(bare), sum(a == b for a, b in zip(bare, bare[1:])) / n,
+            (max(bare.count(w) for w in bare) - 1) / (len(bare) + 10), sum(all(c in signs for c in w) for w in bare) / n,
+            share(string.ascii_uppercase, letters), share(string.digits, len(raw)), share("#$%&*+/<=>@[\\]^_`{|}~", len(raw)),
+            share(".,;:", n), share("!?", n), share("\n", n), min(30.0, (len(raw) - n) / n),
+            1 - len(set(lines)) / max(1, len(lines)), sum(w[-1] in signs for w in words) / n]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_quality_statistics_against_plain_counts(text):
+    assert quality.statistics(text.encode()) == pytest.approx(plain_statistics(text))
+
+
+def test_quality_weights_minimise_the_pairs_loss():
+    """The fitted weights beat every small step away from them on the loss of the pairs, written out pair by pair."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(60, len(quality.FEATURES)))
+    good = x[:, 0] - x[:, 1] + rng.normal(size=60) > 0
+    model = quality.fit(x, good, 0.5, seed=7)
+    z = [[min(4.0, max(-4.0, v)) for v in row] for row in (x - model.mean) / model.scale]
+    b = np.array([[*r, *[max(v - 1, 0) for v in r], *[max(-v - 1, 0) for v in r]] for r in z])
+    up, down = np.flatnonzero(good), np.flatnonzero(~good)
+    draw, n = np.random.default_rng(7), quality.PAIRS_EACH * max(len(up), len(down))
+    pairs = list(zip(draw.choice(up, n), draw.choice(down, n), strict=True))
+
+    def loss(w):
+        return sum(math.log(1 + math.exp(-float((b[i] - b[j]) @ w))) for i, j in pairs) / n + 0.5e-3 * float(w @ w)
+
+    best = loss(model.weights)
+    for k in range(len(model.weights)):
+        for step in (-0.05, 0.05):
+            other = model.weights.copy()
+            other[k] += step
+            assert loss(other) > best
+    strength = b @ model.weights
+    want = 1 / (1 + np.exp(-(strength - model.cut + math.log(quality.CUT / (1 - quality.CUT)))))
+    assert model.score(x) == pytest.approx(want)
+
+
+def test_toxicity_features_and_scores_against_plain_counts():
+    rnd = random.Random(8)
+    for _ in range(100):
+        text = " ".join(rnd.choice(["Ab", "abcde", "abcdef", "x1", "é,é", "A-b"]) for _ in range(rnd.randint(0, 30)))
+        words = re.findall(r"\w+", text.lower())
+        want = {}
+        for w in words:
+            for f in [w] + [f"^{w[:k]}" for k in (4, 5) if len(w) > k]:
+                want[f] = want.get(f, 0) + 1
+        assert toxicity.features(text) == want
+        model = toxicity.Model({"ab": 0, "^abcd": 1, "é": 2}, np.array([0.5, -1.0, 2.0]), np.array([0.1, 0.7, 1.5]))
+        z = sum(model.weights[k] * math.log(1 + want[f]) for f, k in model.vocabulary.items() if f in want)
+        assert model.at_least(text) == pytest.approx([1 / (1 + math.exp(t - z)) for t in model.thresholds])
+
+
+def test_ordinal_weights_minimise_the_loss():
+    """The mean log loss of the grades, written out row by row, falls in no direction from the fitted parameters."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 3, (200, 4)).astype(float)
+    grade = np.digitize(x[:, 0] + x[:, 1] + rng.normal(size=200), [2.0, 3.0, 4.0])
+    share = float((grade > 0).mean())
+    w, th = toxicity.fit(x, grade, share, rounds=6000)
+
+    def loss(w, th):
+        total = 0.0
+        for row, g in zip(x, grade, strict=True):
+            at = [1.0, *[1 / (1 + math.exp(t - float(row @ w))) for t in th], 0.0]
+            weight = (1 - share) / (grade == 0).sum() if g == 0 else share / (grade > 0).sum()
+            total -= weight * math.log(at[g] - at[g + 1])
+        return total + 0.5 * 3e-5 * float(w @ w)
+
+    best = loss(w, th)
+    for k in range(len(w) + len(th)):
+        for step in (-0.1, 0.1):
+            w2, th2 = w.copy(), th.copy()
+            (w2 if k < len(w) else th2)[k if k < len(w) else k - len(w)] += step
+            assert loss(w2, th2) > best
+
+
+def test_vocabulary_is_a_parameter(spark):
+    docs, labels = docs_and_labels(spark)
+    small = toxicity.train(docs, labels, vocabulary=10)
+    assert len(small.vocabulary) == 10
+
+
+def test_a_clashing_column_is_handed_through(spark, pieces):
+    df = spark.createDataFrame([(1, "the cat", "mine", "a")], "doc_id long, text string, _text_to_encode string, __text_to_encode string")
+    row = sentencepiece_bpe.encode_decode(df, model_path()).first()
+    assert row["_text_to_encode"] == "mine" and row["__text_to_encode"] == "a" and row.ids == pieces.sp.encode("the cat")

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallgrass.llm import exact_dedup, mixing
+from tallgrass.session import release
 
 
 def normal(text):
@@ -112,3 +113,23 @@ def test_plans_run_no_python(spark):
     for out in (exact_dedup.content_groups(df), mixing.mix(df)):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_repeated_hot_rows_are_cut_into_pieces(spark):
+    """A third of all rows are one row, id included, and a third have no id: no sorting task gets them all."""
+    rows = [(1, "same")] * 3000 + [(None, "nobody's")] * 3000 + [(k, f"text {k}") for k in range(10, 3010)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small partitions are not merged
+    try:
+        got = exact_dedup.content_groups(df)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    (path,) = [x.path for x in got._scratch]
+    sorted_rows = spark.read.parquet(path)
+    sizes = [r["count"] for r in sorted_rows.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 9000 and max(sizes) < 2999
+    rows = got.collect()
+    assert sum(r.kept for r in rows) == 3002
+    assert {(r.keep_id, r.group_size) for r in rows if r.doc_id == 1} == {(1, 3000)}
+    assert {(r.keep_id, r.group_size) for r in rows if r.doc_id is None} == {(None, 3000)}
+    release(got)

@@ -31,6 +31,31 @@ def test_query(spark, name):
         assert len(rows) == spark.read.parquet(f"{SF}/documents.parquet").count()
 
 
+def test_pipeline_with_odd_rows(spark):
+    """Null and empty texts, repeated rows, null ids and languages, a column that clashes, and no rows at all."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    good = [r.text for r in docs.limit(30).collect()]
+    rows = [(k, t, "en", "s1", len(t)) for k, t in enumerate(good)]
+    rows += [(3, good[3], "en", "s1", 1)] * 3 + [(None, good[4] + " more", None, None, None), (900, None, None, "s2", None),
+                                                  (901, "", "en", None, 0), (902, " \n ", "en", "s2", 3), (903, "long " * 100_000, "en", "s2", 5)]
+    odd = spark.createDataFrame(rows, docs.schema).withColumn("row", F.lit("mine")).withColumn("_fp", F.lit(1))
+    for frame in (odd, odd.limit(0)):
+        now = frame
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, now, SF)
+            kept = out.collect()
+            if name != "SentencePiece":
+                assert out.columns == odd.columns
+                assert {(r.doc_id, r.text) for r in kept} <= {(r[0], r[1]) for r in rows}
+                now = spark.createDataFrame(kept, odd.schema)
+            else:
+                assert len(kept) == now.count() and all(r.n_tokens == len(r.ids) for r in kept)
+            if name == "exact dedup":
+                assert len({normal(r.text) for r in kept}) == len(kept)
+
+
 def test_sentencepiece_columns(spark):
     import hashlib
 

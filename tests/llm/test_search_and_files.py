@@ -148,3 +148,57 @@ def test_keys_reverse_the_host():
     assert warc.capture_key("http://www.Example.com/a?b", 3).startswith("com,example,www)/a?b 0")
     assert warc.capture_key(None, None) == "-) -"
     assert "\n" not in warc.capture_key("http://x/\n", 1) and warc.capture_key("u", -5) < warc.capture_key("u", 5)
+
+
+def test_a_hot_payload_and_its_records_go_to_many_tasks(spark):
+    """A third of all pages have one payload; releasing the result leaves nothing behind."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tallgrass.session import checkpoint_root, release
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    df = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), F.col("id") % 5).alias("url"), F.when(
+        F.col("id") % 3 == 0, F.repeat(F.lit("x"), 1500)).otherwise(F.concat(F.repeat(F.lit("y"), 1200), F.col("id"))).alias("html"))
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = warc.round_trip(df)
+        folder = got._scratch[-1].path
+        archives = [f for f in os.listdir(folder.removeprefix("file:")) if f.endswith(".warc.gz")]
+        rows = got.collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(archives) > 1 and len(rows) == 3000
+    assert {(r.record_type, r.refers_to) for r in rows if r.page_id % 3 == 0 and r.page_id != 2997} == {("revisit", 2997)}
+    release(got)
+    assert set(os.listdir(root)) == before
+
+
+def test_shards_and_fingerprints_leave_nothing(spark):
+    import os
+
+    from tallgrass.llm import simhash
+    from tallgrass.session import checkpoint_root, release
+    root = checkpoint_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    df = spark.createDataFrame([(k, f"a b c {k % 4}") for k in range(40)] + [(1, "same id")] * 30, "doc_id long, text string")
+    out = wavelet.read_shards(*wavelet.write_shards(df, tokenizer(), 1))
+    assert out.count() == 70
+    release(out)
+    out = simhash.near_duplicates(df)
+    assert out.count() == 70
+    release(out)
+    assert set(os.listdir(root)) == before
+
+
+def test_counts_come_from_the_file():
+    ids = np.array([random.Random(k).randrange(50_000) for k in range(3000)], np.uint32)
+    docs, counts, m = wavelet.from_file(wavelet.to_file([1, None], np.array([1000, 2000]), ids))
+    assert docs == [1, None] and counts.tolist() == [1000, 2000] and m.tokens().tolist() == ids.tolist()
+    assert [o.tolist() for o in m.ones] == [o.tolist() for o in wavelet.WaveletMatrix.of(ids).ones]
+    assert m.access(np.arange(0, 3000, 17)).tolist() == ids[::17].tolist()
+    assert m.count(int(ids[5])) == int((ids == ids[5]).sum()) and m.locate(int(ids[5]), 0) == int(np.flatnonzero(ids == ids[5])[0])
