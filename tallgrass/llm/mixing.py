@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh
+from .common import borrowed, fresh, written
 
 #: Fixed values of the mix: weights by source order, share of all words, most copies of a source.
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.5, 2.0
@@ -110,7 +110,10 @@ def mix(df: DataFrame, text: str = "text", source: str = "source", id_col: str =
     times), all columns handed through. Null and empty texts have size 0 and
     stand with the shortest; null sources are one source, null ids come last, rows
     with equal ids next to each other. An empty table gives an empty result."""
-    rows = df.select(F.struct(*df.columns).alias("row"), F.col(source).alias("source"), F.col(id_col).alias("doc_id"),
-                     word_count(text).alias("size"))
-    return (systematic_copies(rows).filter("copies > 0")
-            .select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*"))
+    row, size = fresh(df, "row", "size")
+    # texts are read and counted once; only numbers are ranked
+    rows = written(df.withColumns({row: F.monotonically_increasing_id(), size: word_count(text)}), "mix-rows")
+    slim = rows.select(F.col(row).alias("row"), F.col(source).alias("source"), F.col(id_col).alias("doc_id"), F.col(size).alias("size"))
+    taken = systematic_copies(slim).filter("copies > 0").select(F.col("row").alias(row), F.sequence(F.lit(1), F.col("copies")).alias(size))
+    out = rows.drop(size).join(taken, row).withColumn(size, F.explode(size)).select(*df.columns)
+    return borrowed(out, rows)
