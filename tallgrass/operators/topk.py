@@ -42,7 +42,7 @@ def top_k_distinct(df: DataFrame, key: str, n: int = 10, keep_by: str = "Id",
             yield from held.to_batches()
 
     per_task = df.select(*columns).mapInArrow(best, schema)
-    return per_task.repartition(1).mapInArrow(best, schema).orderBy(F.col(key).desc())
+    return per_task.repartition(1).mapInArrow(best, schema).orderBy(F.col(key).desc()).limit(n)
 
 
 def _best_distinct(rows: pa.Table, n: int) -> pa.Table:

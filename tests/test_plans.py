@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallgrass.operators.graph import iteration_edges
+from tallgrass.operators.topk import top_k_distinct
 from tallgrass.plans.registry import load_all
 from tallgrass.session import cut_lineage_bucketed, release
 
@@ -98,6 +99,30 @@ def test_distinct_top_ten_is_a_hash_aggregate(spark):
     assert "SortAggregate" not in p and "TakeOrderedAndProject" in p
 
 
+def test_distinct_top_ten_reads_its_input_once(spark):
+    """One scan, no join, and what is shuffled comes out of the prune in each task."""
+    df = spark.read.parquet(f"{SF}/customer.parquet").select(
+        F.col("c_nationkey").alias("key"), F.col("c_custkey").alias("Id"), F.col("c_name").alias("record"))
+    p = plan(top_k_distinct(df, "key", 10))
+    tree = p.split("\n\n")[0]
+    assert len(re.findall(r"Scan parquet", tree)) == 1 and "Join" not in tree
+    assert tree.index("Exchange") < tree.rindex("MapInArrow")  # printed from the result down to the scan
+
+
+@pytest.mark.parametrize("name", ["cogroup", "kv_group_list"])
+def test_paged_lists_write_the_sorted_pairs_only(spark, name):
+    """The result reads one written table and is not written itself."""
+    from tallgrass.operators import keyed as K
+    pairs = spark.createDataFrame([(1, 2), (1, None), (2, 5), (None, 7)], "key bigint, value bigint")
+    out = K.cogroup(pairs, pairs.select("key", F.col("value").cast("string").alias("value"))) if name == "cogroup" else K.group_values(pairs)
+    assert len(out._scratch) == 1
+    p = plan(out).split("\n\n")[0]
+    assert "Scan parquet" in p and "Scan ExistingRDD" not in p and "LocalTableScan" not in p
+    rows = {r.key: tuple(r)[2:] for r in out.collect()}
+    assert rows[1][0] == [2, None] and rows[None][0] == [7] and (name != "cogroup" or rows[1][1] == ["2", None])
+    release(out)
+
+
 def test_iterations_read_the_table_once_before_the_first_step(spark):
     """Everything is made from one written copy of the edges."""
     li = spark.read.parquet(f"{SF}/lineitem.parquet").select(F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst"))
