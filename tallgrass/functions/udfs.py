@@ -20,8 +20,16 @@ def register_nonword_tokens(spark: SparkSession, name: str = "nonword_tokens") -
     """U4: the flat-map function as a SQL table function of the session,
     ``name(text) -> (word)``: lower-case, split on ASCII non-word characters,
     drop empty pieces. Its body is built-in expressions, so rows stay in the
-    JVM."""
+    JVM.
+
+    Spark plans a table function of a column as a join of the distinct values to
+    the pieces of each, every piece beside its whole text. For the rows of a
+    table use ``{name}_array(text) -> array<string>``, which is registered too,
+    with ``LATERAL VIEW explode``: that stays in the row's task."""
     pattern = NONWORD_REGEX.replace("\\", "\\\\")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}_array(body STRING) RETURNS ARRAY<STRING>
+        RETURN filter(split(lower(body), '{pattern}'), word -> word <> '')""")
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {name}(body STRING) RETURNS TABLE (word STRING)
         RETURN SELECT word FROM explode(split(lower(body), '{pattern}')) AS t(word) WHERE word <> ''""")
