@@ -294,25 +294,25 @@ def triangle_count(edges: DataFrame) -> DataFrame:
     its upper end, meets the neighbours of the upper end, and the intersection
     closes its triangles: every triangle is found once, and what is shuffled is
     one row an edge, not one a wedge. An upper end of very many edges is joined
-    in pieces. Output: (id, triangles) for every vertex of the graph, 0 included.
+    in pieces, and no join sends a table through the driver. Output: (id, triangles) for every vertex of the graph, 0 included.
     """
     und = cut_lineage(edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
                       .where(F.col("a") != F.col("b")).distinct(), "tri")
     deg = cut_lineage(und.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("deg")),
                       "tri-deg")
-    ends = join_unique(join_unique(und, deg.toDF("a", "da"), "a"), deg.toDF("b", "db"), "b")
+    ends = join_unique(join_unique(und, deg.toDF("a", "da"), "a", shuffled=True), deg.toDF("b", "db"), "b", shuffled=True)
     lo, hi = F.struct(F.col("da").alias("d"), F.col("a").alias("id")), F.struct(F.col("db").alias("d"), F.col("b").alias("id"))
     oriented = ends.select(F.least(lo, hi).alias("u"), F.greatest(lo, hi).alias("v"))
     after = F.transform(F.array_sort(F.collect_list("v")), lambda x: x["id"])
     out = cut_lineage(oriented.groupBy(F.col("u.id").alias("u")).agg(after.alias("near")), "tri-near")
     edge = (out.select("u", "near", F.posexplode("near").alias("at", "v"))
             .select("u", "v", F.slice("near", F.col("at") + 2, F.size("near")).alias("later")).where(F.size("later") > 0))
-    closed = (join_unique(edge, out.select(F.col("u").alias("v"), "near"), "v")
+    closed = (join_unique(edge, out.select(F.col("u").alias("v"), "near"), "v", shuffled=True)
               .select("u", "v", F.array_intersect("later", "near").alias("w")).where(F.size("w") > 0))
     n = F.size("w").cast("long")
     found = F.concat(F.array(F.struct(F.col("u").alias("id"), n.alias("n")), F.struct(F.col("v").alias("id"), n.alias("n"))),
                      F.transform("w", lambda w: F.struct(w.alias("id"), F.lit(1).cast("long").alias("n"))))
     per_vertex = closed.select(F.inline(found)).groupBy("id").agg(F.sum("n").alias("triangles"))
-    result = (deg.select("id").join(per_vertex, "id", "left")
+    result = (deg.select("id").join(per_vertex.hint("merge"), "id", "left")
               .select("id", F.coalesce(F.col("triangles"), F.lit(0)).alias("triangles")))
     return settled(result, und, deg, out, name="triangles")

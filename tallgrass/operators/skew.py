@@ -43,7 +43,7 @@ def hot_keys(counts: DataFrame, key: str, n: str) -> list[tuple]:
 
 
 def join_unique(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner",
-                hot: list[tuple] | None = None) -> DataFrame:
+                hot: list[tuple] | None = None, shuffled: bool = False) -> DataFrame:
     """``rows`` joined (``inner`` or ``left``) to ``lookup``, which has one row per ``key``.
 
     The bounded list of hot keys (counted here unless ``hot`` gives it) is cut
@@ -52,14 +52,16 @@ def join_unique(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner"
     should be a scan or a written table, so that a task that runs again numbers
     its rows the same way. Columns: those of ``rows``, then those of ``lookup``
     but its key. Null keys match nothing; in a left join they are spread like
-    any other key.
+    any other key. ``shuffled`` never broadcasts ``rows`` or ``lookup``, however
+    small Spark takes them to be: it estimates a written table by its compressed
+    files and rows that ``explode`` makes by what they are made of.
     """
     if hot is None:
         (n,) = fresh(rows, "n")
         hot = hot_keys(rows.groupBy(key).agg(F.count(F.lit(1)).alias(n)), key, n)
     rest = [c for c in lookup.columns if c != key]
     if not hot:
-        return rows.join(lookup, key, how).select(*rows.columns, *rest)
+        return rows.join(lookup.hint("merge") if shuffled else lookup, key, how).select(*rows.columns, *rest)
     names = rows.select("*", *[F.lit(0).alias(c) for c in rest])
     hot_key, cut, piece, look = fresh(names, "hot", "cut", "piece", "look")
     kind = rows.schema[key].dataType.simpleString()
@@ -69,6 +71,7 @@ def join_unique(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner"
                 .select(*rows.columns, F.coalesce(F.pmod(F.col(piece), F.col(cut)), F.lit(0)).cast("int").alias(piece)))
     copies = (lookup.withColumnRenamed(key, look).join(few, F.col(look) == F.col(hot_key), "left")
               .select(look, *rest, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(cut), F.lit(1)) - 1)).alias(hot_key)))
+    copies = copies.hint("merge") if shuffled else copies
     return (cut_rows.join(copies, (F.col(key) == F.col(look)) & (F.col(piece) == F.col(hot_key)), how)
             .select(*rows.columns, *rest))
 
