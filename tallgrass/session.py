@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -116,6 +118,17 @@ def num_buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@contextmanager
+def shuffle_partitions(spark: SparkSession, most: int | None) -> Iterator[None]:
+    """What is planned inside uses ``most`` shuffle partitions, or the session's if those are fewer or ``most`` is None."""
+    key, before = "spark.sql.shuffle.partitions", num_buckets(spark)
+    spark.conf.set(key, str(min(before, most or before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, str(before))
+
+
 def cut_lineage_bucketed(df: DataFrame, col: str, name: str = "stage", buckets: int | None = None,
                          prepartitioned: bool = False) -> DataFrame:
     """Like ``cut_lineage`` but written as a table bucketed (and sorted) by

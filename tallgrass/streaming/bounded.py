@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallgrass.session import _tracked, delete_path, scratch_path
+from tallgrass.session import _tracked, delete_path, scratch_path, shuffle_partitions
 from tallgrass.streaming.upsert import LatestTable
 
 #: Rows of a slice at most, and slices at least, of an event-time replay.
@@ -77,7 +77,8 @@ def event_time_slices(df: DataFrame, time_col: str, slice_rows: int = SLICE_ROWS
 def run_bounded_stream(spark: SparkSession, source: DataFrame | None, build: Callable[[DataFrame], DataFrame],
                        phases: Iterable[DataFrame] = (), output_mode: str = "append",
                        keys: list[str] | None = None, name: str = "stream", slices: Iterable[str] = (),
-                       schema: T.StructType | None = None, progress: list[dict] | None = None) -> DataFrame:
+                       schema: T.StructType | None = None, progress: list[dict] | None = None,
+                       partitions: int | None = None) -> DataFrame:
     """Run ``build(source, then slices, then phases)`` to the end and return
     what the sink holds.
 
@@ -92,6 +93,9 @@ def run_bounded_stream(spark: SparkSession, source: DataFrame | None, build: Cal
     * ``progress``: gets one entry per micro-batch: ``batch``, ``rows``, and for
       each stateful operator ``state_rows`` and ``dropped`` (rows that came after
       the watermark, as that operator received them).
+    * ``partitions``: of the state, the session's shuffle partitions at most and
+      by default. A micro-batch loads and commits every partition of every
+      operator whether it has rows or not.
     """
     feed, out_dir, ckpt = (scratch_path(spark, f"{name}-{x}") for x in ("feed", "out", "ckpt"))
     stage = scratch_path(spark, f"{name}-stage")
@@ -112,7 +116,8 @@ def run_bounded_stream(spark: SparkSession, source: DataFrame | None, build: Cal
     else:
         spark.createDataFrame([], result.schema).write.mode("append").parquet(out_dir)
         writer = result.writeStream.outputMode(output_mode).format("parquet").option("path", out_dir)
-    query = writer.option("checkpointLocation", ckpt).start()
+    with shuffle_partitions(spark, partitions):  # a query keeps those that it starts with
+        query = writer.option("checkpointLocation", ckpt).start()
     try:
         query.processAllAvailable()
         seen = _note(query, -1, progress)
