@@ -3,13 +3,13 @@
 A document's strength is a weighted sum of text statistics. The weights come
 from preference pairs -- a document marked good is preferred to one marked bad
 -- by minimising the logistic loss on the difference of the two documents'
-statistics. The cut between good and bad is a quantile of the strengths in the
-training sample, chosen where it agrees best with the marks.
+statistics. The cut between good and bad is a quantile of the strengths of all
+labelled documents, chosen where it agrees best with the marks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,10 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, id_crc, small_batches
+from ..session import release
+from .common import fresh, id_crc, small_batches, written
 
-#: Most labelled documents of each mark that a model is fitted on, and pairs that each of the rarer mark is in.
-SAMPLE, PAIRS_EACH = 4000, 8
+#: Pairs for each document of the commoner mark.
+PAIRS_EACH = 8
+#: Labelled documents of a block, inside which pairs are drawn, and documents of the rarer mark that a block has at least, if there are so many.
+BLOCK, LEAST_OF_MARK = 8000, 64
 #: Scores at the cut; a score of at least this predicts a good document.
 CUT = 0.3
 
@@ -60,10 +63,11 @@ def statistics(text: bytes | None) -> list[float]:
             signs / n]
 
 
-def with_statistics(df: DataFrame, text: str = "text", out: str = "statistics") -> DataFrame:
-    """``df`` with ``out``: the statistics of each whole text (array of double)."""
+def with_statistics(df: DataFrame, text: str = "text", out: str = "statistics", keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``df`` (all, if none are named) with ``out``: the
+    statistics of each whole text (array of double)."""
     small_batches(df.sparkSession)
-    keep = [c for c in df.columns if c.lower() != out.lower()]
+    keep = [c for c in (keep or df.columns) if c.lower() != out.lower()]
     schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(out, T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,6 +102,33 @@ def basis(z: np.ndarray) -> np.ndarray:
     return np.hstack([z, np.maximum(z - 1, 0), np.maximum(-z - 1, 0)])
 
 
+def differences(b: np.ndarray, good: np.ndarray, seed: int) -> np.ndarray:
+    """The preferred document's row of ``b`` less the other's, for each pair drawn; none without rows of both marks."""
+    up, down = np.flatnonzero(good), np.flatnonzero(~good)
+    if not len(up) or not len(down):
+        return b[:0]
+    rng, n = np.random.default_rng(seed), PAIRS_EACH * max(len(up), len(down))
+    return b[rng.choice(up, n)] - b[rng.choice(down, n)]
+
+
+def slope(d: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and curvature of the pairs' logistic loss, summed."""
+    p = 1 / (1 + np.exp(np.clip(d @ w, -40, 40)))
+    return -(d * p[:, None]).sum(0), (d * (p * (1 - p))[:, None]).T @ d
+
+
+def newton(sums: Callable[[np.ndarray], tuple[int, np.ndarray, np.ndarray]], size: int) -> np.ndarray:
+    """Weights that minimise the mean logistic loss with a small ridge; ``sums`` gives the pairs and their summed slope."""
+    w = np.zeros(size)
+    for _ in range(25):
+        n, grad, hess = sums(w)
+        step = np.linalg.solve(hess / max(1, n) + 1e-3 * np.eye(size), grad / max(1, n) + 1e-3 * w)
+        w -= step
+        if np.abs(step).max() < 1e-7:
+            break
+    return w
+
+
 def fit(x: np.ndarray, good: np.ndarray, share_good: float, seed: int = 7) -> Model:
     """Weights from preference pairs and the cut that agrees best with the
     marks, ``share_good`` being the share of good ones among all labelled rows.
@@ -110,17 +141,8 @@ def fit(x: np.ndarray, good: np.ndarray, share_good: float, seed: int = 7) -> Mo
     up, down = np.flatnonzero(good), np.flatnonzero(~good)
     if not len(up) or not len(down):  # nothing to prefer
         return Model(mean, scale, np.zeros(b.shape[1]), -1.0 if len(up) else 1.0, 0.0)
-    rng, n = np.random.default_rng(seed), PAIRS_EACH * max(len(up), len(down))
-    d = b[rng.choice(up, n)] - b[rng.choice(down, n)]
-    w = np.zeros(b.shape[1])
-    for _ in range(25):  # Newton steps on the mean logistic loss with a small ridge
-        p = 1 / (1 + np.exp(np.clip(d @ w, -40, 40)))
-        grad = -(d * p[:, None]).mean(0) + 1e-3 * w
-        hess = (d * (p * (1 - p))[:, None]).T @ d / n + 1e-3 * np.eye(len(w))
-        step = np.linalg.solve(hess, grad)
-        w -= step
-        if np.abs(step).max() < 1e-7:
-            break
+    d = differences(b, good, seed)
+    w = newton(lambda w: (len(d), *slope(d, w)), b.shape[1])
     s = b @ w
     order = np.argsort(s, kind="stable")
     mass = np.where(good, share_good / len(up), (1 - share_good) / len(down))[order]
@@ -131,14 +153,19 @@ def fit(x: np.ndarray, good: np.ndarray, share_good: float, seed: int = 7) -> Mo
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label: str = "quality",
-          sample: int = SAMPLE) -> Model:
-    """A model from the rows of ``labels`` whose id is not held out and whose
-    label is 0 or 1: at most ``sample`` ids of each, the first by a hash of the
-    id, and of rows that share an id and a label one.
-    Without such rows every document is accepted."""
+          sample: int | None = None) -> Model:
+    """A model from all rows of ``labels`` whose id is not held out and whose
+    label is 0 or 1; of rows that share an id and a label one. A caller may ask
+    for a ``sample`` of at most so many ids of each label, the first by a hash of
+    the id. Without such rows every document is accepted."""
     known = labels.filter(F.col(label).isin(0, 1) & (id_crc(id_col) % 5 != 0)).select(
         F.col(id_col).alias("id"), F.col(label).cast("int").alias("mark")).distinct()
     total = {r["mark"]: r["n"] for r in known.groupBy("mark").agg(F.count("*").alias("n")).collect()}
+    share_good = total.get(1, 0) / max(1, sum(total.values()))
+    if sample is None:
+        learn = docs.filter(id_crc(id_col) % 5 != 0).select(F.col(id_col).alias("id"), F.col(text).alias("body"))
+        return fit_all(with_statistics(learn, "body", keep=["id"]).join(known, "id").groupBy("id", "mark").agg(
+            F.min("statistics").alias("statistics")), share_good)
     chosen = None
     for mark in (0, 1):
         part = known.filter(F.col("mark") == mark).orderBy(F.xxhash64("id"), "id").limit(sample)
@@ -147,7 +174,108 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
                            .join(F.broadcast(chosen), "id"), "body").groupBy("id", "mark").agg(F.min("statistics").alias("statistics")).collect()
     rows.sort(key=lambda r: (r["id"], r["mark"]))  # the same fit whatever order rows arrive in
     return fit(np.array([r["statistics"] for r in rows]).reshape(-1, len(FEATURES)), np.array([r["mark"] == 1 for r in rows]),
-               total.get(1, 0) / max(1, sum(total.values())))
+               share_good)
+
+
+def fit_all(rows: DataFrame, share_good: float, seed: int = 7) -> Model:
+    """``fit`` over all ``rows`` (``id``, ``mark``, ``statistics``), however many.
+
+    Rows are dealt by a hash of their id into blocks of about BLOCK; pairs are
+    drawn inside each block as ``fit`` draws them, and their summed slopes come
+    to the driver, one row a task. If a mark is so rare that a block would have
+    fewer than LEAST_OF_MARK of it, its rows are paired in several blocks."""
+    width = 3 * len(FEATURES)
+    rows = written(rows, "quality-rows")
+    x = [F.col("statistics")[k] for k in range(len(FEATURES))]
+    first = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("mark"), F.lit(0)), *[F.avg(c) for c in x]).first()
+    n, up, mean = first[0], first[1], np.array(first[2:], float)
+    if not n:
+        release(rows)
+        return fit(np.zeros((0, len(FEATURES))), np.zeros(0, bool), share_good)
+    scale = np.maximum(np.sqrt(np.array(rows.agg(*[F.avg((c - F.lit(float(m))) ** 2) for c, m in zip(x, mean)]).first(), float)), 1e-6)
+    if up in (0, n):  # nothing to prefer
+        release(rows)
+        return Model(mean, scale, np.zeros(width), -1.0 if up else 1.0, 0.0)
+
+    n_blocks, few = -(-n // BLOCK), min(up, n - up)
+    times = min(n_blocks, -(-LEAST_OF_MARK * n_blocks // few))  # 1 unless a mark is rare
+    turns = F.when(F.col("mark") == int(up <= n - up), F.sequence(F.lit(0), F.lit(times - 1))).otherwise(F.array(F.lit(0)))
+    dealt = rows.select("*", F.explode(turns).alias("turn")).groupBy(
+        F.pmod(F.xxhash64("id") + F.col("turn"), F.lit(n_blocks)).alias("block")).agg(
+        F.array_sort(F.collect_list(F.struct("id", "mark", "turn", "statistics"))).alias("r"))
+    blocks = written(dealt.select("block", F.col("r.mark").alias("mark"), F.col("r.turn").alias("turn"),
+                                  F.flatten("r.statistics").alias("x")), "quality-blocks")
+    small_batches(rows.sparkSession)
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                block, mark, turn, flat = (batch.column(c)[k] for c in range(4))
+                values = flat.values.to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
+                yield (block.as_py(), mark.values.to_numpy(zero_copy_only=False) == 1, turn.values.to_numpy(zero_copy_only=False) == 0,
+                       basis((values - mean) / scale))
+
+    def sums(w: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            least, pairs, grad, hess = None, 0, np.zeros(width), np.zeros((width, width))
+            for block, good, _, b in unpacked(batches):
+                d = differences(b, good, seed + block)
+                g, h = slope(d, w)
+                least, pairs, grad, hess = block if least is None else min(least, block), pairs + len(d), grad + g, hess + h
+            if least is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([least], pa.int64()), pa.array([pairs], pa.int64()), pa.array(
+                    [np.concatenate([grad, hess.ravel()])], pa.list_(pa.float64()))], names=["block", "pairs", "sums"])
+
+        parts = sorted(blocks.mapInArrow(run, "block long, pairs long, sums array<double>").collect())
+        all_sums = np.sum([p["sums"] for p in parts], 0)
+        return sum(p["pairs"] for p in parts), all_sums[:width], all_sums[width:].reshape(width, width)
+
+    w = newton(sums, width)
+
+    def strengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, good, own, b in unpacked(batches):
+            yield pa.RecordBatch.from_arrays([pa.array((b @ w)[own]), pa.array(good[own].astype(np.int64))], names=["s", "good"])
+
+    cut, quantile = best_cut(blocks.mapInArrow(strengths, "s double, good long"), share_good / up, (1 - share_good) / (n - up))
+    release(rows, blocks)
+    return Model(mean, scale, w, cut, quantile)
+
+
+def best_cut(strengths: DataFrame, of_good: float, of_bad: float) -> tuple[float, float]:
+    """The cut between two strengths ``s`` that agrees best with the marks
+    ``good``, and the share of rows below it, a good row weighing ``of_good`` and
+    a bad one ``of_bad``. Strengths are sorted over all tasks; each gives one row."""
+    schema = "first double, last double, gain double, mass double, best double, below double, above double, share double"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = below = above = share = None
+        gain, mass, best, open_end = 0.0, 0.0, -np.inf, False
+        for batch in batches:
+            s, up, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            if not len(s):
+                continue
+            first, above, open_end = s[0] if first is None else first, s[0] if open_end else above, False
+            rejected, kept = (n - up) * of_bad, up * of_good
+            g, m = gain + np.cumsum(rejected - kept), mass + np.cumsum(rejected + kept)
+            k = int(np.argmax(g))
+            if g[k] > best:
+                best, below, share, open_end = g[k], s[k], m[k], k + 1 == len(s)
+                above = None if open_end else s[k + 1]
+            gain, mass, last = g[-1], m[-1], s[-1]
+        if first is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([v], pa.float64()) for v in (first, last, gain, mass, best, below, above, share)],
+                                             names=[c.split()[0] for c in schema.split(", ")])
+
+    counts = strengths.groupBy("s").agg(F.sum("good").alias("up"), F.count(F.lit(1)).alias("n"))
+    parts = sorted(counts.repartitionByRange("s").sortWithinPartitions("s").mapInArrow(run, schema).collect(), key=lambda p: p["first"])
+    gain, mass, best, cut, share = 0.0, 0.0, 0.0, parts[0]["first"], 0.0  # reject none
+    for k, p in enumerate(parts):
+        if gain + p["best"] > best:
+            follows = parts[k + 1]["first"] if k + 1 < len(parts) else p["last"]
+            best, cut = gain + p["best"], (p["below"] + (follows if p["above"] is None else p["above"])) / 2
+            share = mass + p["share"]
+        gain, mass = gain + p["gain"], mass + p["mass"]
+    return float(cut), float(share)
 
 
 def with_score(df: DataFrame, model: Model, text: str = "text", out: str = "score",
