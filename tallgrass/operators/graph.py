@@ -11,10 +11,11 @@ plain joins that AQE splits.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallgrass.operators.skew import LEAST_PIECE, SHARES, fresh, join_unique
@@ -224,17 +225,21 @@ def with_minimum(pairs: DataFrame, u: str = "u", v: str = "v", out: str = "m") -
     The minima of hubs -- a ``u`` with more than ``1 / (SHARES * partitions)`` of
     all rows, so there are at most that many -- come to the driver and are
     broadcast: a hub's rows stay where they lie. The others are joined to the
-    aggregate, where no ``u`` has a large share."""
+    minima, where no ``u`` has a large share. The minima are a written table,
+    made in one pass that counts the rows too; ``release`` deletes it."""
     spark = pairs.sparkSession
-    total = pairs.count()
+    seen = Observation(f"minima-{uuid.uuid4().hex[:8]}")
+    counted = pairs.groupBy(u).agg(F.min(v).alias(out), F.count(F.lit(1)).alias("n"))
+    table = cut_lineage(counted.observe(seen, F.sum("n").alias("total"), F.max("n").alias("most")), "minima")
+    total, most = (seen.get.get(k) or 0 for k in ("total", "most"))
     limit = max(LEAST_PIECE, -(-total // (SHARES * num_buckets(spark))))
-    low = pairs.groupBy(u).agg(F.min(v).alias(out), F.count(F.lit(1)).alias("n"))
-    hubs = low.where(F.col("n") > limit).select(u, out).collect() if total > limit else []
+    low = table.select(u, out)
+    hubs = table.where(F.col("n") > limit).select(u, out).collect() if most > limit else []
     if not hubs:
-        return pairs.join(low.select(u, out), u)
-    few = F.broadcast(spark.createDataFrame(hubs, low.select(u, out).schema))
-    rest = pairs.join(few, u, "left_anti").join(low.select(u, out), u)
-    return rest.unionByName(pairs.join(few, u))
+        return holding(pairs.join(low.hint("shuffle_hash"), u), table)
+    few = F.broadcast(spark.createDataFrame(hubs, low.schema))
+    rest = pairs.join(few, u, "left_anti").join(low.hint("shuffle_hash"), u)
+    return holding(rest.unionByName(pairs.join(few, u)), table)
 
 
 def star_components(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
@@ -247,29 +252,33 @@ def star_components(edges: DataFrame, a: str = "src", b: str = "dst") -> DataFra
     which is the method's proven bound, so there is no cap. Each half round is
     one written table, and reaches its hubs by a bounded broadcast
     (``with_minimum``), so neither a hub nor a giant component fills a task. It
-    ends when a round changes no edge.
+    ends when a round changes no edge, which is seen as the edges are written.
     """
     def large(e: DataFrame) -> DataFrame:
-        both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        near = with_minimum(both).select("u", "v", F.least("m", "u").alias("m"))
-        return near.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        both = e.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
+        low = with_minimum(both.select("e.u", "e.v"))
+        near = low.select("u", "v", F.least("m", "u").alias("m"))
+        return holding(near.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), low)
 
     def small(e: DataFrame) -> DataFrame:
         near = with_minimum(e)
-        return near.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(
-            near.where("v = m").select("u", "v"))
-
-    ends = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    current, before = cut_lineage(ends, "cc"), None
-    while True:
-        now = current.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now[0] == 0 or now == before:
-            break
-        before = now
-        half = cut_lineage(large(current), "cc-half")
-        release(current)
-        current = cut_lineage(small(half).distinct(), "cc")
-        release(half)
+        pair = F.when(F.col("v") > F.col("m"), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))).otherwise(F.struct("u", "v"))
+        return holding(near.select(pair.alias("e")).select("e.u", "e.v"), near)
+
+    def round_end(e: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+        seen = Observation(f"cc-{uuid.uuid4().hex[:8]}")
+        out = cut_lineage(e.distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("sum")), "cc")
+        return out, tuple(seen.get.get(k) or 0 for k in ("n", "sum"))
+
+    current, now = round_end(edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")))
+    before = None
+    while now[0] and now != before:
+        before, moved = now, large(current)
+        half = cut_lineage(moved, "cc-half")
+        release(current, moved)
+        joined = small(half)
+        current, now = round_end(joined)
+        release(half, joined)
     stars = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return holding(stars.union(current.select("v", "v").distinct()), current)
 
