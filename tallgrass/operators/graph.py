@@ -169,6 +169,10 @@ def map_triplets(g: PropertyGraph, **attrs: Column) -> PropertyGraph:
 
 
 # ----------------------------------------------------------- hub splitting
+#: Edges of a bucket, before there are more buckets than cores.
+BUCKET_EDGES = 500_000
+
+
 @dataclass(frozen=True)
 class IterationEdges:
     """An iteration's static edge tables, out-degree column ``n_out`` included:
@@ -182,9 +186,9 @@ class IterationEdges:
 
     def out_of(self, sources: DataFrame) -> DataFrame:
         """Edges joined to rows of ``sources`` (one per ``src``, bucketed the
-        same way): regular edges do not move, hub edges meet a broadcast of at
-        most as many rows as there are hubs."""
-        regular = self.regular.join(sources, "src")
+        same way): regular edges do not move and are not sorted again, hub edges
+        meet a broadcast of at most as many rows as there are hubs."""
+        regular = self.regular.join(sources.hint("shuffle_hash"), "src")
         if not self.n_hubs:
             return regular
         few = F.broadcast(sources.join(F.broadcast(self.hub_ids), "src", "left_semi"))
@@ -194,25 +198,32 @@ class IterationEdges:
         release(self.regular, self.hubs, self.hub_ids)
 
 
-def iteration_edges(edges: DataFrame, name: str, max_hubs: int | None = None, hub_min_degree: int = 1) -> IterationEdges:
-    """Prepare an iteration's edges from one evaluation of ``edges``.
+def iteration_edges(edges: DataFrame, name: str, max_hubs: int | None = None, hub_min_degree: int = 1,
+                    copies: str | None = None) -> IterationEdges:
+    """Prepare an iteration's edges from one evaluation of ``edges``. A row may
+    stand for as many parallel edges as its column ``copies`` says, which
+    ``n_out`` counts.
 
     The edges are written once as they come; out-degrees, the hub list and both
     edge tables are made from that copy. A hub has more than ``E / max_hubs``
     edges (and ``hub_min_degree``), so there are at most ``max_hubs`` of them:
     a proven bound for the broadcasts. The default of four times the bucket
     count makes every source a hub that would fill a quarter of a mean bucket.
+    There are as many buckets as cores, more if one would get over BUCKET_EDGES
+    edges, and the session's shuffle partitions at most: every step pays for
+    every bucket, however few edges lie in it.
     """
     spark = edges.sparkSession
-    buckets = num_buckets(spark)
     flat = cut_lineage(edges, f"{name}-flat")
-    degree = cut_lineage(flat.groupBy("src").agg(F.count(F.lit(1)).alias("n_out")), f"{name}-degree")
-    total = degree.select(F.sum("n_out")).first()[0] or 0
+    n_out = F.count(F.lit(1)) if copies is None else F.sum(copies)
+    degree = cut_lineage(flat.groupBy("src").agg(n_out.alias("n_out"), F.count(F.lit(1)).alias("n_rows")), f"{name}-degree")
+    total = degree.select(F.sum("n_rows")).first()[0] or 0
+    buckets = min(num_buckets(spark), max(spark.sparkContext.defaultParallelism, -(-total // BUCKET_EDGES)))
     threshold = max(hub_min_degree, -(-total // (max_hubs or 4 * buckets)))
-    hub_degree = F.broadcast(degree.where(F.col("n_out") > threshold))
+    hub_degree = F.broadcast(degree.where(F.col("n_rows") > threshold).drop("n_rows"))
     hubs = cut_lineage(flat.join(hub_degree, "src"), f"{name}-hub-edges")
-    hub_ids = cut_lineage(degree.where(F.col("n_out") > threshold).select("src"), f"{name}-hubs")
-    rest = flat.join(F.broadcast(hub_ids), "src", "left_anti").join(degree, "src")
+    hub_ids = cut_lineage(degree.where(F.col("n_rows") > threshold).select("src"), f"{name}-hubs")
+    rest = flat.join(F.broadcast(hub_ids), "src", "left_anti").join(degree.drop("n_rows"), "src")
     regular = cut_lineage_bucketed(rest, "src", name, buckets)
     release(flat, degree)
     return IterationEdges(regular, hubs, hub_ids, hub_ids.count(), buckets)

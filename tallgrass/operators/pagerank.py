@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 
 from tallgrass.operators.graph import PropertyGraph, iteration_edges
 from tallgrass.operators.pregel import pregel
-from tallgrass.session import cut_lineage_bucketed, holding, release, settled
+from tallgrass.session import cut_lineage_bucketed, holding, release, settled, shuffle_partitions
+
+
+def parallel_edges(edges: DataFrame) -> DataFrame:
+    """One row for all edges of a source and a destination, with their number as ``copies``."""
+    return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def pagerank_pregel(g: PropertyGraph, num_iter: int = 20, reset: float = 0.15) -> DataFrame:
@@ -15,10 +20,10 @@ def pagerank_pregel(g: PropertyGraph, num_iter: int = 20, reset: float = 0.15) -
     at ``reset``), ``num_iter`` Pregel supersteps, direction Out: a vertex that
     got no message keeps its rank and does not send in the next step.
     Returns (id, rank)."""
-    plain = PropertyGraph(g.vertices.select("id", F.lit(1.0).alias("attr")), g.edges.select("src", "dst"))
+    plain = PropertyGraph(g.vertices.select("id", F.lit(1.0).alias("attr")), parallel_edges(g.edges))
     ranks, _ = pregel(plain, F.lit(0.0), num_iter,
                       vprog=lambda attr, msg: F.lit(reset) + F.lit(1.0 - reset) * msg,
-                      send=lambda src_attr, edge: src_attr * (F.lit(1.0) / edge["n_out"]))
+                      send=lambda src_attr, edge: src_attr * (edge["copies"] / edge["n_out"]), copies="copies")
     return holding(ranks.select("id", F.col("attr").alias("rank")), ranks)
 
 
@@ -67,15 +72,16 @@ def pagerank_rounds(edges: DataFrame, num_iter: int = 20, reset: float = 0.15,
     ranks = cut_lineage_bucketed(sources.select(F.col("src").alias("id"), F.lit(1.0).alias("rank")), "id",
                                  "rounds", links.buckets)
     stored = ranks
-    for i in range(1, num_iter + 1):
-        contribs = (links.out_of(ranks.withColumnRenamed("id", "src"))
-                    .select("dst", (F.col("rank") / F.col("n_out")).alias("share")))
-        ranks = (contribs.groupBy(F.col("dst").alias("id"))
-                 .agg((F.lit(reset) + F.lit(1.0 - reset) * F.sum("share")).alias("rank")))
-        if i % materialize_every == 0 or i == num_iter:
-            ranks = cut_lineage_bucketed(ranks, "id", "rounds", links.buckets, prepartitioned=True)
-            release(stored)
-            stored = ranks
+    with shuffle_partitions(edges.sparkSession, links.buckets):
+        for i in range(1, num_iter + 1):
+            contribs = (links.out_of(ranks.withColumnRenamed("id", "src"))
+                        .select("dst", (F.col("rank") / F.col("n_out")).alias("share")))
+            ranks = (contribs.groupBy(F.col("dst").alias("id"))
+                     .agg((F.lit(reset) + F.lit(1.0 - reset) * F.sum("share")).alias("rank")))
+            if i % materialize_every == 0 or i == num_iter:
+                ranks = cut_lineage_bucketed(ranks, "id", "rounds", links.buckets, prepartitioned=True)
+                release(stored)
+                stored = ranks
     links.release()
     return ranks
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tallgrass.operators.graph import PropertyGraph, iteration_edges
-from tallgrass.session import cut_lineage, cut_lineage_bucketed, holding, release
+from tallgrass.session import cut_lineage, cut_lineage_bucketed, holding, release, shuffle_partitions
 
 
 #: The whole state is written while more than 1 / FEW of the vertices change, and after MOST_DELTAS steps at the latest.
@@ -45,7 +45,8 @@ def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int | None,
            send: Callable[[Column, Column], Column],
            merge: Callable[[Column], Column] = F.sum,
            attr: str = "attr", max_hubs: int | None = None,
-           hub_min_degree: int = 1, written: list[tuple[int, int]] | None = None) -> tuple[DataFrame, int]:
+           hub_min_degree: int = 1, written: list[tuple[int, int]] | None = None,
+           copies: str | None = None) -> tuple[DataFrame, int]:
     """GraphX ``pregel(initialMsg, maxIter, EdgeDirection.Out)(vprog, send, merge)``.
 
     * ``vprog(attr, msg)`` -> new attribute; run on every vertex with
@@ -58,11 +59,18 @@ def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int | None,
     * ``max_iter`` steps at most; None runs until no vertex gets a message.
     * ``written`` gets, for each step, how many vertices got a message and how
       many rows were written.
+    * ``copies`` names an edge column: how many parallel edges the row stands
+      for. ``n_out`` counts them; ``send`` gives the message of them all.
 
     Returns the final vertices ``(id, attr)`` and the number of supersteps run.
     """
     carried = [c for c in g.edges.columns if c not in ("src", "dst")]
-    edges = iteration_edges(g.edges, "pregel-edges", max_hubs, hub_min_degree)
+    edges = iteration_edges(g.edges, "pregel-edges", max_hubs, hub_min_degree, copies)
+    with shuffle_partitions(g.edges.sparkSession, edges.buckets):  # exchanges line up with the buckets
+        return _supersteps(g, edges, carried, initial_msg, max_iter, vprog, send, merge, attr, written)
+
+
+def _supersteps(g, edges, carried, initial_msg, max_iter, vprog, send, merge, attr, written) -> tuple[DataFrame, int]:
     seen = Observation(f"pregel-{uuid.uuid4().hex[:8]}")
     first = g.vertices.select("id", vprog(F.col(attr), initial_msg).alias(attr), F.lit(True).alias("active"))
     base = cut_lineage_bucketed(first.observe(seen, F.count(F.lit(1)).alias("rows")), "id", "pregel", edges.buckets)
@@ -85,7 +93,7 @@ def pregel(g: PropertyGraph, initial_msg: Column, max_iter: int | None,
         whole = active * FEW > total or len(changed) == MOST_DELTAS
         state = on_top(base, changed, attr)
         if whole:
-            step = (state.join(messages(), "id", "left")
+            step = (state.join(messages().hint("shuffle_hash"), "id", "left")
                     .select("id", F.when(got, vprog(F.col(attr), F.col("msg"))).otherwise(F.col(attr)).alias(attr),
                             got.alias("active")))
             step = step.observe(seen, F.sum(F.col("active").cast("long")).alias("active"))
