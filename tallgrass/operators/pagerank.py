@@ -37,16 +37,16 @@ def pagerank_tolerance(g: PropertyGraph, tol: float = 1e-4, reset: float = 0.15)
         raise ValueError("needs tol > 0 and 0 < reset <= 1 to converge")
     plain = PropertyGraph(
         g.vertices.select("id", F.struct(F.lit(0.0).alias("pr"), F.lit(0.0).alias("delta")).alias("attr")),
-        g.edges.select("src", "dst"))
+        parallel_edges(g.edges))
 
     def vprog(attr, msg):
         gain = F.lit(1.0 - reset) * msg
         return F.struct((attr["pr"] + gain).alias("pr"), gain.alias("delta"))
 
     def send(src_attr, edge):
-        return F.when(src_attr["delta"] > F.lit(tol), src_attr["delta"] * (F.lit(1.0) / edge["n_out"]))
+        return F.when(src_attr["delta"] > F.lit(tol), src_attr["delta"] * (edge["copies"] / edge["n_out"]))
 
-    state, _ = pregel(plain, F.lit(reset / (1.0 - reset)), None, vprog, send)
+    state, _ = pregel(plain, F.lit(reset / (1.0 - reset)), None, vprog, send, copies="copies")
     ranks = state.select("id", F.col("attr.pr").alias("pr"))
     whole = ranks.agg(F.sum("pr"), F.count(F.lit(1))).first()
     out = ranks.select("id", (F.col("pr") * whole[1] / F.lit(whole[0])).alias("rank"))
